@@ -32,3 +32,8 @@ def adjacent_pairs(toks: Column) -> Column:
     shifted = F.slice(toks, F.lit(2), F.greatest(F.size(toks) - 1, F.lit(0)))
     firsts = F.slice(toks, F.lit(1), F.greatest(F.size(toks) - 1, F.lit(0)))
     return F.array_distinct(F.zip_with(firsts, shifted, lambda a, b: F.concat_ws(" ", a, b)))
+
+
+def padded(items: Column) -> Column:
+    """Each item between blanks, ready to be looked up in a padded `token_line`."""
+    return F.transform(items, lambda t: F.concat(F.lit(" "), t, F.lit(" ")))

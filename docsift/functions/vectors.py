@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docsift.functions.let import let
+
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -38,7 +40,7 @@ def l1(a: Column, b: Column) -> Column:
 def normalise(a: Column) -> Column:
     """Unit-length copy; null for a zero vector."""
     length = F.nullif(norm(a), F.lit(0.0))
-    return F.transform(a, lambda x: x.cast("double") / length)
+    return let(length, lambda n: F.when(n.isNotNull(), F.transform(a, lambda x: x.cast("double") / n)))
 
 
 def shorten(a: Column, dim: int) -> Column:

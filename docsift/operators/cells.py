@@ -8,6 +8,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -33,8 +34,11 @@ def train_cells(vectors: DataFrame, column: str, n: int, n_cells: int, seed: int
     share = 4 * ROWS_PER_CELL_TO_TRAIN * n_cells / max(n, 1)
     if share < 1:
         unit = unit.sample(fraction=share, seed=seed)
-    points = unit.select(array_to_vector("u").alias("features"))
-    model = KMeans(k=n_cells, seed=seed, maxIter=8, initSteps=1).fit(points)
+    points = unit.select(array_to_vector("u").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=n_cells, seed=seed, maxIter=8, initSteps=1).fit(points)
+    finally:
+        points.unpersist()
     return np.stack([np.asarray(c) for c in model.clusterCenters()])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docsift.session import counted, small_side
+
 
 def key_faults(df: DataFrame, key: str) -> DataFrame:
     """`key, n`: keys that are null or held by more than one row; empty is good."""
@@ -30,8 +32,9 @@ def row_hash(df: DataFrame, columns: list[str]) -> Column:
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """`key, op` plus the new column values: what turns `old` into `new`.
 
-    Only key and a 64-bit row hash of each side meet in the full outer join; the
-    wide columns are fetched afterwards, for changed keys alone.
+    Only key and a 64-bit row hash of each side meet in the full outer join. The
+    changed keys are written and counted, so that the wide columns can be fetched
+    without moving `new` when the changes are few.
     """
     before = old.select(F.col(key), row_hash(old, columns).alias("_old"), F.lit(True).alias("_had"))
     after = new.select(F.col(key), row_hash(new, columns).alias("_new"), F.lit(True).alias("_has"))
@@ -40,8 +43,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str])
         .when(F.col("_has").isNull(), "delete")
         .when(F.col("_old") != F.col("_new"), "update")
     )
-    changed = before.join(after, key, "full_outer").select(key, op.alias("op")).filter(F.col("op").isNotNull())
-    return changed.join(new.select(key, *columns), key, "left")
+    differing = before.join(after, key, "full_outer").select(key, op.alias("op")).filter(F.col("op").isNotNull())
+    changed, n = counted(old.sparkSession, differing, "changed-keys")
+    puts = changed.filter(F.col("op") != "delete")
+    put_rows = new.select(key, *columns).join(small_side(puts, n), key).select(key, "op", *columns)
+    gone = changed.filter(F.col("op") == "delete")
+    return put_rows.unionByName(gone, allowMissingColumns=True)
 
 
 def latest_per_key(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -57,6 +64,7 @@ def latest_per_key(changes: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def apply_changes(rows: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """`rows` after the changes (`key, op, columns`), one change per key."""
-    kept = rows.join(changes.select(key), key, "left_anti")
-    added = changes.filter(F.col("op") != "delete").select(*rows.columns)
+    stored, n = counted(rows.sparkSession, changes, "changes")
+    kept = rows.join(small_side(stored.select(key), n), key, "left_anti")
+    added = stored.filter(F.col("op") != "delete").select(*rows.columns)
     return kept.unionByName(added)

@@ -47,15 +47,17 @@ def weighted_queries(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> D
     return met.groupBy("query_id").agg(F.sort_array(F.collect_list(pair)).alias("terms"))
 
 
-def all_terms(docs: DataFrame, key: str, text_col: str, posts: DataFrame, frequencies: DataFrame, queries: DataFrame, query_text: str) -> DataFrame:
-    """Every (query, document) where the document holds all distinct query terms.
+def all_terms(posts: DataFrame, frequencies: DataFrame, queries: DataFrame, query_text: str, small: bool) -> DataFrame:
+    """`query_id, key, n_terms`: documents that hold all distinct terms of a query.
 
-    Only the documents on the list of a query's rarest term can qualify, so that
-    list alone is joined and the other terms are checked on the document itself.
-    A query with a term the corpus lacks has no match.
+    Only a document with a query's rarest term can qualify, so queries meet
+    documents on that term alone; the others are checked on the document's own
+    terms. A query with a term the corpus lacks has no match. With `small` (checked
+    by the caller) the query side is shipped and the postings stay where they are.
     """
-    asked = queries.select("query_id", tk.distinct_tokens(F.col(query_text)).alias("wanted")).filter(F.size("wanted") > 0)
-    each = asked.select("query_id", "wanted", F.explode("wanted").alias("term"))
+    side = F.broadcast if small else (lambda df: df)
+    asked = queries.select("query_id", tk.distinct_tokens(F.col(query_text)).alias("wanted"))
+    each = asked.select("query_id", "wanted", F.explode_outer("wanted").alias("term")).filter(F.col("term").isNotNull())
     rarest = (
         each.join(frequencies, "term")
         .groupBy("query_id")
@@ -63,16 +65,20 @@ def all_terms(docs: DataFrame, key: str, text_col: str, posts: DataFrame, freque
         .filter(F.col("known") == F.size("wanted"))
         .select("query_id", "wanted", F.col("r.term").alias("term"))
     )
-    candidates = posts.select("key", "term").join(rarest, "term").select("query_id", "key", "wanted")
-    held = docs.select(F.col(key).alias("key"), F.col(text_col).alias("_text"))
-    checked = candidates.join(held, "key").filter(
-        F.size(F.array_except("wanted", tk.distinct_tokens(F.col("_text")))) == 0
+    vocabulary = each.select("term").distinct()
+    held = (
+        posts.select("key", "term")
+        .join(side(vocabulary), "term", "left_semi")
+        .groupBy("key")
+        .agg(F.collect_list("term").alias("found"))
     )
-    return checked.select("query_id", "key", F.size("wanted").alias("n_terms"))
+    met = held.select("key", "found", F.explode("found").alias("term")).join(side(rarest), "term")
+    whole = met.filter(F.size(F.array_except("wanted", "found")) == 0)
+    return whole.select("query_id", "key", F.size("wanted").alias("n_terms"))
 
 
 def phrase(text, wanted):
     """Exact phrase on token boundaries, blind to case and punctuation."""
-    flat = F.concat(F.lit(" "), F.array_join(tk.tokens(text), " "), F.lit(" "))
-    needle = F.concat(F.lit(" "), F.array_join(tk.tokens(wanted), " "), F.lit(" "))
+    flat = F.concat(F.lit(" "), tk.token_line(text), F.lit(" "))
+    needle = F.concat(F.lit(" "), tk.token_line(wanted), F.lit(" "))
     return F.contains(flat, needle)

@@ -4,7 +4,8 @@ The markup is cut with plain string functions:
 
 1. scripts, styles and comments go;
 2. `<nav>`, `<footer>`, `<div class="ad">` and `<table>` open a region that runs
-   to its closing tag; tables stay whole, the other three are page furniture;
+   to its closing tag, or to the next region; tables stay whole, the other three
+   are page furniture;
 3. outside tables every opening block tag starts a new element (closing tags
    are often missing, so they are not relied on);
 4. remaining tags go, entities are decoded, blank pieces are dropped.
@@ -17,12 +18,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsift.session import counted, small_side
+
 SCHEMA_VERSION = "2.0"
 
 # Control characters that mark cuts; they do not occur in text.
-CUT, HEAD_END, REGION_OPEN, REGION_CLOSE = "\x01", "\x02", "\x03", "\x04"
+CUT, HEAD_END, REGION_OPEN = "\x01", "\x02", "\x03"
 
 INVISIBLE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+REGION_TAGS = ("nav", "footer", "table", "div")
 BLOCK_TAGS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|div|head|body|html"
 
 # Entities that are decoded, `&amp;` last.
@@ -50,37 +54,39 @@ ELEMENT_COLUMNS = ("path", "page", "pos", "type", "region", "level", "content")
 
 
 def _marked(html: Column) -> Column:
+    """Visible markup, with the start of each region marked and named."""
     text = F.regexp_replace(html, INVISIBLE, "")
-    text = F.regexp_replace(text, r"<(nav|footer|table)(?:\s[^>]*)?>", REGION_OPEN + "$1" + HEAD_END + "<$1>")
-    text = F.regexp_replace(text, r'<div class="ad">', REGION_OPEN + "ad" + HEAD_END)
-    text = F.regexp_replace(text, r"</(nav|footer|table|div)>", "</$1>" + REGION_CLOSE)
-    text = F.regexp_replace(text, r"<img(\s[^>]*)>", f"{CUT}img$1{HEAD_END}{CUT}p{HEAD_END}")
-    return F.regexp_replace(text, rf"<({BLOCK_TAGS})(?:\s[^>]*)?>", f"{CUT}$1{HEAD_END}")
+    for tag in REGION_TAGS:
+        text = F.regexp_replace(text, rf"(?i)<(/?){tag}\b", f"<$1{tag}")
+    text = F.regexp_replace(text, r"<(nav|footer|table)\b", REGION_OPEN + "$1" + HEAD_END + "$0")
+    return F.replace(text, F.lit('<div class="ad"'), F.lit(REGION_OPEN + "ad" + HEAD_END + '<div class="ad"'))
 
 
 def _regions(marked: Column) -> Column:
     """Array of (region, markup); region 'body' outside the marked ones."""
 
     def cut(section: Column, index: Column) -> Column:
-        name = F.when(index == 0, F.lit("body")).otherwise(F.split_part(section, F.lit(HEAD_END), F.lit(1)))
-        inside = F.when(index == 0, section).otherwise(
-            F.substr(section, F.length(name) + 2, F.length(section))
-        )
-        head = F.split_part(inside, F.lit(REGION_CLOSE), F.lit(1))
-        tail = F.replace(F.substr(inside, F.length(head) + 2, F.length(inside)), F.lit(REGION_CLOSE), F.lit(""))
-        return F.when(
-            index == 0,
-            F.array(F.struct(name.alias("region"), F.replace(section, F.lit(REGION_CLOSE), F.lit("")).alias("markup"))),
-        ).otherwise(
-            F.array(
-                F.struct(name.alias("region"), head.alias("markup")),
-                F.struct(F.lit("body").alias("region"), tail.alias("markup")),
-            )
+        whole = F.array(F.struct(F.lit("body").alias("region"), section.alias("markup")))
+        name = F.split_part(section, F.lit(HEAD_END), F.lit(1))
+        inside = F.substr(section, F.length(name) + 2, F.length(section))
+        close = F.when(name == "ad", F.lit("</div>")).otherwise(F.concat(F.lit("</"), name, F.lit(">")))
+        head = F.split_part(inside, close, F.lit(1))
+        tail = F.substr(inside, F.length(head) + F.length(close) + 1, F.length(inside))
+        both = F.array(
+            F.struct(name.alias("region"), F.concat(head, close).alias("markup")),
+            F.struct(F.lit("body").alias("region"), tail.alias("markup")),
         )
+        return F.when(index == 0, whole).otherwise(both)
 
     return F.flatten(F.transform(F.split(marked, REGION_OPEN), cut))
 
 
+def _cut_blocks(markup: Column) -> Column:
+    """Markup with a mark before each block; what follows an image is a block too."""
+    images = F.regexp_replace(markup, r"(?i)<(img\s[^>]*)>", f"{CUT}$1{HEAD_END}{CUT}p{HEAD_END}")
+    return F.regexp_replace(images, rf"(?i)<({BLOCK_TAGS})(?:\s[^>]*)?>", f"{CUT}$1{HEAD_END}")
+
+
 def plain(markup: Column) -> Column:
     """Markup without tags, entities decoded, ends trimmed."""
     text = F.regexp_replace(markup, r"<[^>]*>", "")
@@ -101,7 +107,7 @@ def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = No
         markup = region["markup"]
         whole = F.array(F.struct(region["region"].alias("region"), markup.alias("raw")))
         parts = F.transform(
-            F.split(markup, CUT), lambda raw: F.struct(region["region"].alias("region"), raw.alias("raw"))
+            F.split(_cut_blocks(markup), CUT), lambda raw: F.struct(region["region"].alias("region"), raw.alias("raw"))
         )
         return F.when(region["region"] == "table", whole).otherwise(parts)
 
@@ -112,22 +118,23 @@ def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = No
     )
     raw = F.col("piece.raw")
     has_head = F.contains(raw, F.lit(HEAD_END))
-    tag = F.when(has_head, F.split_part(raw, F.lit(HEAD_END), F.lit(1)))
+    head = F.when(has_head, F.split_part(raw, F.lit(HEAD_END), F.lit(1)))
+    tag = F.lower(F.regexp_extract(head, r"^(\w+)", 1))
     body = F.when(has_head, F.split_part(raw, F.lit(HEAD_END), F.lit(2))).otherwise(raw)
     kind = F.when(F.col("piece.region") == "table", F.lit("table"))
     for pattern, name in TYPE_OF_TAG:
-        kind = kind.when(F.col("tag").rlike(rf"^{pattern}(\s|$)"), F.lit(name))
+        kind = kind.when(F.col("tag").rlike(f"^(?:{pattern})$"), F.lit(name))
     level = F.when(F.col("tag") == "title", 1).when(
         F.col("tag").rlike(r"^h[1-6]$"), F.substring("tag", 2, 1).cast("int") + 1
     )
     content = (
-        F.when(F.col("piece.region") == "table", F.regexp_replace(F.replace(raw, F.lit(CUT), F.lit("")), HEAD_END, ""))
-        .when(F.col("tag").rlike(r"^img\s"), F.regexp_extract("tag", r'src="([^"]*)"', 1))
+        F.when(F.col("piece.region") == "table", raw)
+        .when(F.col("tag") == "img", F.regexp_extract("head", r'src="([^"]*)"', 1))
         .otherwise(plain(F.col("body")))
     )
     return (
         rows.filter(F.col("piece").isNotNull())
-        .withColumns({"tag": tag, "body": body})
+        .withColumns({"head": head, "tag": tag, "body": body})
         .select(
             "path",
             "page",
@@ -172,16 +179,19 @@ def drop_noise(elements: DataFrame, repeated_in: int | None = None) -> DataFrame
     body = elements.filter(~F.col("region").isin(*NOISE_REGIONS)).filter(~F.col("content").rlike(r"^\d+$"))
     if repeated_in is None:
         return body
-    # Distinct per document before counting: a line held by a third of all
-    # documents leaves each task as one partial count.
+    # Digests move in place of the lines, distinct per document before counting: a
+    # line held by a third of all documents leaves each task as one partial count.
+    marked = body.withColumn("_digest", F.md5("content"))
     often = (
-        body.select("path", "content")
+        marked.select("path", "_digest")
         .distinct()
-        .groupBy("content")
+        .groupBy("_digest")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= repeated_in)
+        .select("_digest")
     )
-    return body.join(often, "content", "left_anti").select(*elements.columns)
+    repeated, n = counted(elements.sparkSession, often, "repeated-lines")
+    return marked.join(small_side(repeated, n), "_digest", "left_anti").select(*elements.columns)
 
 
 def describe_elements(elements: DataFrame, types: list[str], describe: Callable[[Column, Column], Column]) -> DataFrame:

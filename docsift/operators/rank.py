@@ -38,17 +38,21 @@ class CoverageReranker:
 
     def score(self, candidates: DataFrame) -> DataFrame:
         text = F.concat_ws(" ", *[F.col(c) for c in self.columns_to_rerank])
-        asked, held = tk.tokens(F.col("query_text")), tk.tokens(text)
-        rows = candidates.withColumns({"_q": asked, "_d": held})
-
-        def share(wanted: Column, found: Column) -> Column:
-            return F.when(F.size(wanted) == 0, 0.0).otherwise(
-                F.size(F.array_intersect(wanted, found)) / F.size(wanted)
-            )
-
-        terms = share(F.array_distinct("_q"), F.col("_d"))
-        pairs = share(tk.adjacent_pairs(F.col("_q")), tk.adjacent_pairs(F.col("_d")))
-        return rows.withColumn("score", F.round((terms + pairs) / 2, SCORE_DIGITS)).drop("_q", "_d")
+        asked = tk.tokens(F.col("query_text"))
+        rows = candidates.withColumns(
+            {
+                "_terms": tk.padded(F.array_distinct(asked)),
+                "_pairs": tk.padded(tk.adjacent_pairs(asked)),
+                "_line": F.concat(F.lit(" "), tk.token_line(text), F.lit(" ")),
+            }
+        )
+
+        def share(wanted: str) -> Column:
+            found = F.size(F.filter(wanted, lambda w: F.contains(F.col("_line"), w)))
+            return F.when(F.size(wanted) == 0, 0.0).otherwise(found / F.size(wanted))
+
+        score = F.round((share("_terms") + share("_pairs")) / 2, SCORE_DIGITS)
+        return rows.withColumn("score", score).drop("_terms", "_pairs", "_line")
 
 
 @dataclass(frozen=True)

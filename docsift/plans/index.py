@@ -10,15 +10,18 @@
 `<name>__changed`   keys touched by each sync
 
 Every table carries `_seg`. The build writes segment 0, each sync one more with
-the changed rows only, and the version property on `<name>__rows` is moved last:
-a reader sees whole segments, and a failed sync is simply written again. A row
-is live when no later segment has touched its key. One writer at a time.
+the changed rows only, under a number not used before. The property on
+`<name>__rows` that lists the committed segments is set last: a reader sees whole
+segments, and what a failed sync left behind is never read. A row is live when no
+later segment has touched its key. One writer at a time; `compact` merges
+segments.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +34,7 @@ from docsift.operators import changes as ch
 from docsift.operators import lexical
 from docsift.operators.embed import HashedModel, vector_report
 from docsift.functions import tokens as tk
-from docsift.session import written
+from docsift.session import counted, small_side, written
 from docsift.sources import tables
 
 PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed")
@@ -55,14 +58,14 @@ class Index:
 
     @property
     def version(self) -> int:
-        return self.info["version"]
+        return len(self.info["segments"]) - 1
 
     @property
     def avg_len(self) -> float:
         return self.info["total_len"] / max(self.info["n_docs"], 1)
 
     def committed(self, part: str) -> DataFrame:
-        return self.spark.table(self.table(part)).filter(F.col("_seg") <= self.version)
+        return self.spark.table(self.table(part)).filter(F.col("_seg").isin(self.info["segments"]))
 
     def live(self, part: str) -> DataFrame:
         """Rows of a part that no later segment has replaced or removed."""
@@ -71,6 +74,7 @@ class Index:
             return rows
         key = self.info["primary_key"] if part == "rows" else "key"
         touched = self.committed("changed").groupBy(F.col("key").alias("_k")).agg(F.max("_seg").alias("_upto"))
+        touched = small_side(touched, self.info["n_changed"])
         return rows.join(touched, (rows[key] == touched["_k"]) & (rows["_seg"] < touched["_upto"]), "left_anti")
 
     def frequencies(self) -> DataFrame:
@@ -83,7 +87,8 @@ class Index:
         """One row: counts, dimension, model, metric, version."""
         shown = {
             "name": self.name,
-            **{k: self.info[k] for k in ("version", "primary_key", "text_col", "model_id", "dim", "metric")},
+            "version": self.version,
+            **{k: self.info[k] for k in ("primary_key", "text_col", "model_id", "dim", "metric")},
             **{k: self.info[k] for k in ("n_docs", "total_len", "n_cells", "pipeline_type")},
         }
         kinds = {int: "bigint", str: "string", type(None): "string"}
@@ -97,7 +102,7 @@ def _save_info(index: Index) -> None:
 
 
 def _append(index: Index, df: DataFrame, part: str, seg: int, split: str | None = None, buckets: int | None = None) -> None:
-    writer = df.withColumn("_seg", F.lit(seg)).write.format("parquet").mode("append")
+    writer = df.withColumn("_seg", F.lit(seg).cast("bigint")).write.format("parquet").mode("append")
     writer = writer.partitionBy("_seg", split) if split else writer.partitionBy("_seg")
     if buckets:
         writer = writer.bucketBy(buckets, "key").sortBy("term")
@@ -108,18 +113,15 @@ def _shard(index: Index, key) -> object:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(index.info["n_shards"])).cast("int")
 
 
-def _spread(df: DataFrame, column: str, many: bool) -> DataFrame:
-    """Few files per partition value; adaptive execution splits a heavy value."""
-    return df.hint("rebalance", F.col(column)) if many else df
-
-
 def _write_rows(index: Index, source: DataFrame, seg: int) -> None:
     info = index.info
     length = F.size(tk.tokens(F.col(info["text_col"]))) if info["text_col"] else F.lit(0)
     rows = source.select(*info["columns"]).withColumns(
         {"_doc_len": length.cast("bigint"), "_shard": _shard(index, F.col(info["primary_key"]))}
     )
-    _append(index, _spread(rows, "_shard", info["n_shards"] > 1), "rows", seg, split="_shard")
+    if info["n_shards"] > 1:
+        rows = rows.hint("rebalance", F.col("_shard")).sortWithinPartitions("_shard", info["primary_key"])
+    _append(index, rows, "rows", seg, split="_shard")
 
 
 def _write_postings(index: Index, source: DataFrame, seg: int) -> None:
@@ -136,10 +138,12 @@ def _vector_rows(index: Index, source: DataFrame) -> DataFrame:
 
 def _write_vectors(index: Index, vectors: DataFrame, seg: int) -> None:
     if index.centres is not None:
+        # Few files per cell; adaptive execution splits a heavy cell over tasks.
         vectors = vectors.withColumn("cell", ivf.cell_of(F.col("vector"), index.centres))
+        vectors = vectors.hint("rebalance", F.col("cell"))
     else:
         vectors = vectors.withColumn("cell", F.lit(0))
-    _append(index, _spread(vectors, "cell", index.centres is not None), "vectors", seg, split="cell")
+    _append(index, vectors, "vectors", seg, split="cell")
 
 
 def create_index(
@@ -188,7 +192,7 @@ def create_index(
 
     n = source.count()
     info = {
-        "version": 0,
+        "segments": [0],
         "primary_key": primary_key,
         "text_col": text_col,
         "vector_col": vector_col,
@@ -200,6 +204,7 @@ def create_index(
         "model_id": None if vector_col else getattr(model, "model_id", None),
         "dim": None,
         "n_docs": n,
+        "n_changed": 0,
         "total_len": 0,
         "n_cells": 0,
         "n_shards": max(1, min(MAX_SHARDS, math.ceil(n / ROWS_PER_SHARD))),
@@ -278,10 +283,9 @@ def drop_index(spark: SparkSession, name: str) -> bool:
     return not index_exists(spark, name)
 
 
-def _drop_segment(index: Index, seg: int) -> None:
-    for part in PARTS:
-        if index.spark.catalog.tableExists(index.table(part)):
-            index.spark.sql(f"ALTER TABLE {index.table(part)} DROP IF EXISTS PARTITION (_seg = {seg})")
+def _next_segment(index: Index) -> int:
+    """Above all committed ones, and not the number of an attempt that failed."""
+    return max(index.info["segments"][-1] + 1, time.time_ns() // 1000)
 
 
 def apply_changes(index: Index, changes: DataFrame, stream: str | None = None, batch: int | None = None) -> Index:
@@ -295,21 +299,21 @@ def apply_changes(index: Index, changes: DataFrame, stream: str | None = None, b
     if stream is not None and batch is not None and batch <= info["streams"].get(stream, -1):
         return index
     key = info["primary_key"]
-    batch_rows = written(spark, changes.select("op", *info["columns"]), "changes")
-    ch.require_key(batch_rows, key)
-    if batch_rows.isEmpty():
+    batch_rows, n_changed = counted(spark, changes.select("op", *info["columns"]), "changes")
+    if n_changed == 0:
         return index
-    seg = index.version + 1
-    _drop_segment(index, seg)
+    ch.require_key(batch_rows, key)
+    seg = _next_segment(index)
     touched = batch_rows.select(F.col(key).alias("key"))
+    few = small_side(touched, n_changed)
     puts = batch_rows.filter(F.col("op") != "delete")
-    gone = index.live("rows").join(touched, F.col(key) == touched["key"], "left_semi")
+    gone = index.live("rows").join(few, F.col(key) == few["key"], "left_semi")
     n_gone, len_gone = gone.agg(F.count("*"), F.coalesce(F.sum("_doc_len"), F.lit(0))).first()
     _write_rows(index, puts, seg)
     new_rows = spark.table(index.table("rows")).filter(F.col("_seg") == seg)
     n_new, len_new = new_rows.agg(F.count("*"), F.coalesce(F.sum("_doc_len"), F.lit(0))).first()
     if info["text_col"]:
-        lost = index.live("postings").join(touched, "key", "left_semi").select("term", F.lit(-1).alias("d"))
+        lost = index.live("postings").join(few, "key", "left_semi").select("term", F.lit(-1).alias("d"))
         _write_postings(index, new_rows, seg)
         won = (
             spark.table(index.table("postings")).filter(F.col("_seg") == seg).select("term", F.lit(1).alias("d"))
@@ -322,8 +326,9 @@ def apply_changes(index: Index, changes: DataFrame, stream: str | None = None, b
         _write_vectors(index, vectors, seg)
     _append(index, touched, "changed", seg)
     info.update(
-        version=seg,
+        segments=info["segments"] + [seg],
         n_docs=info["n_docs"] - n_gone + n_new,
+        n_changed=info["n_changed"] + n_changed,
         total_len=info["total_len"] - len_gone + len_new,
     )
     if stream is not None:

@@ -18,9 +18,12 @@ from docsift.operators import rank
 from docsift.operators import topk
 from docsift.plans import filters as flt
 from docsift.plans.index import Index, _shard, require_model
+from docsift.session import BROADCAST_ROWS, small_side, written
 
 SIMILARITY, HYBRID, FULL_TEXT = "SIMILARITY", "HYBRID", "FULL_TEXT"
-BROADCAST_HITS = 1_000_000
+BROADCAST_HITS = 500_000
+TERMS_PER_QUERY = 100
+FEW_KEYS = 1000
 
 
 @dataclass(frozen=True)
@@ -66,7 +69,9 @@ def _allowed(index: Index, part: str, spec: SearchSpec) -> DataFrame:
         return _granted(table if test is None else table.filter(test), spec)
     rows = index.live("rows")
     rows = _granted(rows if test is None else rows.filter(test), spec)
-    return table.join(rows.select(F.col(info["primary_key"]).alias("key")), "key", "left_semi")
+    keys = rows.select(F.col(info["primary_key"]).alias("key"))
+    n = keys.limit(BROADCAST_ROWS + 1).count()
+    return table.join(small_side(keys, n), "key", "left_semi")
 
 
 def _granted(table: DataFrame, spec: SearchSpec) -> DataFrame:
@@ -107,17 +112,30 @@ def candidates(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> Da
 
 
 def fetch(index: Index, hits: DataFrame, columns: tuple[str, ...] | list[str], small: bool) -> DataFrame:
-    """Add columns of the hit rows. Only partitions that hold hits are read when the
-    hit list is small enough to broadcast."""
-    key = index.info["primary_key"]
-    unknown = [c for c in columns if c not in index.info["columns"]]
+    """Add columns of the hit rows.
+
+    When the row table has several shards and the hits are few, they are written
+    first, and only their shards are read - only their row groups for a handful.
+    """
+    info = index.info
+    key = info["primary_key"]
+    unknown = [c for c in columns if c not in info["columns"]]
     if unknown:
         raise ValueError(f"unknown columns {unknown}")
     extra = [c for c in columns if c != key]
-    placed = hits.withColumn("_at", _shard(index, F.col("key")))
-    rows = index.live("rows").select(F.col(key).alias("_pk"), "_shard", *[F.col(c).alias(f"_c_{c}") for c in extra])
-    side = F.broadcast(placed) if small else placed
-    joined = rows.join(side, (rows["_shard"] == side["_at"]) & (rows["_pk"] == side["key"]))
+    if not extra:
+        return hits
+    rows = index.live("rows")
+    if small and info["n_shards"] > 1:
+        hits = written(index.spark, hits, "hits")
+        shards = hits.select(_shard(index, F.col("key"))).distinct().limit(info["n_shards"]).collect()
+        rows = rows.filter(F.col("_shard").isin([r[0] for r in shards]))
+        keys = hits.select("key").distinct().limit(FEW_KEYS + 1).collect()
+        if len(keys) <= FEW_KEYS:
+            rows = rows.filter(F.col(key).isin([r[0] for r in keys]))
+    rows = rows.select(F.col(key).alias("_pk"), *[F.col(c).alias(f"_c_{c}") for c in extra])
+    side = F.broadcast(hits) if small else hits
+    joined = rows.join(side, rows["_pk"] == side["key"])
     return joined.select(*hits.columns, *[F.col(f"_c_{c}").alias(c) for c in extra])
 
 
@@ -142,6 +160,8 @@ def search(index: Index, queries: DataFrame, spec: SearchSpec, model=None) -> Da
         texts = fetch(index, hits.drop("score", "rank"), columns + needed, small)
         asked = queries.select("query_id", "query_text")
         pairs = texts.join(F.broadcast(asked) if small else asked, "query_id")
+        # Hits sit in the few partitions they were read from; scoring is spread evenly.
+        pairs = pairs.repartition("query_id", "key")
         found = topk.rank_hits(spec.reranker.score(pairs), k)
     else:
         found = fetch(index, hits, columns, small)
@@ -168,10 +188,8 @@ def similarity_search(
 
 def match_all_terms(index: Index, queries: DataFrame) -> DataFrame:
     """Every document that holds all distinct tokens of a query: a filter, not a ranking."""
-    info = index.info
-    return lexical.all_terms(
-        index.live("rows"), info["primary_key"], info["text_col"], index.live("postings"), index.frequencies(), queries, "query_text"
-    )
+    small = _is_small(queries, TERMS_PER_QUERY)
+    return lexical.all_terms(index.live("postings"), index.frequencies(), queries, "query_text", small)
 
 
 def parents(chunk_hits: DataFrame, owners: DataFrame, k: int) -> DataFrame:

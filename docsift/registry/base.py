@@ -71,54 +71,54 @@ _BLOCKS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|
 # Named common table expressions; a query names those it needs with {{name}} in
 # its FROM clauses and gets them, with what they need, in a WITH clause.
 PARTS: dict[str, str] = {
-    "marked": f"""
-        SELECT page_id AS path,
-          regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-            '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
-            '<(nav|footer|table)(?:\\s[^>]*)?>', chr(3) || '\\1' || chr(2) || '<\\1>', 'g'),
-            '<div class="ad">', chr(3) || 'ad' || chr(2), 'g'),
-            '</(nav|footer|table|div)>', '</\\1>' || chr(4), 'g'),
-            '<img(\\s[^>]*)>', chr(1) || 'img\\1' || chr(2) || chr(1) || 'p' || chr(2), 'g'),
-            '<({_BLOCKS})(?:\\s[^>]*)?>', chr(1) || '\\1' || chr(2), 'g') AS m
+    "marked": """
+        SELECT page_id AS path, replace(regexp_replace(
+          regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+            regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
+            '(?i)<(/?)nav\\b', '<\\1nav', 'g'), '(?i)<(/?)footer\\b', '<\\1footer', 'g'),
+            '(?i)<(/?)table\\b', '<\\1table', 'g'), '(?i)<(/?)div\\b', '<\\1div', 'g'),
+          '<(nav|footer|table)\\b', chr(3) || '\\1' || chr(2) || '\\0', 'g'),
+          '<div class="ad"', chr(3) || 'ad' || chr(2) || '<div class="ad"') AS m
         FROM pages""",
     "sections": """
-        SELECT path, unnest(string_split(m, chr(3))) AS s,
-          unnest(range(len(string_split(m, chr(3))))) AS si
-        FROM {{marked}}""",
+        SELECT path, s, si, split_part(s, chr(2), 1) AS name,
+          substr(s, length(split_part(s, chr(2), 1)) + 2) AS inside,
+          CASE split_part(s, chr(2), 1) WHEN 'ad' THEN '</div>' ELSE '</' || split_part(s, chr(2), 1) || '>' END AS close
+        FROM (SELECT path, unnest(string_split(m, chr(3))) AS s, unnest(range(len(string_split(m, chr(3))))) AS si
+              FROM {{marked}})""",
     "regions": """
-        SELECT path, 0 AS si, 0 AS half, 'body' AS region, replace(s, chr(4), '') AS markup
-        FROM {{sections}} WHERE si = 0
+        SELECT path, 0 AS si, 0 AS half, 'body' AS region, s AS markup FROM {{sections}} WHERE si = 0
         UNION ALL
-        SELECT path, si, 0, split_part(s, chr(2), 1),
-          split_part(substr(s, length(split_part(s, chr(2), 1)) + 2), chr(4), 1)
-        FROM {{sections}} WHERE si > 0
+        SELECT path, si, 0, name, split_part(inside, close, 1) || close FROM {{sections}} WHERE si > 0
         UNION ALL
-        SELECT path, si, 1, 'body',
-          replace(substr(s, length(split_part(s, chr(4), 1)) + 2), chr(4), '')
+        SELECT path, si, 1, 'body', substr(inside, length(split_part(inside, close, 1)) + length(close) + 1)
         FROM {{sections}} WHERE si > 0""",
+    "cut": f"""
+        SELECT path, si, half, region, CASE WHEN region = 'table' THEN [markup] ELSE string_split(
+          regexp_replace(regexp_replace(markup, '(?i)<(img\\s[^>]*)>', chr(1) || '\\1' || chr(2) || chr(1) || 'p' || chr(2), 'g'),
+            '(?i)<({_BLOCKS})(?:\\s[^>]*)?>', chr(1) || '\\1' || chr(2), 'g'), chr(1)) END AS raws
+        FROM {{{{regions}}}}""",
     "pieces": """
-        SELECT path, si, half, region,
-          unnest(CASE WHEN region = 'table' THEN [markup] ELSE string_split(markup, chr(1)) END) AS raw,
-          unnest(range(CASE WHEN region = 'table' THEN 1 ELSE len(string_split(markup, chr(1))) END)) AS pi
-        FROM {{regions}}""",
+        SELECT path, si, half, region, unnest(raws) AS raw, unnest(range(len(raws))) AS pi FROM {{cut}}""",
     "tagged": """
-        SELECT path, region, raw,
-          row_number() OVER (PARTITION BY path ORDER BY si, half, pi) - 1 AS pos,
-          CASE WHEN contains(raw, chr(2)) THEN split_part(raw, chr(2), 1) END AS tag,
-          CASE WHEN contains(raw, chr(2)) THEN split_part(raw, chr(2), 2) ELSE raw END AS body
-        FROM {{pieces}}""",
+        SELECT path, region, raw, head, lower(regexp_extract(head, '^(\\w+)', 1)) AS tag, pos, body FROM (
+          SELECT path, region, raw,
+            row_number() OVER (PARTITION BY path ORDER BY si, half, pi) - 1 AS pos,
+            CASE WHEN contains(raw, chr(2)) THEN split_part(raw, chr(2), 1) END AS head,
+            CASE WHEN contains(raw, chr(2)) THEN split_part(raw, chr(2), 2) ELSE raw END AS body
+          FROM {{pieces}})""",
     "elements": f"""
         SELECT * FROM (
           SELECT path, 1 AS page, CAST(pos AS INTEGER) AS pos,
             CASE WHEN region = 'table' THEN 'table' WHEN tag = 'title' THEN 'title'
                  WHEN regexp_matches(tag, '^h[1-6]$') THEN 'header' WHEN tag = 'li' THEN 'list_item'
-                 WHEN regexp_matches(tag, '^img\\s') THEN 'image' WHEN tag = 'figcaption' THEN 'caption'
+                 WHEN tag = 'img' THEN 'image' WHEN tag = 'figcaption' THEN 'caption'
                  ELSE 'text' END AS type,
             region,
             CASE WHEN tag = 'title' THEN 1
                  WHEN regexp_matches(tag, '^h[1-6]$') THEN CAST(substr(tag, 2, 1) AS INTEGER) + 1 END AS level,
-            CASE WHEN region = 'table' THEN regexp_replace(replace(raw, chr(1), ''), chr(2), '', 'g')
-                 WHEN regexp_matches(tag, '^img\\s') THEN regexp_extract(tag, 'src="([^"]*)"', 1)
+            CASE WHEN region = 'table' THEN raw
+                 WHEN tag = 'img' THEN regexp_extract(head, 'src="([^"]*)"', 1)
                  ELSE {_decoded('body')} END AS content
           FROM {{{{tagged}}}})
         WHERE content <> ''""",

@@ -108,7 +108,7 @@ SEMANTIC_PARTS = f"""
            ON a.doc_id = b.doc_id AND b.i = a.i + 1 AND a.b = b.b GROUP BY ALL),
     cuts AS (SELECT s.doc_id, s.i, s.s,
                CASE WHEN s.i = 0 THEN 1
-                    WHEN round(coalesce(sd.dot, 0) / (sqrt(x.n) * sqrt(y.n)), 6) < 0.3 THEN 1 ELSE 0 END AS cut
+                    WHEN round(coalesce(sd.dot, 0) / (sqrt(x.n) * sqrt(y.n)), 6) < 0.1 THEN 1 ELSE 0 END AS cut
              FROM sent s LEFT JOIN sn x ON x.doc_id = s.doc_id AND x.i = s.i
              LEFT JOIN sn y ON y.doc_id = s.doc_id AND y.i = s.i - 1
              LEFT JOIN sd ON sd.doc_id = s.doc_id AND sd.i = s.i)"""
@@ -121,7 +121,7 @@ SEMANTIC_PARTS = f"""
     FROM (SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM cuts) GROUP BY doc_id, g""",
 )
 def chunk_semantic(spark, sf):
-    return chunk.semantic(docs(spark, sf), ["doc_id"], "text", 0.3)
+    return chunk.semantic(docs(spark, sf), ["doc_id"], "text", 0.1)
 
 
 @query(

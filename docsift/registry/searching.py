@@ -11,7 +11,7 @@ from docsift.functions import vectors as vx
 from docsift.operators import cells, chunk, embed, rank, topk
 from docsift.plans import filters as flt
 from docsift.plans import search as se
-from docsift.registry.base import bucket, coverage, load, query, sign, toks
+from docsift.registry.base import PARTS, bucket, coverage, load, query, sign, toks
 from docsift.registry.chunking import FIXED_SQL
 from docsift.registry.indexing import documents_index, vectors_index
 from docsift.session import written
@@ -174,13 +174,6 @@ def fulltext_filtered(spark, sf):
     return run(spark, sf, se.SearchSpec(("lang",), 5, "full_text", filters={"lang NOT": "en"}))
 
 
-FILTERED_PARTS = """
-    fs AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-           FROM {{cosines}} WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 1000)),
-    fk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-           FROM {{bm25}} WHERE doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 1000))"""
-
-
 @query(
     "hybrid_filtered",
     """SELECT query_id, rank, score, doc_id, n_chars FROM (
@@ -261,11 +254,14 @@ def overlap_at_k(spark, sf):
     return rank.overlap_at_k(*_before_after(spark, sf), 5)
 
 
-PARENT_PARTS = f"""
-    ch AS (SELECT *, doc_id || '#' || pos AS key FROM ({FIXED_SQL})),
-    ct AS (SELECT key, unnest({toks('chunk')}) AS term FROM ch),
-    cv AS (SELECT key, {bucket('term')} AS b, sum({sign('term')})::DOUBLE AS c FROM ct GROUP BY ALL),
-    cn AS (SELECT key, sqrt(sum(c * c)) AS len FROM cv GROUP BY key HAVING sum(c * c) > 0)"""
+PARTS.update(
+    {
+        "ch": f"SELECT *, doc_id || '#' || pos AS key FROM ({FIXED_SQL})",
+        "ct": f"SELECT key, unnest({toks('chunk')}) AS term FROM {{{{ch}}}}",
+        "cv": f"SELECT key, {bucket('term')} AS b, sum({sign('term')})::DOUBLE AS c FROM {{{{ct}}}} GROUP BY ALL",
+        "cn": "SELECT key, sqrt(sum(c * c)) AS len FROM {{cv}} GROUP BY key HAVING sum(c * c) > 0",
+    }
+)
 
 
 @query(
@@ -275,10 +271,10 @@ PARENT_PARTS = f"""
         SELECT query_id, doc_id AS key, max(score) AS score FROM (
           SELECT query_id, key, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key) AS r FROM (
             SELECT q.query_id, n.key, round(coalesce(d.dot, 0) / (q.len * n.len), 6) AS score
-            FROM {{{{qnorm}}}} q CROSS JOIN cn n LEFT JOIN (
-              SELECT query_id, key, sum(a.c * b.c) AS dot FROM {{{{qvec}}}} a JOIN cv b USING (b) GROUP BY ALL) d
+            FROM {{{{qnorm}}}} q CROSS JOIN {{{{cn}}}} n LEFT JOIN (
+              SELECT query_id, key, sum(a.c * b.c) AS dot FROM {{{{qvec}}}} a JOIN {{{{cv}}}} b USING (b) GROUP BY ALL) d
             USING (query_id, key)))
-        JOIN ch USING (key) WHERE r <= 50 GROUP BY query_id, doc_id))
+        JOIN {{{{ch}}}} USING (key) WHERE r <= 50 GROUP BY query_id, doc_id))
     WHERE rank <= 5""",
 )
 def parent_retrieval(spark, sf):
@@ -347,11 +343,11 @@ def ann_lsh(spark, sf):
 
 @query("ann_recall")
 def ann_recall(spark, sf):
-    """Every stored vector asks for its neighbours: recall@10 with the share scanned."""
+    """Recall@10 against the exact lists, always with the share of vectors scanned."""
     index = vectors_index(spark, sf)
     vectors = index.live("vectors").select("key", "vector", "cell")
     n = index.info["n_docs"]
-    queries = written(spark, load(spark, sf, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")), "queries")
+    queries = written(spark, centroids(spark, sf), "queries")
     exact = written(spark, topk.nearest(vectors, queries, 10), "exact")
     report = None
     trials = [("cells", p) for p in (1, 4, 8, 16)] + [("bands", BANDS)]

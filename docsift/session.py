@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -57,7 +58,7 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
-def written(spark: SparkSession, df, label: str):
+def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write `df` once below the shared folder and read it back.
 
     Used where one result feeds several jobs: the copy outlives lost executors
@@ -66,3 +67,18 @@ def written(spark: SparkSession, df, label: str):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint `df` for broadcast when its counted rows are few; else leave the join
+    to a shuffle on its key."""
+    return F.broadcast(df) if n_rows <= limit else df
+
+
+def counted(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`df` written once, and how many rows it has."""
+    stored = written(spark, df, label)
+    return stored, stored.count()
