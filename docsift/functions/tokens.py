@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the characters a regular expression calls blank.
+BLANKS = " \t\n\r\f\v"
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
 

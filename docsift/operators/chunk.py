@@ -72,7 +72,7 @@ def fixed_tokens(df: DataFrame, keep: list[str], text: str, size: int, overlap:
 
 
 def _nonblank(pieces: Column) -> Column:
-    trimmed = F.transform(pieces, lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
+    trimmed = F.transform(pieces, lambda p: F.trim(p, F.lit(tk.BLANKS)))
     return F.filter(trimmed, lambda p: p != "")
 
 

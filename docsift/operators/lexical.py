@@ -37,7 +37,8 @@ def idf(n_docs, df):
 
 def query_terms(queries: DataFrame, text_col: str) -> DataFrame:
     """`query_id, term`, each term once per query."""
-    return queries.select("query_id", F.explode(tk.distinct_tokens(F.col(text_col))).alias("term"))
+    listed = queries.select("query_id", F.explode_outer(tk.distinct_tokens(F.col(text_col))).alias("term"))
+    return listed.filter(F.col("term").isNotNull())
 
 
 def weighted_queries(terms: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docsift.functions.let import let
+from docsift.functions.tokens import BLANKS
 from docsift.session import counted, small_side
 
 SCHEMA_VERSION = "2.0"
@@ -56,8 +58,10 @@ ELEMENT_COLUMNS = ("path", "page", "pos", "type", "region", "level", "content")
 def _marked(html: Column) -> Column:
     """Visible markup, with the start of each region marked and named."""
     text = F.regexp_replace(html, INVISIBLE, "")
+    lowered = text
     for tag in REGION_TAGS:
-        text = F.regexp_replace(text, rf"(?i)<(/?){tag}\b", f"<$1{tag}")
+        lowered = F.regexp_replace(lowered, rf"(?i)<(/?){tag}\b", f"<$1{tag}")
+    text = F.when(text.rlike("</?[A-Z]"), lowered).otherwise(text)
     text = F.regexp_replace(text, r"<(nav|footer|table)\b", REGION_OPEN + "$1" + HEAD_END + "$0")
     return F.replace(text, F.lit('<div class="ad"'), F.lit(REGION_OPEN + "ad" + HEAD_END + '<div class="ad"'))
 
@@ -65,18 +69,29 @@ def _marked(html: Column) -> Column:
 def _regions(marked: Column) -> Column:
     """Array of (region, markup); region 'body' outside the marked ones."""
 
-    def cut(section: Column, index: Column) -> Column:
-        whole = F.array(F.struct(F.lit("body").alias("region"), section.alias("markup")))
-        name = F.split_part(section, F.lit(HEAD_END), F.lit(1))
+    def before(text: Column, mark: Column) -> Column:
+        return F.call_function("substring_index", text, mark, F.lit(1))
+
+    def named(section: Column, name: Column) -> Column:
         inside = F.substr(section, F.length(name) + 2, F.length(section))
         close = F.when(name == "ad", F.lit("</div>")).otherwise(F.concat(F.lit("</"), name, F.lit(">")))
-        head = F.split_part(inside, close, F.lit(1))
+        return let(
+            F.struct(inside.alias("inside"), close.alias("close")),
+            lambda s: let(before(s["inside"], s["close"]), lambda head: parts(name, s["inside"], s["close"], head)),
+        )
+
+    def parts(name: Column, inside: Column, close: Column, head: Column) -> Column:
         tail = F.substr(inside, F.length(head) + F.length(close) + 1, F.length(inside))
-        both = F.array(
+        return F.array(
             F.struct(name.alias("region"), F.concat(head, close).alias("markup")),
             F.struct(F.lit("body").alias("region"), tail.alias("markup")),
         )
-        return F.when(index == 0, whole).otherwise(both)
+
+    def cut(section: Column, index: Column) -> Column:
+        whole = F.array(F.struct(F.lit("body").alias("region"), section.alias("markup")))
+        return F.when(index == 0, whole).otherwise(
+            let(before(section, F.lit(HEAD_END)), lambda name: named(section, name))
+        )
 
     return F.flatten(F.transform(F.split(marked, REGION_OPEN), cut))
 
@@ -92,7 +107,7 @@ def plain(markup: Column) -> Column:
     text = F.regexp_replace(markup, r"<[^>]*>", "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = None) -> DataFrame:
@@ -118,9 +133,9 @@ def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = No
     )
     raw = F.col("piece.raw")
     has_head = F.contains(raw, F.lit(HEAD_END))
-    head = F.when(has_head, F.split_part(raw, F.lit(HEAD_END), F.lit(1)))
+    head = F.when(has_head, F.substring_index(raw, HEAD_END, 1))
     tag = F.lower(F.regexp_extract(head, r"^(\w+)", 1))
-    body = F.when(has_head, F.split_part(raw, F.lit(HEAD_END), F.lit(2))).otherwise(raw)
+    body = F.substring_index(raw, HEAD_END, -1)
     kind = F.when(F.col("piece.region") == "table", F.lit("table"))
     for pattern, name in TYPE_OF_TAG:
         kind = kind.when(F.col("tag").rlike(f"^(?:{pattern})$"), F.lit(name))
@@ -142,9 +157,10 @@ def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = No
             kind.otherwise(F.lit("text")).alias("type"),
             F.col("piece.region").alias("region"),
             level.alias("level"),
-            content.alias("content"),
+            # A filter on the expression itself would compute it a second time.
+            F.explode_outer(F.array(F.nullif(content, F.lit("")))).alias("content"),
         )
-        .filter(F.col("content") != "")
+        .filter(F.col("content").isNotNull())
     )
 
 
