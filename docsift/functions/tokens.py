@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the characters a regular expression calls blank.
 BLANKS = " \t\n\r\f\v"
-TOKEN_BREAK = r"[^\p{L}\p{N}]+"
+TOKEN_BREAK = r"[^\p{L}\p{N}]++"
 
 
 def tokens(text: Column) -> Column:
@@ -16,8 +16,8 @@ def tokens(text: Column) -> Column:
 
 
 def token_line(text: Column) -> Column:
-    """The same tokens as one string, a blank between each two."""
-    return F.trim(F.regexp_replace(F.lower(text), TOKEN_BREAK, " "))
+    """The same tokens as one string, a blank between each two, perhaps one at the ends."""
+    return F.array_join(F.split(F.lower(text), TOKEN_BREAK), " ")
 
 
 def words(text: Column) -> Column:

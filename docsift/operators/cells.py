@@ -18,20 +18,20 @@ from pyspark.sql import types as T
 from docsift.functions import vectors as vx
 
 MAX_CELLS = 4096
-ROWS_PER_CELL_TO_TRAIN = 256
+ROWS_PER_CELL = 256
 NO_CELL = -1
 
 
 def cell_count(n: int) -> int:
-    """About sqrt(n), bounded so that the centres stay small enough to ship."""
-    return max(1, min(MAX_CELLS, round(math.sqrt(n))))
+    """About sqrt(n): no cells of a few rows, and centres small enough to ship."""
+    return max(1, min(MAX_CELLS, round(math.sqrt(n)), n // ROWS_PER_CELL))
 
 
 def train_cells(vectors: DataFrame, column: str, n: int, n_cells: int, seed: int = 7) -> np.ndarray:
     """Centres of the unit vectors. Only the training set is thinned, and only when
     it holds far more rows than the centres need; every vector gets a cell."""
     unit = vectors.select(vx.normalise(F.col(column)).alias("u")).filter(F.col("u").isNotNull())
-    share = 4 * ROWS_PER_CELL_TO_TRAIN * n_cells / max(n, 1)
+    share = 4 * ROWS_PER_CELL * n_cells / max(n, 1)
     if share < 1:
         unit = unit.sample(fraction=share, seed=seed)
     points = unit.select(array_to_vector("u").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsift.operators.parse import PAGES_PER_PART
+
 PAGE_MARK = "\n== page ==\n"
-PAGES_PER_PART = 10_000
 
 # Fixed value: the instruction that asks a model for Markdown.
 MARKDOWN_PROMPT = (

@@ -10,6 +10,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +20,13 @@ from docsift.functions import tokens as tk
 from docsift.functions import vectors as vx
 
 
-def _bucket_and_sign(token: str, dim: int) -> tuple[int, int]:
-    if not token:
-        return 0, 0
-    digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16) % dim, 1 - 2 * (int(digest[8], 16) % 2)
+def _buckets_and_signs(tokens: list[bytes], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    digests = b"".join(hashlib.md5(t, usedforsecurity=False).digest() for t in tokens)
+    table = np.frombuffer(digests, np.uint8).reshape(-1, 16)
+    bucket = table[:, :4].copy().view(">u4")[:, 0].astype(np.int64) % dim
+    sign = 1 - 2 * ((table[:, 4] >> 4) & 1).astype(np.int64)
+    sign[[i for i, t in enumerate(tokens) if not t]] = 0
+    return bucket, sign
 
 
 def signed_counts(token_lists: pa.Array, dim: int) -> np.ndarray:
@@ -35,11 +39,11 @@ def signed_counts(token_lists: pa.Array, dim: int) -> np.ndarray:
     if len(flat) == 0:
         return np.zeros((n, dim))
     coded = flat.dictionary_encode()
-    table = np.array([_bucket_and_sign(t, dim) for t in coded.dictionary.to_pylist()])
+    bucket, sign = _buckets_and_signs(coded.dictionary.cast(pa.binary()).to_pylist(), dim)
     codes = coded.indices.to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(n), lengths)
-    cells = owner * dim + table[codes, 0]
-    return np.bincount(cells, weights=table[codes, 1], minlength=n * dim).reshape(n, dim)
+    cells = owner * dim + bucket[codes]
+    return np.bincount(cells, weights=sign[codes], minlength=n * dim).reshape(n, dim)
 
 
 def float_lists(matrix: np.ndarray) -> pa.Array:
@@ -103,6 +107,20 @@ def embed(df: DataFrame, text_col: str, model, out: str = "vector") -> DataFrame
     return df.withColumn(out, model.column(F.col(text_col)))
 
 
+def principal_axes(vectors: DataFrame, vector_col: str, dim: int) -> Callable[[Column], Column]:
+    """Fit principal components and return the projection to `dim` values, which must
+    be applied to documents and queries alike. Only the covariance leaves the tasks."""
+    points = vectors.select(array_to_vector(vector_col).alias("v"))
+    axes = np.asarray(PCA(k=dim, inputCol="v", outputCol="p").fit(points).pc.toArray())
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def project(batch: pa.Array) -> pa.Array:
+        flat = pc.list_flatten(batch).to_numpy(zero_copy_only=False).astype(np.float64)
+        return float_lists(flat.reshape(len(batch), len(axes)) @ axes)
+
+    return project
+
+
 def vector_report(df: DataFrame, key: str, vector_col: str, dim: int) -> DataFrame:
     """Per row: length, and whether it is a usable vector of `dim` numbers."""
     v = F.col(vector_col)

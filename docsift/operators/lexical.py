@@ -81,5 +81,5 @@ def all_terms(posts: DataFrame, frequencies: DataFrame, queries: DataFrame, quer
 def phrase(text, wanted):
     """Exact phrase on token boundaries, blind to case and punctuation."""
     flat = F.concat(F.lit(" "), tk.token_line(text), F.lit(" "))
-    needle = F.concat(F.lit(" "), tk.token_line(wanted), F.lit(" "))
+    needle = F.concat(F.lit(" "), F.trim(tk.token_line(wanted)), F.lit(" "))
     return F.contains(flat, needle)

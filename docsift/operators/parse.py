@@ -52,7 +52,7 @@ TYPE_OF_TAG = (
 )
 NOISE_REGIONS = ("nav", "footer", "ad")
 
-ELEMENT_COLUMNS = ("path", "page", "pos", "type", "region", "level", "content")
+PAGES_PER_PART = 10_000
 
 
 def _marked(html: Column) -> Column:
@@ -241,7 +241,10 @@ def references(pages: DataFrame, path: str, html: str, page: str | None = None)
 
 
 def parsed_documents(elements: DataFrame) -> DataFrame:
-    """One VARIANT per path: `document{pages, elements, metadata}`, status fields, version."""
+    """One VARIANT per path and part: `document{pages, elements, metadata}`, status
+    fields, version. A part holds up to PAGES_PER_PART pages, so ordinary documents
+    have part 0 only and no value outgrows its row."""
+    part = F.floor(F.col("page") / PAGES_PER_PART).cast("int").alias("part")
     per_page = elements.groupBy("path", "page").agg(
         F.sort_array(F.collect_list(F.struct("pos", "type", "region", "content"))).alias("items")
     )
@@ -261,7 +264,7 @@ def parsed_documents(elements: DataFrame) -> DataFrame:
             e["type"].alias("type"), F.col("page").alias("page_number"), e["content"].alias("content")
         ),
     )
-    per_path = per_page.groupBy("path").agg(
+    per_path = per_page.groupBy("path", part).agg(
         F.sort_array(F.collect_list(F.struct("page", page.alias("whole"), item.alias("items")))).alias("pages")
     )
     pages = F.transform("pages", lambda p: p["whole"])
@@ -280,7 +283,7 @@ def parsed_documents(elements: DataFrame) -> DataFrame:
         metadata.alias("metadata"),
         F.lit(SCHEMA_VERSION).alias("version"),
     )
-    return per_path.select("path", F.to_variant_object(whole).alias("parsed_content"))
+    return per_path.select("path", "part", F.to_variant_object(whole).alias("parsed_content"))
 
 
 def check_version(parsed: DataFrame, version: str = SCHEMA_VERSION) -> DataFrame:

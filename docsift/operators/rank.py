@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docsift.functions import tokens as tk
 from docsift.operators.topk import SCORE_DIGITS, rank_hits
+from docsift.session import counted, small_side
 
 RRF_K = 60
 
@@ -96,11 +97,18 @@ def overlap_at_k(before: DataFrame, after: DataFrame, k: int) -> DataFrame:
 
 
 def precision(hits: DataFrame, relevant: DataFrame) -> DataFrame:
-    """Relevant hits / all hits per query; `relevant(query_id, key)`."""
-    marked = hits.join(relevant.select("query_id", "key", F.lit(1).alias("_r")), ["query_id", "key"], "left")
-    return marked.groupBy("query_id").agg(
-        F.count("*").alias("n_hits"),
-        F.round(F.avg(F.coalesce(F.col("_r"), F.lit(0))), SCORE_DIGITS).alias("precision"),
+    """Relevant hits / all hits per query; `relevant(query_id, key)`, each pair once.
+
+    The hits are written and counted, so that the judgements stay where they are
+    when the hits are few.
+    """
+    stored, n = counted(hits.sparkSession, hits.select("query_id", "key"), "hits")
+    good = relevant.select("query_id", "key").join(small_side(stored, n), ["query_id", "key"])
+    found = stored.groupBy("query_id").agg(F.count("*").alias("n_hits"))
+    right = good.groupBy("query_id").agg(F.count("*").alias("_n"))
+    share = F.coalesce(F.col("_n"), F.lit(0)) / F.col("n_hits")
+    return found.join(right, "query_id", "left").select(
+        "query_id", "n_hits", F.round(share, SCORE_DIGITS).alias("precision")
     )
 
 

@@ -10,7 +10,6 @@ from docsift.operators import changes as ch
 from docsift.operators import lexical
 from docsift.operators.embed import HashedModel
 from docsift.plans import index as ix
-from docsift.plans import search as se
 from docsift.registry.base import load, query, toks
 from docsift.session import fresh_path, scratch_database
 from docsift.sources import tables
@@ -36,7 +35,12 @@ def build_documents(spark, sf) -> ix.Index:
 
 def build_vectors(spark, sf) -> ix.Index:
     return ix.create_index(
-        load(spark, sf, "embeddings"), _name(spark, "vectors"), "vec_id", vector_col="embedding", filter_columns=["label"]
+        load(spark, sf, "embeddings"),
+        _name(spark, "vectors"),
+        "vec_id",
+        vector_col="embedding",
+        filter_columns=["label"],
+        n_cells=32,
     )
 
 
@@ -135,13 +139,22 @@ def index_managed(spark, sf):
     )
 
 
-@query("index_describe")
+@query(
+    "index_describe",
+    f"""SELECT 0 AS version, 'doc_id' AS primary_key, 'text' AS text_col, 'hashed-bag-64' AS model_id, 64 AS dim,
+      'cosine' AS metric, count(*) AS n_docs, CAST(sum(len({toks('text')})) AS BIGINT) AS total_len,
+      'TRIGGERED' AS pipeline_type FROM documents""",
+)
 def index_describe(spark, sf):
     index = documents_index(spark, sf)
-    return ix.get_index(spark, index.name).describe()
+    return ix.get_index(spark, index.name).describe().drop("name", "n_cells")
 
 
-@query("model_mismatch")
+@query(
+    "model_mismatch",
+    """SELECT 'hashed-bag-64' AS model_id, count(*) AS n_docs,
+      'index was built with model ''hashed-bag-64'', not ''hashed-bag-32''' AS refusal FROM documents""",
+)
 def model_mismatch(spark, sf):
     index = documents_index(spark, sf)
     try:
@@ -152,7 +165,7 @@ def model_mismatch(spark, sf):
     return index.describe().select("model_id", "n_docs", F.lit(refusal).alias("refusal"))
 
 
-@query("index_drop")
+@query("index_drop", "SELECT count(*) AS n_source, count(*) AS n_docs, true AS existed, true AS gone FROM pages")
 def index_drop(spark, sf):
     index = ix.create_index(load(spark, sf, "pages"), _name(spark, "pages"), "page_id", text_col="html")
     shown = index.describe().select("n_docs").first()[0]

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docsift.operators import chunk, clean, embed, metadata, parse
 from docsift.plans import layers
-from docsift.registry.base import _decoded, load, nonblank, query, toks
-from docsift.session import fresh_path, scratch_database
+from docsift.registry.base import load, nonblank, query
+from docsift.session import scratch_database
 from docsift.sources import files, tables
 
 
@@ -60,7 +59,7 @@ def list_files(spark, sf):
     return files.list_files(spark, sf, "*.parquet")
 
 
-@query("table_flag")
+@query("table_flag", "SELECT source, count(*) AS n_rows, false AS flag_before, true AS flag_after FROM documents GROUP BY source")
 def table_flag(spark, sf):
     table = f"{scratch_database(spark)}.flagged_documents"
     tables.drop(spark, table)
@@ -197,7 +196,7 @@ def variant_paths(spark, sf):
 
 @query(
     "parsed_variant",
-    """SELECT path, count(*) AS n_elements, count(DISTINCT page) AS n_pages,
+    """SELECT path, 0 AS part, count(*) AS n_elements, count(DISTINCT page) AS n_pages,
       arg_min(type, pos) AS first_type, arg_min(content, pos) AS first_content, '2.0' AS version
     FROM {{elements}} GROUP BY path""",
 )
@@ -206,6 +205,7 @@ def parsed_variant(spark, sf):
     items = "cast(variant_get(parsed_content, '$.document.{}') as array<variant>)"
     return parsed.select(
         "path",
+        "part",
         F.expr(f"size({items.format('elements')})").cast("bigint").alias("n_elements"),
         F.expr(f"size({items.format('pages')})").cast("bigint").alias("n_pages"),
         F.expr("parsed_content:document.elements[0].type::string").alias("first_type"),

@@ -6,12 +6,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from docsift.functions import tokens as tk
 from docsift.functions import vectors as vx
-from docsift.operators import cells, chunk, embed, rank, topk
+from docsift.operators import cells, chunk, embed, lexical, rank, topk
 from docsift.plans import filters as flt
 from docsift.plans import search as se
-from docsift.registry.base import PARTS, bucket, coverage, load, query, sign, toks
+from docsift.registry.base import PARTS, bucket, coverage, load, query, sign, toks, words
 from docsift.registry.chunking import FIXED_SQL
 from docsift.registry.indexing import documents_index, vectors_index
 from docsift.session import written
@@ -214,7 +213,16 @@ def hybrid_reranked(spark, sf):
     return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid", reranker=COVERAGE))
 
 
-@query("rerank_user_fn")
+@query(
+    "rerank_user_fn",
+    f"""SELECT query_id, rank, score, doc_id, source FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
+        SELECT query_id, doc_id, d.source, round(len(list_intersect(list_distinct({words('b.text')}), {words('d.text')}))
+          / (1.0 + abs(length(d.text) - length(b.text))), 6) AS score
+        FROM {{{{sim50}}}} JOIN (SELECT item_id AS query_id, text FROM benchmark) b USING (query_id)
+        JOIN documents d USING (doc_id)))
+    WHERE rank <= 5""",
+)
 def rerank_user_fn(spark, sf):
     def load_model():
         import numpy as np
@@ -293,8 +301,6 @@ def parent_retrieval(spark, sf):
     f"""SELECT doc_id, source FROM documents WHERE contains(' ' || array_to_string({toks('text')}, ' ') || ' ', ' of the ')""",
 )
 def phrase_match(spark, sf):
-    from docsift.operators import lexical
-
     docs = load(spark, sf, "documents")
     return docs.filter(lexical.phrase(F.col("text"), F.lit("Of the"))).select("doc_id", "source")
 
@@ -382,3 +388,21 @@ def precision_at_k(spark, sf):
     hits = topk.nearest(stored_vectors(spark, sf), centroids(spark, sf), 10)
     relevant = load(spark, sf, "embeddings").select(F.col("label").alias("query_id"), F.col("vec_id").alias("key"))
     return rank.precision(hits, relevant)
+
+
+@query("dimension_study")
+def dimension_study(spark, sf):
+    """Recall@10 of shortened vectors against the full ones, by cutting and by PCA."""
+    full, queries = stored_vectors(spark, sf), written(spark, centroids(spark, sf), "queries")
+    exact = written(spark, topk.nearest(full, queries, 10), "exact")
+    report = None
+    for dim in (48, 32, 16):
+        project = embed.principal_axes(full, "vector", dim)
+        for way, shorten in (("slice", lambda v: vx.shorten(v, dim)), ("pca", project)):
+            small = [df.withColumn("vector", shorten(F.col("vector"))) for df in (full, queries)]
+            found = topk.nearest(small[0], small[1], 10)
+            row = rank.recall(found, exact).agg(
+                F.lit(way).alias("method"), F.lit(dim).alias("dim"), F.round(F.avg("recall"), 4).alias("recall_at_10")
+            )
+            report = row if report is None else report.unionByName(row)
+    return report

@@ -205,7 +205,7 @@ def index(spark, docs):
     from docsift.session import scratch_database
 
     return ix.create_index(
-        docs, f"{scratch_database(spark)}.search_test", "doc_id", text_col="text", model=embed.HashedModel(), filter_columns=["lang"]
+        docs, f"{scratch_database(spark)}.search_test", "doc_id", text_col="text", model=embed.HashedModel(), filter_columns=["lang"], n_cells=8
     )
 
 
