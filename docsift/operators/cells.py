@@ -19,6 +19,7 @@ from docsift.functions import vectors as vx
 
 MAX_CELLS = 4096
 ROWS_PER_CELL = 256
+TRAINING_ROWS_PER_CELL = 64
 NO_CELL = -1
 
 
@@ -31,7 +32,7 @@ def train_cells(vectors: DataFrame, column: str, n: int, n_cells: int, seed: int
     """Centres of the unit vectors. Only the training set is thinned, and only when
     it holds far more rows than the centres need; every vector gets a cell."""
     unit = vectors.select(vx.normalise(F.col(column)).alias("u")).filter(F.col("u").isNotNull())
-    share = 4 * ROWS_PER_CELL * n_cells / max(n, 1)
+    share = TRAINING_ROWS_PER_CELL * n_cells / max(n, 1)
     if share < 1:
         unit = unit.sample(fraction=share, seed=seed)
     points = unit.select(array_to_vector("u").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,28 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions import tokens as tk
 
 
+_DOCS_PER_STEP = 512
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (key, token line, carried columns) to rows of (key, term, tf, doc_len, carried)."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, _DOCS_PER_STEP):
+            docs = whole.slice(start, _DOCS_PER_STEP)
+            lists = pc.split_pattern(docs.column(1), " ")
+            owner = np.repeat(np.arange(docs.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            words = pc.list_flatten(lists)
+            full = pc.not_equal(words, "")
+            owner, words = owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
+            if len(words) == 0:
+                continue
+            coded = words.dictionary_encode()
+            n_words = len(coded.dictionary)
+            pair, tf = np.unique(owner * n_words + coded.indices.to_numpy(), return_counts=True)
+            row = pair // n_words
+            doc_len = np.bincount(owner, minlength=docs.num_rows)[row]
+            carried = [docs.column(i).take(pa.array(row)) for i in (0, *range(2, docs.num_columns))]
+            columns = [carried[0], coded.dictionary.take(pa.array(pair % n_words)), pa.array(tf), pa.array(doc_len)]
+            yield pa.RecordBatch.from_arrays(columns + carried[1:], names=[str(i) for i in range(3 + len(carried))])
+
+
 def postings(docs: DataFrame, key: str, text_col: str, carry: list[str] | None = None, parts: int | None = None) -> DataFrame:
-    """One row per (key, distinct term): `term, tf, doc_len`, plus `carry` columns.
+    """One row per (key, distinct term): `key, term, tf, doc_len`, plus `carry` columns.
 
-    Documents are spread by key once; counting then needs no second shuffle, as
-    all tokens of a document sit in one task.
+    Terms are counted document by document, batch by batch: nothing is grouped
+    across rows, so memory does not grow with the table. With `parts` the documents
+    are first spread by key, ready for a table of that many buckets.
     """
     carry = carry or []
-    slim = docs.select(F.col(key).alias("key"), *carry, F.col(text_col).alias("_text"))
+    slim = docs.select(F.col(key).alias("key"), F.col(text_col).alias("_text"), *carry)
     spread = slim.repartition(parts, "key") if parts else slim
-    listed = spread.select("key", *carry, tk.tokens(F.col("_text")).alias("_t"))
-    # explode_outer: plain explode makes Catalyst tokenise again in an inferred filter
-    each = listed.select(
-        "key", *carry, F.size("_t").cast("bigint").alias("doc_len"), F.explode_outer("_t").alias("term")
-    ).filter(F.col("term").isNotNull())
-    kept = [F.first(c).alias(c) for c in carry]
-    return each.groupBy("key", "term").agg(F.count("*").alias("tf"), F.first("doc_len").alias("doc_len"), *kept)
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
+    schema = ", ".join(
+        [f"key {kinds['key']}", "term string", "tf bigint", "doc_len bigint"] + [f"`{c}` {kinds[c]}" for c in carry]
+    )
+    return spread.select("key", tk.token_line(F.col("_text")).alias("_line"), *carry).mapInArrow(_count_terms, schema)
 
 
 def document_frequency(posts: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ from docsift.sources import tables
 
 PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed")
 ROWS_PER_SHARD = 2_000_000
-DOCS_PER_BUCKET = 200_000
+DOCS_PER_BUCKET, MIN_BUCKETS = 10_000, 8
 MAX_SHARDS, MAX_BUCKETS = 20_000, 50_000
 PROPERTY = "docsift.index"
 _RESERVED = {"key", "term", "tf", "df", "doc_len", "vector", "cell"}
@@ -208,7 +208,7 @@ def create_index(
         "total_len": 0,
         "n_cells": 0,
         "n_shards": max(1, min(MAX_SHARDS, math.ceil(n / ROWS_PER_SHARD))),
-        "n_buckets": max(1, min(MAX_BUCKETS, math.ceil(n / DOCS_PER_BUCKET) * 8)),
+        "n_buckets": max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(n / DOCS_PER_BUCKET))),
         "streams": {},
     }
     index = Index(spark, name, info, model)
