@@ -14,11 +14,17 @@ def key_faults(df: DataFrame, key: str) -> DataFrame:
     return counted.filter(F.col("key").isNull() | (F.col("n") > 1))
 
 
-def require_key(df: DataFrame, key: str) -> None:
-    """Fail unless every row has a key of its own."""
-    worst = key_faults(df, key).limit(3).collect()
-    if worst:
+def require_key(df: DataFrame, key: str) -> int:
+    """Fail unless every row has a key of its own; return the number of rows."""
+    sizes = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    bad = F.col("key").isNull() | (F.col("n") > 1)
+    n, faults = sizes.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(bad.cast("int")), F.lit(0))
+    ).first()
+    if faults:
+        worst = key_faults(df, key).limit(3).collect()
         raise ValueError(f"{key} is not a primary key: {[(r['key'], r['n']) for r in worst]}")
+    return n
 
 
 def row_hash(df: DataFrame, columns: list[str]) -> Column:

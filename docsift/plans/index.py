@@ -188,9 +188,7 @@ def create_index(
         tables.require_change_feed(spark, source_table)
     if index_exists(spark, name):
         raise ValueError(f"index {name} exists")
-    ch.require_key(source, primary_key)
-
-    n = source.count()
+    n = ch.require_key(source, primary_key)
     info = {
         "segments": [0],
         "primary_key": primary_key,
@@ -214,13 +212,14 @@ def create_index(
     index = Index(spark, name, info, model)
     _clear(index)
     _write_rows(index, source, 0)
+    # From here on the stored rows are read, so a costly source is not computed again.
+    stored = spark.table(index.table("rows"))
     if text_col:
-        stored = spark.table(index.table("rows"))
         info["total_len"] = int(stored.agg(F.sum("_doc_len")).first()[0] or 0)
         _write_postings(index, stored, 0)
         _append(index, lexical.document_frequency(spark.table(index.table("postings"))), "terms", 0)
     if vector_col or model:
-        vectors = written(spark, _vector_rows(index, source), "vectors")
+        vectors = written(spark, _vector_rows(index, stored), "vectors")
         first = vectors.select(F.size("vector")).first()
         info["dim"] = int(first[0]) if first else getattr(model, "dim", 0)
         _require_vectors(vectors, info["dim"])

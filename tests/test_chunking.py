@@ -1,4 +1,3 @@
-import re
 
 import pytest
 from hypothesis import given, settings
