@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import store, token_records
+from docsift.llm import bpe, store, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,11 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.text_of(store.load(spark, sf_dir, "documents"))
     folder = store.folder(spark, "token-records")
     return token_records.read(spark, token_records.write(spark, docs, folder, vocabulary("byte_bpe_50k.json")))
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of `documents` by the rank file, and the bytes that they decode to, as digests."""
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(spark, store.text_of(store.load(spark, sf_dir, "documents")), ranks)
+    return bpe.digests(bpe.decode(encoded, ranks))
