@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import bpe, store, token_records
+from docsift.llm import bpe, decontaminate, store, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,38 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(spark, store.text_of(store.load(spark, sf_dir, "documents")), ranks)
     return bpe.digests(bpe.decode(encoded, ranks))
+
+
+_WORDS = r"list_filter(regexp_extract_all(translate(text, '{up}', '{low}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+_WORDS = _WORDS.format(up="ABCDEFGHIJKLMNOPQRSTUVWXYZ", low="abcdefghijklmnopqrstuvwxyz")
+
+
+@query(
+    "op9_decontaminate",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    iw AS (
+      SELECT DISTINCT item, unnest(CASE WHEN len(w) < 13 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' ')) END) AS win,
+        least(len(w), 13) AS n
+      FROM b WHERE len(w) > 0),
+    sizes AS (SELECT DISTINCT n FROM iw),
+    dw AS (
+      SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+        unnest(list_transform(range(1, len(w) - n + 2), lambda j: array_to_string(w[j:j + n - 1], ' '))) AS win
+      FROM d, sizes WHERE len(w) >= n),
+    found AS (SELECT doc_id, i, n, item FROM dw JOIN iw USING (win, n)),
+    hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+    of AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+      CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN of USING (doc_id)""",
+)
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of windows of `benchmark` in `documents`."""
+    docs = store.text_of(store.load(spark, sf_dir, "documents"))
+    return decontaminate.report(decontaminate.find(spark, docs, store.load(spark, sf_dir, "benchmark")))
