@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm import bpe, decontaminate, store, token_records
+from docsift.llm import bpe, decontaminate, near_duplicates, store, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = r"list_filter(regexp_extract_all(translate(text, '{up}', '{low}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 _WORDS = _WORDS.format(up="ABCDEFGHIJKLMNOPQRSTUVWXYZ", low="abcdefghijklmnopqrstuvwxyz")
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op3_near_duplicates",
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS sh FROM d),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+    link AS (
+      SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+    reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+    least AS (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a)
+    SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+      least(d.doc_id, coalesce(b, d.doc_id)) AS component_id, d.doc_id <= coalesce(b, d.doc_id) AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)""",
+)
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of `documents` whose four-word shingle sets are similar to 0.8 or more."""
+    return near_duplicates.groups(spark, store.text_of(store.load(spark, sf_dir, "documents")), words=4, percent=80)
+
 
 @query(
     "op9_decontaminate",
