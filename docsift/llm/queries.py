@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, near_duplicates, store, token_records
+from docsift.llm import bpe, decontaminate, near_duplicates, quality, store, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -14,7 +15,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(store.settle(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -105,3 +106,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of windows of `benchmark` in `documents`."""
     docs = store.text_of(store.load(spark, sf_dir, "documents"))
     return decontaminate.report(decontaminate.find(spark, docs, store.load(spark, sf_dir, "benchmark")))
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of `documents`, learned from the labels of four of five folds."""
+    rows = store.keep(spark, quality.measured(store.text_of(store.load(spark, sf_dir, "documents"))), "statistics")
+    labels = store.load(spark, sf_dir, "labels").select(F.col("doc_id").cast("long"), F.col("quality").alias("y"))
+    model = quality.fit(spark, rows, labels.where(quality.fold() != 0))
+    held_out = F.coalesce(quality.fold() == 0, F.lit(False))
+    return quality.scored(rows, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
