@@ -330,3 +330,9 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int =
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of `docs`, all columns, without those that `groups` does not keep."""
+    gone = groups(spark, store.text_of(docs), words, percent).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

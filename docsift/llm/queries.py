@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, near_duplicates, quality, store, token_records
+from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, quality, store, token_records, va_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,71 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(spark, rows, labels.where(quality.fold() != 0))
     held_out = F.coalesce(quality.fold() == 0, F.lit(False))
     return quality.scored(rows, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+_TOKENS = (
+    "list_transform(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x20\\x09-\\x0D]+'), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END)"
+)
+
+
+@query(
+    "op5_line_templates",
+    f"""
+    WITH l AS (
+      SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+      FROM documents),
+    t AS (SELECT doc_id, pos, line, {_TOKENS} AS w FROM l),
+    k AS (SELECT *, len(w) AS n, len(w) - 3 AS r FROM t),
+    keys AS (
+      SELECT doc_id, pos, n || '|' || array_to_string(w, ' ') AS template FROM k WHERE n >= 5
+      UNION ALL
+      SELECT doc_id, pos, n || '|' || i || '|' || array_to_string(w[1:3 + r * i // 5], ' ') || '|'
+        || array_to_string(w[4 + r * (i + 1) // 5:], ' ')
+      FROM k, range(5) f(i) WHERE n >= 10 AND r * (i + 1) // 5 > r * i // 5),
+    rec AS (SELECT template, min(doc_id) AS first FROM keys GROUP BY template HAVING count(DISTINCT doc_id) >= 2),
+    lost AS (SELECT DISTINCT doc_id, pos FROM keys JOIN rec USING (template) WHERE doc_id > first),
+    counts AS (
+      SELECT doc_id, count(*) FILTER (WHERE n > 0) AS n_lines, count(*) FILTER (WHERE lost.pos IS NOT NULL) AS n_dropped,
+        string_agg(line, chr(10) ORDER BY k.pos) FILTER (WHERE lost.pos IS NULL) AS text
+      FROM k LEFT JOIN lost USING (doc_id, pos) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
+      CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text
+    FROM documents d LEFT JOIN counts c USING (doc_id)""",
+)
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` without the lines whose template an earlier document has."""
+    left = line_templates.dedup_lines(spark, store.text_of(store.load(spark, sf_dir, "documents")))
+    return left.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), "text"
+    )
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of `documents`, learned from the languages of two of three folds."""
+    table = store.load(spark, sf_dir, "documents")
+    docs = store.text_of(table)
+    train = table.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    model = language.fit(spark, train.where(quality.fold(parts=3) != 1))
+    held_out = F.coalesce(quality.fold(parts=3) == 1, F.lit(False))
+    return language.predicted(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    "op6_va_file",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 10""",
+)
+def op6_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors of `embeddings` for every hundredth of them."""
+    vectors = va_file.whole_vectors(store.load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    queries = vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    return va_file.top_k(spark, vectors, queries, k=10)
