@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from docsift.llm import pretoken, store
 
-BLOCK = 1 << 23  # characters whose words share a list
+BLOCK = 1 << 22  # characters whose words share a list
 WORDS = 1 << 19  # distinct words a task remembers at a time
 _loaded: dict[str, object] = {}
 
@@ -242,7 +242,9 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str) -> DataFrame:
     )
 
     def block(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(_reassembled(table)))
+        whole = pa.Table.from_batches(list(_reassembled(table)))
+        pa.default_memory_pool().release_unused()
+        return whole
 
     return answers.groupBy("block").applyInArrow(block, "doc_id long, n_tokens long, ids array<int>")
 
@@ -269,11 +271,12 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", to: str = "deco
     return df.mapInArrow(run, f"{df._jdf.schema().toDDL()}, {to} binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """`doc_id, n_tokens`, and SHA-256 of the decimal ids joined by a space and of the decoded bytes."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """`doc_id, n_tokens`, columns asked for, and SHA-256 of the decimal ids joined by a space and of the decoded bytes."""
     return decoded.select(
         "doc_id",
         "n_tokens",
+        *more,
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

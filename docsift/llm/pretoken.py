@@ -135,7 +135,7 @@ def starts_of(points: np.ndarray, classes: np.ndarray, doc_ends: np.ndarray) ->
     return np.flatnonzero(first)
 
 
-def segments(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, str]]:
+def segments(texts: list[str], limit: int = 1 << 19) -> Iterator[tuple[int, str]]:
     """Texts with their number, cut where a piece is sure to begin: before white space
     that follows something else. A run without such a place stays whole."""
     for i, text in enumerate(texts):
@@ -149,7 +149,7 @@ def segments(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, str]
         yield i, text[begin:]
 
 
-def chunked(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[np.ndarray, list[str]]]:
+def chunked(texts: list[str], limit: int = 1 << 19) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Segments in groups of about `limit` characters, with the numbers of their texts."""
     numbers: list[int] = []
     group: list[str] = []

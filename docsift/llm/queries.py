@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, quality, store, token_records, va_file
+from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, page_diff, quality, store, token_records, va_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,3 +184,9 @@ def op6_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = va_file.whole_vectors(store.load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     queries = vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
     return va_file.top_k(spark, vectors, queries, k=10)
+
+
+@query("op2_page_diff")
+def op2_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of `pages`."""
+    return page_diff.extract(spark, store.load(spark, sf_dir, "pages"))
