@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, page_diff, quality, store, token_records, va_file
+from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, page_diff, pii, quality, store, token_records, va_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -190,3 +190,9 @@ def op6_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of `pages`."""
     return page_diff.extract(spark, store.load(spark, sf_dir, "pages"))
+
+
+@query("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in `documents`."""
+    return pii.report(pii.find(spark, store.text_of(store.load(spark, sf_dir, "documents"))))
