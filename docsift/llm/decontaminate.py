@@ -51,9 +51,12 @@ def windows_of(text: str | None, size: int = WINDOW) -> list[str]:
 
 
 def automaton(windows: dict[str, set[str]]):
-    """An automaton whose values are the length in words of a window and its items."""
+    """An automaton whose values are the length in words of a window and its items; None
+    without windows."""
     import ahocorasick
 
+    if not windows:
+        return None
     machine = ahocorasick.Automaton()
     for window, items in windows.items():
         machine.add_word(window, (window.count(" ") - 1, sorted(items)))
@@ -70,7 +73,7 @@ def scan(machine, text: str | None, known: list[dict] | None = None) -> tuple[in
     if not words:
         return 0, 0, [], []
     clean = f" {b' '.join(words).decode('latin-1')} "
-    found = [(end, *value) for end, value in machine.iter(clean)]
+    found = [(end, *value) for end, value in machine.iter(clean)] if machine is not None else []
     if not found and not known:
         return len(words), 0, [], []
     blanks = np.flatnonzero(np.frombuffer(clean.encode("latin-1"), np.uint8) == 32)

@@ -6,9 +6,9 @@ The edges of the cells bound every inner product from below and above.
 
 A first scan of the cells gives each query a threshold: a score that k vectors reach for
 certain. A second scan takes the vectors whose upper bound is not below it, and reads their exact
-components in the order of the bounds, until the next bound is below the k-th score. Tasks
-hold one block of vectors and one block of queries at a time, reading the latter from the shared folder, so
-neither side has to fit anywhere. Ties go to the smaller id.
+components in the order of the bounds, until the next bound is below the k-th score. A task
+holds its partition of the file and one block of queries at a time, which it reads from the shared folder,
+so that the queries need not fit anywhere. Ties go to the smaller id.
 
 Vectors that are null, or hold a null or a non-finite component, take no part; vectors are compared
 with queries of their own length; a row is no candidate of a query with its id, and
@@ -71,7 +71,7 @@ def ranges(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
     parts = vectors.mapInArrow(run, "n int, at int, low long, high long")
     rows = parts.groupBy("n", "at").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
-    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    out = {0: (np.zeros(0, np.int64), np.zeros(0, np.int64))}
     for r in rows:  # one a component
         low, high = out.setdefault(r["n"], (np.zeros(r["n"], np.int64), np.zeros(r["n"], np.int64)))
         low[r["at"]], high[r["at"]] = r["low"], r["high"]
