@@ -17,24 +17,20 @@ from pyspark.sql import types as T
 
 from docsift.functions import vectors as vx
 
-MAX_CELLS = 4096
 ROWS_PER_CELL = 256
-TRAINING_ROWS_PER_CELL = 64
 NO_CELL = -1
+_STEP = 512  # vectors measured against all centres at a time
 
 
 def cell_count(n: int) -> int:
-    """About sqrt(n): no cells of a few rows, and centres small enough to ship."""
-    return max(1, min(MAX_CELLS, round(math.sqrt(n)), n // ROWS_PER_CELL))
+    """About sqrt(n), and no cells of a few rows."""
+    return max(1, min(round(math.sqrt(n)), n // ROWS_PER_CELL))
 
 
-def train_cells(vectors: DataFrame, column: str, n: int, n_cells: int, seed: int = 7) -> np.ndarray:
-    """Centres of the unit vectors. Only the training set is thinned, and only when
-    it holds far more rows than the centres need; every vector gets a cell."""
-    unit = vectors.select(vx.normalise(F.col(column)).alias("u")).filter(F.col("u").isNotNull())
-    share = TRAINING_ROWS_PER_CELL * n_cells / max(n, 1)
-    if share < 1:
-        unit = unit.sample(fraction=share, seed=seed)
+def train_cells(vectors: DataFrame, column: str, n_cells: int, metric: str = "cosine", seed: int = 7) -> np.ndarray:
+    """Centres of all vectors; for cosine, of the unit vectors."""
+    point = vx.normalise(F.col(column)) if metric == "cosine" else F.col(column)
+    unit = vectors.select(point.cast("array<double>").alias("u")).filter(F.col("u").isNotNull())
     points = unit.select(array_to_vector("u").alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = KMeans(k=n_cells, seed=seed, maxIter=8, initSteps=1).fit(points)
@@ -43,27 +39,43 @@ def train_cells(vectors: DataFrame, column: str, n: int, n_cells: int, seed: int
     return np.stack([np.asarray(c) for c in model.clusterCenters()])
 
 
-def nearest_cells(vector: Column, centres: np.ndarray, n: int) -> Column:
-    """The `n` closest cells of each vector, closest first; empty for a zero vector."""
+def nearest_cells(vector: Column, centres: np.ndarray, n: int, metric: str = "cosine") -> Column:
+    """The `n` closest cells of each vector, closest first. Empty for a null vector and,
+    as cosine never returns it, for a zero one under that metric."""
     weights = (centres**2).sum(axis=1)
     n = min(n, len(centres))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def closest(batch: pa.Array) -> pa.Array:
+        known = pc.is_valid(batch).to_numpy(zero_copy_only=False)
         flat = pc.list_flatten(batch).to_numpy(zero_copy_only=False).astype(np.float64)
-        points = flat.reshape(len(batch), -1)
-        lengths = np.linalg.norm(points, axis=1)
-        unit = points / np.where(lengths > 0, lengths, 1.0)[:, None]
-        order = np.argsort(weights[None, :] - 2 * unit @ centres.T, axis=1, kind="stable")[:, :n].astype(np.int32)
-        counts = np.where(lengths > 0, n, 0)
+        points = flat.reshape(int(known.sum()), centres.shape[1])
+        placed = np.ones(len(points), bool)
+        if metric == "cosine":
+            lengths = np.linalg.norm(points, axis=1)
+            placed = lengths > 0
+            points = points / np.where(placed, lengths, 1.0)[:, None]
+        found = []
+        for start in range(0, len(points), _STEP):
+            far = weights[None, :] - 2 * points[start : start + _STEP] @ centres.T
+            if n == 1:
+                best = far.argmin(axis=1)[:, None]
+            else:
+                best = np.argpartition(far, n - 1, axis=1)[:, :n] if n < far.shape[1] else np.tile(np.arange(n), (len(far), 1))
+                order = np.lexsort((best, np.take_along_axis(far, best, axis=1)), axis=1)
+                best = np.take_along_axis(best, order, axis=1)
+            found.append(best.astype(np.int32))
+        closest_cells = np.concatenate(found) if found else np.zeros((0, n), np.int32)
+        counts = np.zeros(len(batch), np.int64)
+        counts[known] = np.where(placed, n, 0)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[lengths > 0].ravel()))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(closest_cells[placed].ravel()))
 
     return closest(vector)
 
 
-def cell_of(vector: Column, centres: np.ndarray) -> Column:
-    return F.coalesce(F.get(nearest_cells(vector, centres, 1), F.lit(0)), F.lit(NO_CELL))
+def cell_of(vector: Column, centres: np.ndarray, metric: str = "cosine") -> Column:
+    return F.coalesce(F.get(nearest_cells(vector, centres, 1, metric), F.lit(0)), F.lit(NO_CELL))
 
 
 def band_keys(vector: Column, dim: int, bands: int, bits: int, seed: int = 11) -> Column:
@@ -73,10 +85,11 @@ def band_keys(vector: Column, dim: int, bands: int, bits: int, seed: int = 11) -
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def keys(batch: pa.Array) -> pa.Array:
-        points = pc.list_flatten(batch).to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), dim)
-        signs = (points @ planes > 0).reshape(len(batch), bands, bits)
+        known = pc.is_valid(batch).to_numpy(zero_copy_only=False)
+        points = pc.list_flatten(batch).to_numpy(zero_copy_only=False).astype(np.float64).reshape(int(known.sum()), dim)
+        signs = (points @ planes > 0).reshape(len(points), bands, bits)
         codes = (signs * place).sum(axis=2) + (np.arange(bands, dtype=np.int64) << bits)[None, :]
-        offsets = np.arange(0, (len(batch) + 1) * bands, bands, dtype=np.int32)
+        offsets = np.concatenate([[0], np.cumsum(np.where(known, bands, 0))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes.ravel()))
 
     return keys(vector)

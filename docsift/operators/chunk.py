@@ -130,7 +130,7 @@ def packed_sentences(df: DataFrame, key: str, text: str, size: int) -> DataFrame
     return listed.mapInPandas(run, f"`{key}` {key_type}, pos int, chunk string")
 
 
-def by_headers(df: DataFrame, keep: list[str], text: str, depth: int = 3) -> DataFrame:
+def by_headers(df: DataFrame, keep: list[str], text: str, depth: int = 6) -> DataFrame:
     """Sections of Markdown text with their heading path, `keep` naming one text.
 
     A deeper heading counts only below the last shallower one.

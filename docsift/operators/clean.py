@@ -9,45 +9,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.operators.parse import PAGES_PER_PART
-
 PAGE_MARK = "\n== page ==\n"
 
-# Fixed value: the instruction that asks a model for Markdown.
 MARKDOWN_PROMPT = (
-    "You are a helpful assistant. Given a JSON object representing a parsed document "
-    "(with pages, elements, and metadata), convert the content into clean, readable markdown. "
-    'Use "== page ==" to separate each page. Preserve important structure such as headers, '
-    "tables, and captions. Do not include any JSON or code blocks in the output—just the clean "
-    "markdown text.\n\nJSON:\n\n"
+    "Rewrite the parsed document below, given as JSON, as Markdown. Keep its headings, tables and captions, "
+    "put a line with == page == between two pages, and answer with the Markdown alone.\n\n"
 )
 
 
 def _joined(rows: DataFrame, text: str, line_break: str) -> DataFrame:
-    """Lines to page text to document text, in reading order.
+    """Lines to page text, page texts to document text, in reading order.
 
-    A path is assembled in parts of PAGES_PER_PART pages, so a path with a huge
-    share of all pages spreads over tasks; ordinary documents have part 0 only.
+    The pages of a path are put together in as many tasks as they lie in; a path's text
+    is one value, so its page texts meet in one row.
     """
-    part = F.floor(F.col("page") / PAGES_PER_PART).cast("int")
-    per_part = rows.groupBy("path", part.alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("page", "pos", F.col(text).alias("line")))).alias("rows")
-    )
 
-    joint = F.transform(
-        "rows",
-        lambda row, i: F.concat(
-            F.when(i == 0, F.lit(""))
-            .when(row["page"] != F.element_at("rows", F.greatest(i, F.lit(1)))["page"], F.lit(PAGE_MARK))
-            .otherwise(F.lit(line_break)),
-            row["line"],
-        ),
-    )
-    return per_part.select("path", "part", F.array_join(joint, "").alias(text))
+    def texts(of: str, by: str) -> Column:
+        lines = F.sort_array(F.collect_list(F.struct(by, F.col(of).alias("line"))))
+        return F.transform(lines, lambda row: row["line"])
+
+    per_page = rows.groupBy("path", "page").agg(F.array_join(texts(text, "pos"), line_break).alias(text))
+    return per_page.groupBy("path").agg(F.array_join(texts(text, "page"), PAGE_MARK).alias(text))
 
 
 def plain_text(elements: DataFrame, text_col: str = "content") -> DataFrame:
-    """`path, part, plain_text`: all text of each page, `== page ==` between pages.
+    """`path, plain_text`: all text of each page, `== page ==` between pages.
 
     Text that already holds the mark has it softened to `= = page = =`.
     """
@@ -58,7 +44,7 @@ def plain_text(elements: DataFrame, text_col: str = "content") -> DataFrame:
 def markdown_line(kind: Column, level: Column, content: Column) -> Column:
     """Markdown of one element: headings, bullets and captions marked, tables kept."""
     return (
-        F.when(kind.isin("title", "header"), F.concat(F.repeat(F.lit("#"), F.coalesce(level, F.lit(2))), F.lit(" "), content))
+        F.when(kind.isin("title", "header"), F.concat(F.repeat(F.lit("#"), F.least(F.coalesce(level, F.lit(2)), F.lit(6))), F.lit(" "), content))
         .when(kind == "list_item", F.concat(F.lit("- "), content))
         .when(kind == "caption", F.concat(F.lit("*"), content, F.lit("*")))
         .when(kind == "image", F.concat(F.lit("![]("), content, F.lit(")")))
@@ -67,7 +53,7 @@ def markdown_line(kind: Column, level: Column, content: Column) -> Column:
 
 
 def markdown(elements: DataFrame) -> DataFrame:
-    """`path, part, markdown`, elements set apart by blank lines."""
+    """`path, markdown`, elements set apart by blank lines."""
     line = markdown_line(F.col("type"), F.col("level"), F.col("content"))
     return _joined(elements.withColumn("markdown", line), "markdown", "\n\n")
 
@@ -92,16 +78,17 @@ def model_map(
     out_col: str,
     batch_size: int = 64,
 ) -> DataFrame:
-    """Call a text model per row, in batches; `load()` runs once per task."""
+    """Call a text model per row, in batches; `load()` runs once per task. A null has a
+    null answer and is not sent."""
 
     @F.pandas_udf(T.StringType())
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for batch in batches:
-            texts = batch.fillna("").tolist()
+            known = batch.dropna()
             answers: list[str] = []
-            for start in range(0, len(texts), batch_size):
-                answers.extend(model(texts[start : start + batch_size]))
-            yield pd.Series(answers, dtype=object)
+            for start in range(0, len(known), batch_size):
+                answers.extend(model(known.iloc[start : start + batch_size].tolist()))
+            yield pd.Series(answers, index=known.index, dtype=object).reindex(batch.index)
 
     return df.withColumn(out_col, call(F.col(in_col)))

@@ -27,7 +27,7 @@ SCHEMA_VERSION = "2.0"
 # Control characters that mark cuts; they do not occur in text.
 CUT, HEAD_END, REGION_OPEN = "\x01", "\x02", "\x03"
 
-INVISIBLE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+INVISIBLE = r"(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)"
 REGION_TAGS = ("nav", "footer", "table", "div")
 BLOCK_TAGS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|div|head|body|html"
 
@@ -52,8 +52,6 @@ TYPE_OF_TAG = (
 )
 NOISE_REGIONS = ("nav", "footer", "ad")
 
-PAGES_PER_PART = 10_000
-
 
 def _marked(html: Column) -> Column:
     """Visible markup, with the start of each region marked and named."""
@@ -241,10 +239,9 @@ def references(pages: DataFrame, path: str, html: str, page: str | None = None)
 
 
 def parsed_documents(elements: DataFrame) -> DataFrame:
-    """One VARIANT per path and part: `document{pages, elements, metadata}`, status
-    fields, version. A part holds up to PAGES_PER_PART pages, so ordinary documents
-    have part 0 only and no value outgrows its row."""
-    part = F.floor(F.col("page") / PAGES_PER_PART).cast("int").alias("part")
+    """One VARIANT per path: `document{pages, elements, metadata}`, status fields,
+    version. Pages are put together first, each on its own; a document is one value,
+    so all its pages meet in one row."""
     per_page = elements.groupBy("path", "page").agg(
         F.sort_array(F.collect_list(F.struct("pos", "type", "region", "content"))).alias("items")
     )
@@ -264,7 +261,7 @@ def parsed_documents(elements: DataFrame) -> DataFrame:
             e["type"].alias("type"), F.col("page").alias("page_number"), e["content"].alias("content")
         ),
     )
-    per_path = per_page.groupBy("path", part).agg(
+    per_path = per_page.groupBy("path").agg(
         F.sort_array(F.collect_list(F.struct("page", page.alias("whole"), item.alias("items")))).alias("pages")
     )
     pages = F.transform("pages", lambda p: p["whole"])
@@ -283,7 +280,7 @@ def parsed_documents(elements: DataFrame) -> DataFrame:
         metadata.alias("metadata"),
         F.lit(SCHEMA_VERSION).alias("version"),
     )
-    return per_path.select("path", "part", F.to_variant_object(whole).alias("parsed_content"))
+    return per_path.select("path", F.to_variant_object(whole).alias("parsed_content"))
 
 
 def check_version(parsed: DataFrame, version: str = SCHEMA_VERSION) -> DataFrame:

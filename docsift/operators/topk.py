@@ -84,6 +84,12 @@ class _KBest:
         )
 
 
+def _require_key(kind: T.DataType) -> None:
+    """Keys are whole numbers or strings: others have no order that both sides share."""
+    if not isinstance(kind, (T.IntegralType, T.StringType)):
+        raise ValueError(f"a key must be a whole number or a string, not {kind.simpleString()}")
+
+
 def _sortable(keys: pa.Array) -> np.ndarray:
     if pa.types.is_integer(keys.type):
         return keys.to_numpy(zero_copy_only=False)
@@ -91,18 +97,32 @@ def _sortable(keys: pa.Array) -> np.ndarray:
 
 
 def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Vectors without nulls as rows; another length than `dim` is an error."""
+    sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    if len(sizes) and (sizes != dim).any():
+        raise ValueError(f"a vector of {int(sizes[sizes != dim][0])} numbers among vectors of {dim}")
     flat = pc.list_flatten(vectors)
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _distances(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """L2 distances by expanded squares; pairs so close that the expansion loses their
+    difference are computed from it."""
+    squares = (queries**2).sum(axis=1)[:, None] + (vectors**2).sum(axis=1)[None, :]
+    found = np.sqrt(np.maximum(squares - 2 * (queries @ vectors.T), 0.0))
+    error = 4 * np.finfo(float).eps * (queries.shape[1] + 4) * squares
+    for q, v in zip(*np.nonzero(found * 1e-8 < error), strict=True):
+        found[q, v] = np.sqrt(((queries[q] - vectors[v]) ** 2).sum())
+    return found
+
+
 def _scores(metric: str, queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     if metric == "cosine":
         with np.errstate(divide="ignore", invalid="ignore"):
             lengths = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(vectors, axis=1))
             return np.where(lengths > 0, (queries @ vectors.T) / lengths, np.nan)
     if metric == "l2":
-        squares = (queries**2).sum(axis=1)[:, None] + (vectors**2).sum(axis=1)[None, :]
-        return np.sqrt(np.maximum(squares - 2 * (queries @ vectors.T), 0.0))
+        return _distances(queries, vectors)
     if metric == "l1":
         return np.stack([np.abs(vectors - q).sum(axis=1) for q in queries])
     raise ValueError(f"unknown metric {metric!r}")
@@ -118,19 +138,29 @@ def rank_hits(scored: DataFrame, k: int, lower_is_better: bool = False) -> DataF
 def in_batches(
     queries: DataFrame, run: Callable[[pa.Table], DataFrame], limit: int = BATCH_QUERIES
 ) -> DataFrame:
-    """Apply `run` to `queries` (with a `query_id`) in batches of checked size."""
-    first = queries.limit(limit + 1).toArrow()
-    if first.num_rows <= limit:
-        return run(first)
+    """Apply `run` to `queries` (with a `query_id`) in batches of checked size.
+
+    Ids must tell queries apart. A block that comes out too large is split again.
+    """
     spark = queries.sparkSession
-    n_blocks = math.ceil(1.25 * queries.count() / limit)
+    n, n_ids = queries.agg(F.count("*"), F.count_distinct("query_id")).first()
+    if n != n_ids:
+        raise ValueError("query_id must tell queries apart: it is null or repeated")
+    if n <= limit:
+        return run(queries.toArrow())
     path = fresh_path(spark, "hits")
-    block_of = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
-    for block in range(n_blocks):
-        part = queries.filter(block_of == block).limit(2 * limit + 1).toArrow()
-        if part.num_rows > 2 * limit:
-            raise ValueError("query_id must tell queries apart: too many rows share one block")
-        run(part).write.mode("append").parquet(path)
+
+    def work(part: DataFrame, size: int, depth: int) -> None:
+        if size <= limit:
+            run(part.toArrow()).write.mode("append").parquet(path)
+            return
+        blocks = math.ceil(1.25 * size / limit)
+        block = F.pmod(F.xxhash64("query_id", F.lit(depth)), F.lit(blocks))
+        sizes = part.groupBy(block.alias("block")).agg(F.count("*").alias("n")).collect()  # one row a block
+        for row in sizes:
+            work(part.filter(block == row["block"]), row["n"], depth + 1)
+
+    work(queries, n, 0)
     return spark.read.parquet(path)
 
 
@@ -168,11 +198,17 @@ def nearest(
     `within` narrows the search. "cells": a row is scored only for the queries whose
     `probes` list its `cell`, and the scan reads only probed cells. "bands": only for
     the queries that share one of its `bands` keys. `count_only` returns
-    `query_id, n_scored` in place of hits.
+    `query_id, n_scored` in place of hits. Null vectors are no hits, and queries
+    without a vector have none; vectors of another length than the queries are an error.
     """
+    if metric not in LOWER_IS_BETTER:
+        raise ValueError(f"unknown metric {metric!r}")
     id_type = queries.schema["query_id"].dataType
     key_type = vectors.schema["key"].dataType
+    _require_key(key_type)
     lower = LOWER_IS_BETTER[metric]
+    vectors = vectors.filter(F.col("vector").isNotNull())
+    queries = queries.filter(F.col("vector").isNotNull())
     query_side = {None: [], "cells": ["probes"], "bands": ["bands"]}[within]
     vector_side = {None: [], "cells": ["cell"], "bands": ["bands"]}[within]
 
@@ -263,6 +299,7 @@ def bm25(
     """
     id_type = queries.schema["query_id"].dataType
     key_type = postings.schema["key"].dataType
+    _require_key(key_type)
 
     def run(batch: pa.Table) -> DataFrame:
         spark = postings.sparkSession

@@ -8,6 +8,7 @@
 `<name>__terms`     term, df as signed increments
 `<name>__centres`   cell centres
 `<name>__changed`   keys touched by each sync
+`<name>__orders`    the order value that each key of a stream has reached
 
 Every table carries `_seg`. The build writes segment 0, each sync one more with
 the changed rows only, under a number not used before. The property on
@@ -33,14 +34,14 @@ from docsift.operators import cells as ivf
 from docsift.operators import changes as ch
 from docsift.operators import lexical
 from docsift.operators.embed import HashedModel, vector_report
+from docsift.operators.topk import LOWER_IS_BETTER
 from docsift.functions import tokens as tk
 from docsift.session import counted, small_side, written
 from docsift.sources import tables
 
-PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed")
+PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed", "orders")
 ROWS_PER_SHARD = 2_000_000
 DOCS_PER_BUCKET, MIN_BUCKETS = 10_000, 8
-MAX_SHARDS, MAX_BUCKETS = 20_000, 50_000
 PROPERTY = "docsift.index"
 _RESERVED = {"key", "term", "tf", "df", "doc_len", "vector", "cell"}
 
@@ -139,7 +140,7 @@ def _vector_rows(index: Index, source: DataFrame) -> DataFrame:
 def _write_vectors(index: Index, vectors: DataFrame, seg: int) -> None:
     if index.centres is not None:
         # Few files per cell; adaptive execution splits a heavy cell over tasks.
-        vectors = vectors.withColumn("cell", ivf.cell_of(F.col("vector"), index.centres))
+        vectors = vectors.withColumn("cell", ivf.cell_of(F.col("vector"), index.centres, index.info["metric"]))
         vectors = vectors.hint("rebalance", F.col("cell"))
     else:
         vectors = vectors.withColumn("cell", F.lit(0))
@@ -182,6 +183,10 @@ def create_index(
         raise ValueError(f"text column {text_col} must be a string")
     if not text_col and not vector_col:
         raise ValueError("give a text column, a vector column, or both")
+    if metric not in LOWER_IS_BETTER:
+        raise ValueError(f"unknown metric {metric!r}")
+    if not isinstance(source.schema[primary_key].dataType, (T.IntegralType, T.StringType)):
+        raise ValueError(f"{primary_key} must be a whole number or a string")
     if pipeline_type not in ("TRIGGERED", "CONTINUOUS"):
         raise ValueError(f"unknown pipeline type {pipeline_type!r}")
     if source_table:
@@ -205,8 +210,8 @@ def create_index(
         "n_changed": 0,
         "total_len": 0,
         "n_cells": 0,
-        "n_shards": max(1, min(MAX_SHARDS, math.ceil(n / ROWS_PER_SHARD))),
-        "n_buckets": max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(n / DOCS_PER_BUCKET))),
+        "n_shards": max(1, math.ceil(n / ROWS_PER_SHARD)),
+        "n_buckets": max(MIN_BUCKETS, math.ceil(n / DOCS_PER_BUCKET)),
         "streams": {},
     }
     index = Index(spark, name, info, model)
@@ -225,7 +230,7 @@ def create_index(
         _require_vectors(vectors, info["dim"])
         wanted = ivf.cell_count(n) if n_cells is None else n_cells
         if wanted > 1:
-            index.centres = ivf.train_cells(vectors, "vector", n, wanted)
+            index.centres = ivf.train_cells(vectors, "vector", wanted, metric)
             info["n_cells"] = len(index.centres)
             rows = [(i, [float(x) for x in c]) for i, c in enumerate(index.centres)]
             _append(index, spark.createDataFrame(rows, "cell int, centre array<double>"), "centres", 0)
@@ -264,7 +269,7 @@ def get_index(spark: SparkSession, name: str, model=None) -> Index:
     require_model(info, model)
     index = Index(spark, name, info, model)
     if info["n_cells"]:
-        rows = index.committed("centres").orderBy("cell").collect()  # bounded by MAX_CELLS
+        rows = index.committed("centres").orderBy("cell").collect()  # one row a cell
         index.centres = np.array([r["centre"] for r in rows])
     return index
 
@@ -287,19 +292,46 @@ def _next_segment(index: Index) -> int:
     return max(index.info["segments"][-1] + 1, time.time_ns() // 1000)
 
 
-def apply_changes(index: Index, changes: DataFrame, stream: str | None = None, batch: int | None = None) -> Index:
+def _newer(index: Index, changes: DataFrame, stream: str, order: list[str]) -> DataFrame:
+    """Changes above the order value that their key has reached in this stream."""
+    rows = changes.withColumn("_order", F.struct(*order))
+    if not index.spark.catalog.tableExists(index.table("orders")):
+        return rows
+    key = index.info["primary_key"]
+    reached = index.committed("orders").filter(F.col("stream") == stream)
+    reached = reached.join(rows.select(F.col(key).alias("key")), "key", "left_semi")
+    reached = reached.groupBy(F.col("key").alias(key)).agg(F.max("reached").alias("_reached"))
+    rows = rows.join(reached, key, "left")
+    return rows.filter(F.col("_reached").isNull() | (F.col("_order") > F.col("_reached"))).drop("_reached")
+
+
+def apply_changes(
+    index: Index,
+    changes: DataFrame,
+    stream: str | None = None,
+    batch: int | None = None,
+    order: list[str] | None = None,
+) -> Index:
     """Commit `changes` (primary key, `op`, synced columns; one row per key).
 
     `op` is 'delete', anything else puts the row. Work is in proportion to the
     changes: only their rows are embedded, tokenised and written. A batch number
-    already committed for the same `stream` is skipped.
+    already committed for the same `stream` is skipped. With `order`, the columns that
+    order the changes of a key, one that is not above what the key has reached in the
+    stream is passed over, in whichever batch it comes; deletes count as well.
     """
     info, spark = index.info, index.spark
     if stream is not None and batch is not None and batch <= info["streams"].get(stream, -1):
         return index
     key = info["primary_key"]
-    batch_rows, n_changed = counted(spark, changes.select("op", *info["columns"]), "changes")
+    ordered = ["_order"] if order else []
+    if order:
+        changes = _newer(index, changes, stream or "", order)
+    batch_rows, n_changed = counted(spark, changes.select("op", *info["columns"], *ordered), "changes")
     if n_changed == 0:
+        if stream is not None:
+            info["streams"][stream] = batch
+            _save_info(index)
         return index
     ch.require_key(batch_rows, key)
     seg = _next_segment(index)
@@ -324,6 +356,9 @@ def apply_changes(index: Index, changes: DataFrame, stream: str | None = None, b
         _require_vectors(vectors, info["dim"])
         _write_vectors(index, vectors, seg)
     _append(index, touched, "changed", seg)
+    if order:
+        reached = batch_rows.select(F.col(key).alias("key"), F.lit(stream or "").alias("stream"), F.col("_order").alias("reached"))
+        _append(index, reached, "orders", seg)
     info.update(
         segments=info["segments"] + [seg],
         n_docs=info["n_docs"] - n_gone + n_new,
@@ -344,9 +379,10 @@ def sync(index: Index, source: DataFrame) -> Index:
 
 
 def compact(index: Index, name: str) -> Index:
-    """A fresh index `name` over the live rows, in one segment."""
+    """A fresh index `name` over the live rows, in one segment. Source table and stream
+    positions go with it, so a batch that is replayed is still passed over."""
     info = index.info
-    return create_index(
+    fresh = create_index(
         index.live("rows").select(*info["columns"]),
         name,
         info["primary_key"],
@@ -358,7 +394,13 @@ def compact(index: Index, name: str) -> Index:
         info["n_cells"],
         info["metric"],
         info["pipeline_type"],
+        info["source_table"],
     )
+    fresh.info["streams"] = dict(info["streams"])
+    if index.spark.catalog.tableExists(index.table("orders")):
+        _append(fresh, index.committed("orders").drop("_seg"), "orders", 0)
+    _save_info(fresh)
+    return fresh
 
 
 def save_vectors(index: Index, table: str, save: bool = False) -> bool:

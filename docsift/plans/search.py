@@ -32,8 +32,9 @@ class SearchSpec:
 
     `num_results` hits per query; `query_type` None, "hybrid" or "FULL_TEXT" in any
     case; `filters` maps "column OP" to a value; a `reranker` re-scores the first
-    `candidates` hits. `nprobe` bounds the cells that a vector search visits
-    (None: all vectors, exact). `grants` holds the values of `grant_column` the
+    `candidates` hits. Hybrid search fuses the first `fusion_depth` hits of each list,
+    which the caller states. `nprobe` bounds the cells that a vector search visits
+    (None: all vectors, exact); it needs an index with cells. `grants` holds the values of `grant_column` the
     caller may see.
     """
 
@@ -43,6 +44,7 @@ class SearchSpec:
     filters: Mapping[str, object] | None = None
     reranker: object | None = None
     candidates: int = 50
+    fusion_depth: int | None = None
     nprobe: int | None = None
     grants: DataFrame | None = None
     grant_column: str | None = None
@@ -89,9 +91,17 @@ def similar(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> DataF
             raise ValueError("this index has no text model; pass query vectors")
         asked = queries.select("query_id", index.model.column(F.col("query_text")).alias("vector"))
     vectors = _allowed(index, "vectors", spec)
-    approximate = spec.nprobe is not None and index.centres is not None
+    dim = index.info["dim"]
+    wrong = asked.filter(F.size("vector") != dim).limit(1).collect() if "vector" in queries.columns else []
+    if wrong:
+        raise ValueError(f"query {wrong[0]['query_id']} has not {dim} numbers as the index has")
+    approximate = spec.nprobe is not None
+    if approximate and index.centres is None:
+        raise ValueError("nprobe asks for cells, which this index does not have")
     if approximate:
-        asked = asked.withColumn("probes", ivf.nearest_cells(F.col("vector"), index.centres, spec.nprobe))
+        metric = index.info["metric"]
+        probes = ivf.nearest_cells(F.col("vector"), index.centres, spec.nprobe, metric)
+        asked = asked.withColumn("probes", probes)
     return topk.nearest(vectors, asked, k, index.info["metric"], within="cells" if approximate else None)
 
 
@@ -107,7 +117,9 @@ def candidates(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> Da
         return keyword(index, queries, spec, k)
     if spec.mode == SIMILARITY:
         return similar(index, queries, spec, k)
-    depth = max(k, spec.candidates)
+    if spec.fusion_depth is None:
+        raise ValueError("hybrid search needs a fusion_depth: how many hits of each list are fused")
+    depth = max(k, spec.fusion_depth)
     return rank.fuse(similar(index, queries, spec, depth), keyword(index, queries, spec, depth), k)
 
 

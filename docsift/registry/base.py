@@ -74,7 +74,7 @@ PARTS: dict[str, str] = {
     "marked": """
         SELECT page_id AS path, replace(regexp_replace(
           regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-            regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
+            regexp_replace(html, '(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)', '', 'g'),
             '(?i)<(/?)nav\\b', '<\\1nav', 'g'), '(?i)<(/?)footer\\b', '<\\1footer', 'g'),
             '(?i)<(/?)table\\b', '<\\1table', 'g'), '(?i)<(/?)div\\b', '<\\1div', 'g'),
           '<(nav|footer|table)\\b', chr(3) || '\\1' || chr(2) || '\\0', 'g'),
@@ -127,7 +127,7 @@ PARTS: dict[str, str] = {
         WHERE region NOT IN ('nav', 'footer', 'ad') AND NOT regexp_full_match(content, '\\d+')""",
     "page_markdown": """
         SELECT path, string_agg(
-          CASE WHEN type IN ('title', 'header') THEN repeat('#', coalesce(level, 2)) || ' ' || content
+          CASE WHEN type IN ('title', 'header') THEN repeat('#', CAST(least(coalesce(level, 2), 6) AS INTEGER)) || ' ' || content
                WHEN type = 'list_item' THEN '- ' || content
                WHEN type = 'caption' THEN '*' || content || '*'
                WHEN type = 'image' THEN '![](' || content || ')'

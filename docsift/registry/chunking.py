@@ -41,12 +41,12 @@ def chunk_fixed_tokens(spark, sf):
 
 @query(
     "chunk_pages",
-    """SELECT conv_id AS path, 0 AS part,
+    """SELECT conv_id AS path,
       CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, t AS chunk
     FROM (SELECT conv_id, turn, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM conversations) WHERE t <> ''""",
 )
 def chunk_pages(spark, sf):
-    return chunk.by_pages(clean.plain_text(turns(spark, sf)), ["path", "part"], "plain_text")
+    return chunk.by_pages(clean.plain_text(turns(spark, sf)), ["path"], "plain_text")
 
 
 @query("chunk_nonblank", "SELECT conv_id, turn, text FROM conversations WHERE regexp_matches(text, '\\S')")
@@ -71,7 +71,7 @@ def chunk_packed_sentences(spark, sf):
 
 @query(
     "chunk_headers",
-    f"""SELECT path, 0 AS part, pos, concat_ws(' > ', h1,
+    f"""SELECT path, pos, concat_ws(' > ', h1,
         CASE WHEN p2 > coalesce(p1, -1) THEN h2 END) AS heading_path, chunk
     FROM (SELECT *, last_value(CASE WHEN level = 1 THEN title END IGNORE NULLS) OVER w AS h1,
             last_value(CASE WHEN level = 1 THEN pos END IGNORE NULLS) OVER w AS p1,
@@ -85,7 +85,7 @@ def chunk_packed_sentences(spark, sf):
           WINDOW w AS (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
 )
 def chunk_headers(spark, sf):
-    return chunk.by_headers(clean.markdown(clean_elements(spark, sf)), ["path", "part"], "markdown")
+    return chunk.by_headers(clean.markdown(clean_elements(spark, sf)), ["path"], "markdown")
 
 
 @query(

@@ -207,6 +207,26 @@ def index_stream_sync(spark, sf):
     return _live(index)
 
 
+@query(
+    "stream_late_changes",
+    """SELECT user_id, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1""",
+)
+def stream_late_changes(spark, sf):
+    """The last event of every user, from a stream that brings the later half first."""
+    events = load(spark, sf, "events").select("user_id", "event_type", "value", "event_id")
+    start = events.select("user_id").distinct().selectExpr("user_id", "'none' AS event_type", "0.0D AS value")
+    index = ix.create_index(start, _name(spark, "late"), "user_id", text_col="event_type", pipeline_type="CONTINUOUS")
+    changes = events.withColumn("op", F.lit("update"))
+    middle = events.agg(F.expr("percentile(event_id, 0.5)")).first()[0]
+    inbox, progress = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
+    for part in (F.col("event_id") > middle, F.col("event_id") <= middle):
+        changes.filter(part).write.mode("append").parquet(inbox)
+        stream = ingest.file_stream(spark, inbox, changes.schema)
+        sync.continuous_sync(index, stream, ["event_id"], progress, once=True).awaitTermination()
+    return index.live("rows").select("user_id", "event_type", "value")
+
+
 @query("ingest_stream", "SELECT event_id, user_id, event_type, value FROM events")
 def ingest_stream(spark, sf):
     source = f"{sf}/events.parquet"

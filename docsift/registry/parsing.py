@@ -46,7 +46,7 @@ def sample_rows(spark, sf):
 @query("read_binary_files")
 def read_binary_files(spark, sf):
     rows = files.read_files(spark, sf, "*.parquet")
-    return rows.select("path", "length", F.sha2("content", 256).alias("sha256"), "error_status")
+    return rows.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
 @query("read_files_sql")
@@ -196,7 +196,7 @@ def variant_paths(spark, sf):
 
 @query(
     "parsed_variant",
-    """SELECT path, 0 AS part, count(*) AS n_elements, count(DISTINCT page) AS n_pages,
+    """SELECT path, count(*) AS n_elements, count(DISTINCT page) AS n_pages,
       arg_min(type, pos) AS first_type, arg_min(content, pos) AS first_content, '2.0' AS version
     FROM {{elements}} GROUP BY path""",
 )
@@ -205,7 +205,6 @@ def parsed_variant(spark, sf):
     items = "cast(variant_get(parsed_content, '$.document.{}') as array<variant>)"
     return parsed.select(
         "path",
-        "part",
         F.expr(f"size({items.format('elements')})").cast("bigint").alias("n_elements"),
         F.expr(f"size({items.format('pages')})").cast("bigint").alias("n_pages"),
         F.expr("parsed_content:document.elements[0].type::string").alias("first_type"),
@@ -274,7 +273,7 @@ def extract_fields(spark, sf):
     return found.select("page_id", *[F.expr(f"fields['{f}']").alias(f) for f in FIELD_RULES])
 
 
-@query("markdown", "SELECT path, 0 AS part, markdown FROM {{page_markdown}}")
+@query("markdown", "SELECT path, markdown FROM {{page_markdown}}")
 def markdown(spark, sf):
     return clean.markdown(clean_elements(spark, sf))
 
@@ -291,7 +290,7 @@ def prompt(spark, sf):
 
 @query(
     "plain_text_pages",
-    """SELECT conv_id AS path, 0 AS part,
+    """SELECT conv_id AS path,
       string_agg(text, chr(10) || '== page ==' || chr(10) ORDER BY turn) AS plain_text
     FROM conversations GROUP BY conv_id""",
 )

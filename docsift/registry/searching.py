@@ -77,6 +77,16 @@ def knn_l1(spark, sf):
     return _knn(spark, sf, "l1")
 
 
+@query(
+    "knn_null_vectors",
+    knn_sql("cosine").replace("FROM q JOIN e USING (i)", "FROM q JOIN (SELECT * FROM e WHERE vec_id % 7 <> 0) e USING (i)"),
+)
+def knn_null_vectors(spark, sf):
+    some = F.when(F.col("key") % 7 != 0, F.col("vector"))
+    found = topk.nearest(stored_vectors(spark, sf).withColumn("vector", some), centroids(spark, sf), 10)
+    return found.select("query_id", "key", "score", "rank")
+
+
 @query(
     "pair_metrics",
     f"""WITH {KNN_PARTS}, own AS (SELECT vec_id, label AS query_id FROM embeddings)
@@ -114,7 +124,7 @@ def search_fulltext(spark, sf):
     "SELECT query_id, rank, score, doc_id, source FROM {{fused_all}} JOIN documents USING (doc_id) WHERE rank <= 5",
 )
 def search_hybrid(spark, sf):
-    return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid"))
+    return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid", fusion_depth=50))
 
 
 @query(
@@ -187,7 +197,7 @@ def fulltext_filtered(spark, sf):
     JOIN documents USING (doc_id) WHERE rank <= 5""",
 )
 def hybrid_filtered(spark, sf):
-    return run(spark, sf, se.SearchSpec(("n_chars",), 5, "hybrid", filters={"n_chars >=": 1000}))
+    return run(spark, sf, se.SearchSpec(("n_chars",), 5, "hybrid", fusion_depth=50, filters={"n_chars >=": 1000}))
 
 
 def _reranked(first: str, k: int) -> str:
@@ -210,7 +220,7 @@ def rerank_coverage(spark, sf):
 
 @query("hybrid_reranked", _reranked("fused_all", 5))
 def hybrid_reranked(spark, sf):
-    return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid", reranker=COVERAGE))
+    return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid", fusion_depth=50, reranker=COVERAGE))
 
 
 @query(
@@ -242,8 +252,8 @@ SHIFT_SQL = f"""SELECT query_id, doc_id AS key, CAST(a.rank AS INTEGER) AS rank_
 
 
 def _before_after(spark, sf):
-    before = se.SearchSpec((), 5, "hybrid")
-    after = se.SearchSpec((), 5, "hybrid", reranker=COVERAGE)
+    before = se.SearchSpec((), 5, "hybrid", fusion_depth=50)
+    after = se.SearchSpec((), 5, "hybrid", fusion_depth=50, reranker=COVERAGE)
     index = documents_index(spark, sf)
     lists = [se.search(index, asked(spark, sf), spec).withColumnRenamed("doc_id", "key") for spec in (before, after)]
     return lists[0], lists[1]

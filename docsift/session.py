@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_announced: set[str] = set()
 
 
 def get_session(app: str = "docsift", master: str | None = None, **conf) -> SparkSession:
@@ -45,16 +46,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one; it is deleted when the session ends."""
+    path = f"{shared_dir(spark)}/docsift-{spark.sparkContext.applicationId}"
+    if path not in _announced:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _announced.add(path)
+    return path
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A path in the scratch folder that nothing has written to yet."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def scratch_database(spark: SparkSession) -> str:
     """Catalog database of this application, placed in the shared folder."""
     name = "docsift_" + re.sub(r"\W+", "_", spark.sparkContext.applicationId).lower()
     if not spark.catalog.databaseExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{shared_dir(spark)}/{name}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_dir(spark)}/{name}'")
     return name
 
 

@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MAX_FILE_BYTES = 1 << 30
-
 
 def _binary(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -18,24 +14,16 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return _binary(spark, path, glob).select("path", "modificationTime", "length")
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """File rows with `content`. A file above `max_bytes` keeps its row, with null
-    content and an `error_status`, instead of failing the scan."""
-    files = _binary(spark, path, glob)
-    none = F.lit(None).cast("string")
-    small = files.filter(F.col("length") <= max_bytes).withColumn("error_status", none)
-    large = (
-        files.filter(F.col("length") > max_bytes)
-        .select("path", "modificationTime", "length")
-        .withColumn("content", F.lit(None).cast("binary"))
-        .withColumn("error_status", F.lit("larger than the read limit"))
-    )
-    return small.unionByName(large)
+def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """File rows with `content`, whole. A file beyond the reader's own limit
+    (`spark.sql.sources.binaryFile.maxLength`) fails the job; none is passed over."""
+    return _binary(spark, path, glob)
 
 
 def read_files_sql(path: str, columns: str = "path, length") -> str:
     """SQL text that reads files as rows."""
-    return f"SELECT {columns} FROM binaryFile.`{path}`"
+    quoted = path.replace("`", "``")
+    return f"SELECT {columns} FROM binaryFile.`{quoted}`"
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:

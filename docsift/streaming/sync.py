@@ -27,14 +27,14 @@ def continuous_sync(
 ) -> StreamingQuery:
     """Apply a stream of `(primary key, op, columns, order columns)` to the index.
 
-    Within a micro-batch the newest change of a key wins. The batch number is
-    committed with the index version, so a batch that is replayed after a failure
-    changes nothing.
+    The newest change of a key by the order columns wins, within a micro-batch and
+    over batches: a late one is passed over. The batch number is committed with the
+    index version, so a batch that is replayed after a failure changes nothing.
     """
     key = index.info["primary_key"]
 
     def commit(batch: DataFrame, number: int) -> None:
-        apply_changes(index, latest_per_key(batch, key, order), stream, number)
+        apply_changes(index, latest_per_key(batch, key, order), stream, number, order)
 
     writer = changes.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": interval}

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docsift.operators import chunk, clean, recursive
+from docsift.operators import chunk, clean, parse, recursive
 
 TEXTS = st.text(alphabet=st.sampled_from("ab é.\n=p🙂 "), max_size=300)
 
@@ -100,15 +100,23 @@ def test_mark_inside_text_is_softened(spark):
     assert text.split(clean.PAGE_MARK) == ["x = = page = = y", "z"]
 
 
-def test_long_paths_are_assembled_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(clean, "PAGES_PER_PART", 2)
-    rows = [("d", page, pos, f"{page}{pos}") for page in range(5) for pos in range(2)]
-    df = spark.createDataFrame(rows, "path string, page int, pos int, content string").repartition(4)
-    parts = clean.plain_text(df).orderBy("part").collect()
-    assert [r["part"] for r in parts] == [0, 1, 2]
-    assert clean.PAGE_MARK.join(r["plain_text"] for r in parts) == clean.PAGE_MARK.join(
-        f"{p}0\n{p}1" for p in range(5)
-    )
+def test_a_path_is_one_text_however_many_pages_it_has(spark):
+    rows = spark.range(10_001).selectExpr("'d' AS path", "CAST(id AS int) AS page")
+    rows = rows.selectExpr("path", "page", "explode(array(0, 1)) AS pos").selectExpr("*", "concat(page, pos) AS content")
+    text = clean.plain_text(rows.repartition(4)).collect()
+    assert len(text) == 1
+    assert text[0]["plain_text"] == clean.PAGE_MARK.join(f"{p}0\n{p}1" for p in range(10_001))
+    pieces = chunk.by_pages(clean.plain_text(rows), ["path"], "plain_text")
+    assert pieces.select("path", "pos").distinct().count() == 10_001
+    assert parse.parsed_documents(
+        rows.selectExpr("path", "page", "pos", "'text' AS type", "'body' AS region", "content")
+    ).count() == 1
+
+
+def test_all_heading_levels_reach_the_path(spark):
+    text = "\n".join(f"{'#' * n} h{n}\nx" for n in range(1, 7))
+    rows = chunk.by_headers(spark.createDataFrame([(1, text)], "k int, text string"), ["k"], "text").orderBy("pos")
+    assert rows.collect()[-1]["heading_path"] == " > ".join(f"h{n}" for n in range(1, 7))
 
 
 def test_packed_sentences(spark, sf):

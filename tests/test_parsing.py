@@ -105,10 +105,31 @@ def test_extracted_fields_leave_out_the_absent(spark):
     assert got == [{"author": "Ann"}, {}]
 
 
-def test_large_files_keep_their_row(spark, sf):
-    rows = files.read_files(spark, sf, "*.parquet", max_bytes=10_000).collect()
+def test_files_are_read_whole(spark, sf):
+    rows = files.read_files(spark, sf, "*.parquet").collect()
     assert len(rows) == files.list_files(spark, sf, "*.parquet").count()
-    assert all((r["content"] is None) == (r["length"] > 10_000) == (r["error_status"] is not None) for r in rows)
+    assert all(len(r["content"]) == r["length"] for r in rows)
+
+
+def test_a_quoted_path_is_one_name():
+    assert files.read_files_sql("/data/a`b") == "SELECT path, length FROM binaryFile.`/data/a``b`"
+
+
+def test_model_calls_pass_nulls_through(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "bb")], "k int, t string").coalesce(1)
+    got = clean.model_map(df, lambda: lambda texts: [t.upper() for t in texts], "t", "answer", batch_size=1)
+    assert [tuple(r)[2] for r in got.orderBy("k").collect()] == ["A", None, "BB"]
+
+
+@pytest.mark.parametrize("page", ["<p>a<SCRIPT>var x=1;</SCRIPT>", "<p>a<!-- open", "<p>a<Style>p{}"])
+def test_invisible_parts_go_in_any_spelling(spark, page):
+    df = spark.createDataFrame([(1, page)], "k int, html string")
+    assert [r["content"] for r in parse.parse_elements(df, "k", "html").collect()] == ["a"]
+
+
+def test_deep_headings_stay_headings(spark):
+    df = spark.createDataFrame([(1, "<h5>five</h5><h6>six</h6>")], "k int, html string")
+    assert clean.markdown(parse.parse_elements(df, "k", "html")).first()["markdown"] == "###### five\n\n###### six"
 
 
 def test_listing_reads_no_content(spark, sf):

@@ -212,12 +212,14 @@ def index(spark, docs):
 def test_single_text_search(index, docs):
     text = docs.orderBy("doc_id").first()["text"]
     for mode in (None, "similarity", "HYBRID", "full_text"):
-        hits = se.similarity_search(index, text, ["lang", "text"], 3, mode).orderBy("rank").collect()
+        hits = se.similarity_search(index, text, ["lang", "text"], 3, mode, fusion_depth=50).orderBy("rank").collect()
         assert [h["rank"] for h in hits] == [1, 2, 3]
         assert hits[0]["text"] == text
         assert set(hits[0].asDict()) == {"rank", "score", "doc_id", "lang", "text"}
     with pytest.raises(ValueError):
         se.similarity_search(index, text, ["lang"], 3, "magic")
+    with pytest.raises(ValueError, match="fusion_depth"):
+        se.similarity_search(index, text, ["lang"], 3, "hybrid")
     with pytest.raises(ValueError):
         se.similarity_search(index, text, ["nope"], 3).collect()
     with pytest.raises(ValueError):
@@ -290,3 +292,70 @@ def test_self_managed_vectors(spark, sf, index_name):
     assert (hit["vec_id"], hit["score"]) == (3, 1.0)
     with pytest.raises(ValueError, match="no text model"):
         se.similarity_search(index, "text", [], 1)
+
+
+VECTORS = "key long, vector array<double>"
+ASKED = "query_id long, vector array<double>"
+
+
+def hits_of(spark, rows, asked, k=3, metric="cosine", schema=VECTORS):
+    found = topk.nearest(spark.createDataFrame(rows, schema), spark.createDataFrame(asked, ASKED), k, metric)
+    return [(r["query_id"], r["key"], r["score"]) for r in found.orderBy("query_id", "rank").collect()]
+
+
+def test_a_null_vector_shifts_no_key(spark):
+    rows = [(10, [1.0, 0.0]), (11, None), (12, [0.0, 1.0])]
+    assert hits_of(spark, rows, [(0, [0.0, 1.0]), (1, None)]) == [(0, 12, 1.0), (0, 10, 0.0)]
+
+
+def test_another_dimension_is_an_error(spark):
+    with pytest.raises(Exception, match="among vectors of 2"):
+        hits_of(spark, [(1, [1.0, 2.0, 3.0, 4.0])], [(0, [1.0, 2.0])])
+
+
+def test_l2_of_close_vectors_far_from_the_origin(spark):
+    a = [8000.0, 1.0]
+    rows = [(1, a), (2, [8000.0, 1.00008]), (3, [8000.0, 1.5])]
+    assert hits_of(spark, rows, [(0, a)], metric="l2") == [(0, 1, 0.0), (0, 2, 8e-5), (0, 3, 0.5)]
+
+
+def test_key_types_without_a_shared_order_are_refused(spark):
+    import datetime
+
+    with pytest.raises(ValueError, match="whole number or a string"):
+        hits_of(spark, [(datetime.date(2024, 1, 1), [1.0])], [(0, [1.0])], schema="key date, vector array<double>")
+
+
+def test_repeated_query_ids_are_refused(spark):
+    with pytest.raises(ValueError, match="tell queries apart"):
+        hits_of(spark, [(1, [1.0])], [(0, [1.0]), (0, [2.0])])
+
+
+def test_many_queries_are_worked_off_in_blocks(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], VECTORS)
+    asked = spark.createDataFrame([(i, [float(i % 20), 1.0]) for i in range(60)], ASKED)
+    found = topk.nearest(rows, asked, 1, "l2", batch_queries=7).collect()
+    assert {r["query_id"]: r["key"] for r in found} == {i: i % 20 for i in range(60)}
+
+
+def test_cells_follow_the_metric(spark):
+    """Long and short vectors of one direction lie in different cells of an L2 index."""
+
+    rows = spark.createDataFrame([(i, [1.0 + i % 2 * 99, 0.001 * i]) for i in range(40)] + [(99, [0.0, 0.0])], VECTORS)
+    centres = cells.train_cells(rows, "vector", 2, "l2")
+    placed = rows.select("key", cells.cell_of(F.col("vector"), centres, "l2").alias("cell")).collect()
+    cell = {r["key"]: r["cell"] for r in placed}
+    assert cells.NO_CELL not in cell.values()
+    assert len({cell[i] for i in range(0, 40, 2)}) == 1 and cell[0] != cell[1] and cell[99] == cell[0]
+
+
+def test_nprobe_needs_cells_and_the_dimension_is_checked(spark, index_name):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "k int, v array<double>")
+    index = ix.create_index(rows, index_name, "k", vector_col="v")
+    ask = lambda v: spark.createDataFrame([(0, v)], ASKED)
+    with pytest.raises(ValueError, match="cells"):
+        se.search(index, ask([1.0, 2.0]), se.SearchSpec((), 3, nprobe=2))
+    with pytest.raises(ValueError, match="has not 2 numbers"):
+        se.search(index, ask([1.0]), se.SearchSpec((), 3))
+    with pytest.raises(ValueError, match="unknown metric"):
+        ix.create_index(rows, index_name + "_m", "k", vector_col="v", metric="dot")

@@ -46,7 +46,7 @@ def test_sync_equals_rebuild(spark, index_name):
     reopened = ix.get_index(spark, index_name)
     assert state(reopened) == state(fresh)
     hits = [
-        [tuple(r) for r in se.similarity_search(i, "common changed fresh", ["tag"], 10, mode).orderBy("rank").collect()]
+        [tuple(r) for r in se.similarity_search(i, "common changed fresh", ["tag"], 10, mode, fusion_depth=50).orderBy("rank").collect()]
         for i in (reopened, fresh)
         for mode in (None, "full_text", "hybrid")
     ]
@@ -142,3 +142,22 @@ def test_source_table_needs_its_change_feed(spark, index_name):
     tables.enable_change_feed(spark, index_name + "_src")
     made = ix.create_index(spark.table(index_name + "_src"), index_name, "id", text_col="text", source_table=index_name + "_src")
     assert made.describe().first()["n_docs"] == len(START)
+
+
+def test_a_late_change_loses_against_a_newer_one_of_an_earlier_batch(spark, index_name):
+    index = build(spark, START, index_name)
+
+    def change(key, op, text, seq):
+        return spark.createDataFrame([(key, op, text, "t", seq)], "id int, op string, text string, tag string, seq int")
+
+    columns = index.info["columns"]
+    named = lambda df: df.select("op", "seq", *[F.col(a).alias(b) for a, b in zip(("id", "text", "tag"), columns)])
+    steps = [(1, "put", "newest", 5), (1, "put", "late", 2), (2, "delete", None, 7), (2, "put", "too late", 6), (2, "put", "back", 8)]
+    for number, step in enumerate(steps):
+        ix.apply_changes(index, named(change(*step)), "s", number, ["seq"])
+    key, text = columns[0], columns[1]
+    found = {r[key]: r[text] for r in index.live("rows").filter(F.col(key).isin(1, 2)).collect()}
+    assert found == {1: "newest", 2: "back"}
+    again = ix.compact(index, index_name + "_compact")
+    ix.apply_changes(again, named(change(1, "put", "late again", 3)), "s", 99, ["seq"])
+    assert again.live("rows").filter(F.col(key) == 1).first()[text] == "newest"
