@@ -162,6 +162,18 @@ def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = No
     )
 
 
+def decoded(files: DataFrame, path: str, content: str) -> DataFrame:
+    """`path, html, size, error_status` of file rows: the text of their bytes, or null and why."""
+    text = F.try_validate_utf8(F.col(content).cast("string"))
+    status = F.when(F.col(content).isNull(), "no content").when(text.isNull(), "not UTF-8")
+    return files.select(
+        F.col(path).alias("path"),
+        text.alias("html"),
+        F.octet_length(content).cast("bigint").alias("size"),
+        status.alias("error_status"),
+    )
+
+
 def with_user_parser(files: DataFrame, parse: Callable, schema) -> DataFrame:
     """Run a caller's `Iterator[DataFrame] -> Iterator[DataFrame]` decoder (PDF, DOCX,
     OCR ...) over the file rows; it loads once per task."""
@@ -238,9 +250,10 @@ def references(pages: DataFrame, path: str, html: str, page: str | None = None)
     )
 
 
-def parsed_documents(elements: DataFrame) -> DataFrame:
+def parsed_documents(elements: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One VARIANT per path: `document{pages, elements, metadata}`, status fields,
-    version. Pages are put together first, each on its own; a document is one value,
+    version. With `files(path, size, error_status)` every file has one, with its size and
+    status, whether it has elements or not. Pages are put together first, each on its own; a document is one value,
     so all its pages meet in one row."""
     per_page = elements.groupBy("path", "page").agg(
         F.sort_array(F.collect_list(F.struct("pos", "type", "region", "content"))).alias("items")
@@ -272,10 +285,15 @@ def parsed_documents(elements: DataFrame) -> DataFrame:
         ),
     )
     none = F.lit(None).cast("string")
-    metadata = F.struct(F.regexp_extract("path", r"([^/?#]*)(?:[?#].*)?$", 1).alias("file_name"), F.lit("html").alias("format"))
+    if files is None:
+        per_path = per_path.withColumns({"size": F.lit(None).cast("bigint"), "error_status": none})
+    else:
+        per_path = files.select("path", "size", "error_status").join(per_path, "path", "left")
+    name = F.regexp_extract("path", r"([^/?#]*)(?:[?#].*)?$", 1)
+    metadata = F.struct(name.alias("file_name"), F.lit("html").alias("format"), F.col("size"))
     whole = F.struct(
         F.struct(pages.alias("pages"), listed.alias("elements"), metadata.alias("metadata")).alias("document"),
-        none.alias("error_status"),
+        F.col("error_status"),
         none.alias("corrupted_data"),
         metadata.alias("metadata"),
         F.lit(SCHEMA_VERSION).alias("version"),

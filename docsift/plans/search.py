@@ -34,8 +34,9 @@ class SearchSpec:
     case; `filters` maps "column OP" to a value; a `reranker` re-scores the first
     `candidates` hits. Hybrid search fuses the first `fusion_depth` hits of each list,
     which the caller states. `nprobe` bounds the cells that a vector search visits
-    (None: all vectors, exact); it needs an index with cells. `grants` holds the values of `grant_column` the
-    caller may see.
+    (None: all vectors, exact); it needs an index with cells. `grants` holds the values of
+    `grant_column` the caller may see; with a column `caller` as well, each query sees what
+    its own `caller` may (similarity search without `nprobe`).
     """
 
     columns: tuple[str, ...]
@@ -76,8 +77,12 @@ def _allowed(index: Index, part: str, spec: SearchSpec) -> DataFrame:
     return table.join(small_side(keys, n), "key", "left_semi")
 
 
+def _by_caller(spec: SearchSpec) -> bool:
+    return spec.grants is not None and "caller" in spec.grants.columns
+
+
 def _granted(table: DataFrame, spec: SearchSpec) -> DataFrame:
-    if spec.grants is None:
+    if spec.grants is None or _by_caller(spec):
         return table
     return table.join(spec.grants.select(spec.grant_column), spec.grant_column, "left_semi")
 
@@ -91,6 +96,13 @@ def similar(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> DataF
             raise ValueError("this index has no text model; pass query vectors")
         asked = queries.select("query_id", index.model.column(F.col("query_text")).alias("vector"))
     vectors = _allowed(index, "vectors", spec)
+    if _by_caller(spec):
+        if spec.nprobe is not None or spec.grant_column not in vectors.columns:
+            raise ValueError("grants by caller need the grant column among the filter columns, and no nprobe")
+        value = F.xxhash64(F.col(spec.grant_column).cast("string"))
+        seen = spec.grants.groupBy("caller").agg(F.collect_set(value).alias("bands"))
+        asked = asked.join(queries.select("query_id", "caller"), "query_id").join(seen, "caller")
+        vectors = vectors.withColumn("bands", F.array(value))
     dim = index.info["dim"]
     wrong = asked.filter(F.size("vector") != dim).limit(1).collect() if "vector" in queries.columns else []
     if wrong:
@@ -102,11 +114,14 @@ def similar(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> DataF
         metric = index.info["metric"]
         probes = ivf.nearest_cells(F.col("vector"), index.centres, spec.nprobe, metric)
         asked = asked.withColumn("probes", probes)
-    return topk.nearest(vectors, asked, k, index.info["metric"], within="cells" if approximate else None)
+    within = "cells" if approximate else "bands" if _by_caller(spec) else None
+    return topk.nearest(vectors, asked, k, index.info["metric"], within=within)
 
 
 def keyword(index: Index, queries: DataFrame, spec: SearchSpec, k: int) -> DataFrame:
     """`query_id, key, score, rank` by BM25."""
+    if _by_caller(spec):
+        raise ValueError("grants by caller are for similarity search")
     terms = lexical.query_terms(queries, "query_text")
     weighted = lexical.weighted_queries(terms, index.frequencies(), index.info["n_docs"])
     return topk.bm25(_allowed(index, "postings", spec), weighted, k, index.avg_len)
@@ -198,10 +213,18 @@ def similarity_search(
     return search(index, one, spec).drop("query_id")
 
 
-def match_all_terms(index: Index, queries: DataFrame) -> DataFrame:
-    """Every document that holds all distinct tokens of a query: a filter, not a ranking."""
+def match_all_terms(
+    index: Index,
+    queries: DataFrame,
+    filters: Mapping[str, object] | None = None,
+    grants: DataFrame | None = None,
+    grant_column: str | None = None,
+) -> DataFrame:
+    """Every document that holds all distinct tokens of a query, among those that filters and
+    grants let through: a filter, not a ranking."""
     small = _is_small(queries, TERMS_PER_QUERY)
-    return lexical.all_terms(index.live("postings"), index.frequencies(), queries, "query_text", small)
+    spec = SearchSpec((), 0, FULL_TEXT, filters, grants=grants, grant_column=grant_column)
+    return lexical.all_terms(_allowed(index, "postings", spec), index.frequencies(), queries, "query_text", small)
 
 
 def parents(chunk_hits: DataFrame, owners: DataFrame, k: int) -> DataFrame:

@@ -74,7 +74,7 @@ PARTS: dict[str, str] = {
     "marked": """
         SELECT page_id AS path, replace(regexp_replace(
           regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-            regexp_replace(html, '(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)', '', 'g'),
+            regexp_replace(html, '(?is)<script.*?(?:</script>|\\z)|<style.*?(?:</style>|\\z)|<!--.*?(?:-->|\\z)', '', 'g'),
             '(?i)<(/?)nav\\b', '<\\1nav', 'g'), '(?i)<(/?)footer\\b', '<\\1footer', 'g'),
             '(?i)<(/?)table\\b', '<\\1table', 'g'), '(?i)<(/?)div\\b', '<\\1div', 'g'),
           '<(nav|footer|table)\\b', chr(3) || '\\1' || chr(2) || '\\0', 'g'),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docsift.operators import chunk, clean, embed, metadata, parse
-from docsift.plans import layers
+from docsift.plans import index, layers
 from docsift.registry.base import load, nonblank, query
 from docsift.session import scratch_database
 from docsift.sources import files, tables
@@ -68,7 +68,9 @@ def table_flag(spark, sf):
     tables.enable_change_feed(spark, table)
     tables.require_change_feed(spark, table)
     return spark.table(table).groupBy("source").agg(
-        F.count("*").alias("n_rows"), F.lit(before).alias("flag_before"), F.lit(True).alias("flag_after")
+        F.count("*").alias("n_rows"),
+        F.lit(before).alias("flag_before"),
+        F.lit(tables.change_feed_enabled(spark, table)).alias("flag_after"),
     )
 
 
@@ -107,10 +109,11 @@ def _whole_numbers(column: str):
 
 @query("save_vectors", VECTOR_SQL)
 def save_vectors(spark, sf):
+    from docsift.registry.indexing import documents_index
+
     table = f"{scratch_database(spark)}.document_vectors"
-    vectors = embed.embed(load(spark, sf, "documents").select("doc_id", "text"), "text", embed.HashedModel())
-    tables.overwrite(vectors.select("doc_id", "vector"), table)
-    return spark.table(table).select("doc_id", _whole_numbers("vector"))
+    index.save_vectors(documents_index(spark, sf), table, save=True)
+    return spark.table(table).select(F.col("key").alias("doc_id"), _whole_numbers("vector"))
 
 
 @query("layer_tables", """
@@ -213,6 +216,48 @@ def parsed_variant(spark, sf):
     )
 
 
+def spoiled_files(spark, sf):
+    """Pages as file bytes; every tenth has a byte that is no UTF-8."""
+    bytes_ = F.encode("html", "UTF-8")
+    bad = F.concat(bytes_, F.unhex(F.lit("FF")))
+    return load(spark, sf, "pages").select(
+        F.col("page_id").alias("path"), F.when(F.col("page_id") % 10 == 0, bad).otherwise(bytes_).alias("content")
+    )
+
+
+@query("parse_from_bytes", "SELECT * FROM {{elements}} WHERE path % 10 <> 0")
+def parse_from_bytes(spark, sf):
+    return parse.parse_elements(parse.decoded(spoiled_files(spark, sf), "path", "content"), "path", "html")
+
+
+@query(
+    "parsed_status",
+    """SELECT page_id AS path, CAST(strlen(html) + CASE WHEN page_id % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS size,
+      CASE WHEN page_id % 10 = 0 THEN 'not UTF-8' END AS error_status,
+      CASE WHEN page_id % 10 <> 0 THEN coalesce(n, 0) ELSE 0 END AS n_elements,
+      CASE WHEN page_id % 10 = 0 THEN 'error: not UTF-8' ELSE 'ok' END AS status
+    FROM pages LEFT JOIN (SELECT path, count(*) AS n FROM {{elements}} GROUP BY path) ON path = page_id""",
+)
+def parsed_status(spark, sf):
+    files_ = parse.decoded(spoiled_files(spark, sf), "path", "content")
+    parsed = parse.parsed_documents(parse.parse_elements(files_, "path", "html"), files_)
+    items = "cast(variant_get(parsed_content, '$.document.elements') as array<variant>)"
+    routed = parse.split_by_status(
+        parsed.withColumn("json", F.to_json("parsed_content")).withColumn(
+            "error", F.expr("parsed_content:error_status::string")
+        ),
+        "json",
+        "error",
+    )
+    return routed.select(
+        "path",
+        F.expr("parsed_content:metadata.size::bigint").alias("size"),
+        F.col("error").alias("error_status"),
+        F.expr(f"coalesce(size({items}), 0)").cast("bigint").alias("n_elements"),
+        "status",
+    )
+
+
 @query("json_string", "SELECT event_id, CAST(json(props) AS VARCHAR) AS props_json FROM events")
 def json_string(spark, sf):
     rows = load(spark, sf, "events").select("event_id", F.parse_json("props").alias("v"))

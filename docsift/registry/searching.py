@@ -137,6 +137,17 @@ def search_all_terms(spark, sf):
     return se.match_all_terms(documents_index(spark, sf), asked(spark, sf))
 
 
+@query(
+    "all_terms_filtered",
+    """SELECT query_id, doc_id AS key, CAST(n AS INTEGER) AS n_terms FROM (
+      SELECT query_id, doc_id, count(*) AS m FROM {{qterm}} JOIN {{post}} USING (term) GROUP BY ALL)
+    JOIN (SELECT query_id, count(*) AS n FROM {{qterm}} GROUP BY query_id) USING (query_id)
+    JOIN documents USING (doc_id) WHERE m = n AND lang = 'en'""",
+)
+def all_terms_filtered(spark, sf):
+    return se.match_all_terms(documents_index(spark, sf), asked(spark, sf), filters={"lang": "en"})
+
+
 @query("filter_like", "SELECT doc_id, source FROM documents WHERE list_contains(string_split_regex(text, '\\s+'), 'the')")
 def filter_like(spark, sf):
     docs = load(spark, sf, "documents")
@@ -315,6 +326,36 @@ def phrase_match(spark, sf):
     return docs.filter(lexical.phrase(F.col("text"), F.lit("Of the"))).select("doc_id", "source")
 
 
+def purchases(spark, sf, n_users):
+    """A purchase grants its user one source; the callers are the busiest users."""
+    events = load(spark, sf, "events")
+    callers = events.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").limit(n_users).select("user_id")
+    number = F.get_json_object("props", "$.k").cast("int") % 20
+    bought = events.filter("event_type = 'purchase'").join(callers, "user_id", "left_semi")
+    return bought.select("user_id", F.concat(F.lit("src"), number.cast("string")).alias("source")).distinct()
+
+
+@query(
+    "grants_by_user",
+    """SELECT asked AS query_id, rank, score, doc_id, source FROM (
+      SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, doc_id) AS rank FROM (
+        SELECT *, 1000 * query_id + user_id AS asked FROM {{cosines}} JOIN documents USING (doc_id) JOIN (
+          SELECT DISTINCT user_id, 'src' || CAST(CAST(props->>'$.k' AS INTEGER) % 20 AS VARCHAR) AS source
+          FROM events WHERE event_type = 'purchase' AND user_id IN (
+            SELECT user_id FROM events GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 2)) USING (source)))
+    WHERE rank <= 3""",
+)
+def grants_by_user(spark, sf):
+    grants = purchases(spark, sf, 2).withColumnRenamed("user_id", "caller")
+    callers = grants.select("caller").distinct()
+    # Both users ask all questions.
+    both = callers.agg(F.collect_list("caller").alias("callers"))
+    queries = asked(spark, sf).join(F.broadcast(both)).withColumn("caller", F.explode("callers"))
+    queries = queries.withColumn("query_id", 1000 * F.col("query_id") + F.col("caller"))
+    found = se.search(documents_index(spark, sf), queries, se.SearchSpec(("source",), 3, grants=grants, grant_column="source"))
+    return found.select("query_id", "rank", "score", "doc_id", "source")
+
+
 @query(
     "row_grants",
     """SELECT query_id, rank, score, doc_id, source FROM (
@@ -326,19 +367,21 @@ def phrase_match(spark, sf):
     WHERE rank <= 3""",
 )
 def row_grants(spark, sf):
-    # A purchase grants one source; the caller is the busiest user.
-    events = load(spark, sf, "events")
-    caller = events.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").limit(1).select("user_id")
-    number = F.get_json_object("props", "$.k").cast("int") % 20
-    grants = (
-        events.filter("event_type = 'purchase'")
-        .join(caller, "user_id", "left_semi")
-        .select(F.concat(F.lit("src"), number.cast("string")).alias("source"))
-        .distinct()
-    )
+    grants = purchases(spark, sf, 1).select("source").distinct()
     return run(spark, sf, se.SearchSpec(("source",), 3, grants=grants, grant_column="source"))
 
 
+@query(
+    "ann_ivf_all",
+    f"""SELECT query_id, rank, score, key AS vec_id, label FROM ({knn_sql('cosine')})
+    JOIN (SELECT vec_id AS key, label FROM embeddings) USING (key)""",
+)
+def ann_ivf_all(spark, sf):
+    """Visiting every cell finds what an exact search finds."""
+    index = vectors_index(spark, sf)
+    return se.search(index, centroids(spark, sf), se.SearchSpec(("label",), 10, nprobe=index.info["n_cells"]))
+
+
 @query("ann_ivf")
 def ann_ivf(spark, sf):
     return se.search(vectors_index(spark, sf), centroids(spark, sf), se.SearchSpec(("label",), 10, nprobe=8))
