@@ -188,7 +188,7 @@ def _encoded_words(vocabulary: str):
 
 
 def _reassembled(answers: pa.Table) -> Iterator[pa.RecordBatch]:
-    answers = answers.sort_by("bucket")
+    answers = answers.take(np.argsort(answers.column("bucket").to_numpy(), kind="stable"))
     fs, at = store.opened(answers.column("block")[0].as_py())
     with fs.open_input_stream(at) as f:
         doc_ids, known, counts, order, codes = _unpacked(f.read(), "<i8", "u1", "<u4", "<u4", "<u4")

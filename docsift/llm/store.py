@@ -14,10 +14,9 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared one, as a URI; it goes when the session ends."""
+    """A new folder of the session's scratch, as a URI; it goes when the session ends."""
     fs, at = _hadoop(spark, fresh_path(spark, f"llm-{label}"))
     fs.mkdirs(at)
-    fs.deleteOnExit(at)
     return fs.makeQualified(at).toString()
 
 

@@ -157,7 +157,7 @@ def _asked(files: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.n
     for name in files:
         fs, at = store.opened(name)
         with fs.open_input_file(at) as f:
-            for batch in pq.ParquetFile(f).iter_batches(batch_size=1):
+            for batch in pq.ParquetFile(f).iter_batches(batch_size=1, use_threads=False):
                 for row in batch.to_pylist():
                     ids = np.frombuffer(row["ids"], np.int64)
                     yield (
