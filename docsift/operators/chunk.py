@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -102,32 +100,20 @@ def by_paragraphs(df: DataFrame, keep: list[str], text: str, boundary: str = r"\
 
 def packed_sentences(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """Whole sentences packed up to `size` characters; a longer sentence stands alone."""
-    listed = df.select(key, sentences(F.col(text)).alias("parts"))
-    key_type = df.schema[key].dataType.simpleString()
-
-    def pack(parts) -> list[str]:
-        out: list[str] = []
-        held: list[str] = []
-        length = -1
-        for part in parts:
-            if held and length + 1 + len(part) > size:
-                out.append(" ".join(held))
-                held, length = [], -1
-            held.append(part)
-            length += 1 + len(part)
-        return out + [" ".join(held)] if held else out
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [
-                (owner, pos, chunk)
-                for owner, parts in zip(frame[key].tolist(), frame["parts"].tolist())
-                if parts is not None
-                for pos, chunk in enumerate(pack(parts))
-            ]
-            yield pd.DataFrame(rows, columns=[key, "pos", "chunk"])
-
-    return listed.mapInPandas(run, f"`{key}` {key_type}, pos int, chunk string")
+
+    def add(acc: Column, part: Column) -> Column:
+        fits = F.length(acc["held"]) + 1 + F.length(part) <= size
+        return (
+            F.when(acc["held"].isNull(), F.struct(acc["out"].alias("out"), part.alias("held")))
+            .when(fits, F.struct(acc["out"].alias("out"), F.concat(acc["held"], F.lit(" "), part).alias("held")))
+            .otherwise(F.struct(F.concat(acc["out"], F.array(acc["held"])).alias("out"), part.alias("held")))
+        )
+
+    none = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("held"))
+    packed = F.aggregate(
+        sentences(F.col(text)), none, add, lambda acc: F.concat(acc["out"], F.array_compact(F.array(acc["held"])))
+    )
+    return _explode(df, [key], packed)
 
 
 def by_headers(df: DataFrame, keep: list[str], text: str, depth: int = 6) -> DataFrame:

@@ -64,7 +64,12 @@ def chunk_paragraphs(spark, sf):
     return chunk.by_paragraphs(docs(spark, sf), ["doc_id"], "text", r"\n+")
 
 
-@query("chunk_packed_sentences")
+@query(
+    "chunk_packed_sentences",
+    numbered(f"""string_split(list_reduce({sentences('text')}, lambda a, s:
+      CASE WHEN length(list_last(string_split(a, chr(2)))) + 1 + length(s) <= 1000 THEN a || ' ' || s
+        ELSE a || chr(2) || s END), chr(2))""", f"(SELECT * FROM documents WHERE len({sentences('text')}) > 0)"),
+)
 def chunk_packed_sentences(spark, sf):
     return chunk.packed_sentences(docs(spark, sf), "doc_id", "text", 1000)
 
