@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsift.functions import vectors as vx
+from docsift.operators.topk import SCORE_DIGITS, rank_hits
 
 ROWS_PER_CELL = 256
 NO_CELL = -1
@@ -78,9 +79,13 @@ def cell_of(vector: Column, centres: np.ndarray, metric: str = "cosine") -> Colu
     return F.coalesce(F.get(nearest_cells(vector, centres, 1, metric), F.lit(0)), F.lit(NO_CELL))
 
 
+def hyperplanes(dim: int, bands: int, bits: int, seed: int = 11) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((dim, bands * bits))
+
+
 def band_keys(vector: Column, dim: int, bands: int, bits: int, seed: int = 11) -> Column:
     """`bands` keys of `bits` hyperplane signs each; the band number is part of the key."""
-    planes = np.random.default_rng(seed).standard_normal((dim, bands * bits))
+    planes = hyperplanes(dim, bands, bits, seed)
     place = (1 << np.arange(bits)).astype(np.int64)
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -93,3 +98,22 @@ def band_keys(vector: Column, dim: int, bands: int, bits: int, seed: int = 11) -
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes.ravel()))
 
     return keys(vector)
+
+
+def write_bands(vectors: DataFrame, table: str, dim: int, bands: int, bits: int, buckets: int = 8) -> None:
+    """Store one row (band, key) for each band of each vector, bucketed by band: a search
+    then meets only the rows of its own bands."""
+    rows = vectors.select("key", F.explode(band_keys(F.col("vector"), dim, bands, bits)).alias("band"))
+    rows.write.mode("overwrite").bucketBy(buckets, "band").sortBy("band").saveAsTable(table)
+
+
+def banded_search(
+    stored: DataFrame, vectors: DataFrame, queries: DataFrame, k: int, dim: int, bands: int, bits: int
+) -> DataFrame:
+    """Best k by cosine among the vectors that share a stored band with the query."""
+    asked = queries.select("query_id", F.explode(band_keys(F.col("vector"), dim, bands, bits)).alias("band"))
+    pairs = stored.join(asked, "band").select("query_id", "key").distinct()
+    met = pairs.join(vectors.select("key", "vector"), "key")
+    met = met.join(queries.select("query_id", F.col("vector").alias("asked")), "query_id")
+    scored = met.select("query_id", "key", F.round(vx.cosine(F.col("asked"), F.col("vector")), SCORE_DIGITS).alias("score"))
+    return rank_hits(scored.filter(F.col("score").isNotNull()), k)

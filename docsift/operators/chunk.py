@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc

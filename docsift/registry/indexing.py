@@ -15,7 +15,7 @@ from docsift.session import fresh_path, scratch_database
 from docsift.sources import tables
 from docsift.streaming import ingest, sync
 
-_built: dict[tuple[str, str, str], ix.Index] = {}
+_built: dict[tuple[str, str, str], object] = {}
 
 
 def _name(spark, label: str) -> str:
@@ -44,8 +44,8 @@ def build_vectors(spark, sf) -> ix.Index:
     )
 
 
-def _once(spark, sf, label, build) -> ix.Index:
-    """An index is built once per application and data folder, then searched."""
+def once(spark, sf, label, build):
+    """What `build` makes is made once per application and data folder, then searched."""
     key = (spark.sparkContext.applicationId, sf, label)
     if key not in _built:
         _built[key] = build(spark, sf)
@@ -53,11 +53,11 @@ def _once(spark, sf, label, build) -> ix.Index:
 
 
 def documents_index(spark, sf) -> ix.Index:
-    return _once(spark, sf, "documents", build_documents)
+    return once(spark, sf, "documents", build_documents)
 
 
 def vectors_index(spark, sf) -> ix.Index:
-    return _once(spark, sf, "vectors", build_vectors)
+    return once(spark, sf, "vectors", build_vectors)
 
 
 @query("pk_check", "SELECT source AS key, count(*) AS n FROM documents GROUP BY source HAVING count(*) > 1 OR source IS NULL")

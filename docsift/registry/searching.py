@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
@@ -12,8 +15,8 @@ from docsift.plans import filters as flt
 from docsift.plans import search as se
 from docsift.registry.base import PARTS, bucket, coverage, load, query, sign, toks, words
 from docsift.registry.chunking import FIXED_SQL
-from docsift.registry.indexing import documents_index, vectors_index
-from docsift.session import written
+from docsift.registry.indexing import documents_index, once, vectors_index
+from docsift.session import scratch_database, written
 
 MODEL = embed.HashedModel()
 
@@ -394,12 +397,44 @@ def _banded(df):
     return df.withColumn("bands", cells.band_keys(F.col("vector"), 64, BANDS, BITS))
 
 
-@query("ann_lsh")
+PLANES_SQL = ", ".join(
+    f"({i}, {p}, {w!r})" for (i, p), w in np.ndenumerate(cells.hyperplanes(64, BANDS, BITS).astype(object))
+)
+BANDED_SQL = """SELECT {key}, p // {bits} * {size} + CAST(sum(CASE WHEN s THEN 1 << (p % {bits}) ELSE 0 END) AS BIGINT) AS band
+    FROM (SELECT {key}, p, sum(x * w) > 0 AS s FROM {rows} JOIN planes USING (i) GROUP BY ALL) GROUP BY {key}, p // {bits}"""
+
+
+def _banded_sql(key: str, rows: str) -> str:
+    return BANDED_SQL.format(key=key, rows=rows, bits=BITS, size=1 << BITS)
+
+
+@query(
+    "ann_lsh",
+    f"""WITH {KNN_PARTS}, planes(i, p, w) AS (VALUES {PLANES_SQL}),
+    near AS (SELECT DISTINCT query_id, vec_id FROM ({_banded_sql('query_id', 'q')}) JOIN ({_banded_sql('vec_id', 'e')}) USING (band)),
+    s AS (SELECT query_id, vec_id AS key, round({METRIC_SQL['cosine'][0]}, 6) AS score
+      FROM near JOIN q USING (query_id) JOIN e USING (vec_id, i) GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key) AS rank FROM s)
+    SELECT query_id, key, score, rank FROM r WHERE rank <= 10""",
+)
 def ann_lsh(spark, sf):
-    found = topk.nearest(_banded(stored_vectors(spark, sf)), _banded(centroids(spark, sf)), 10, within="bands")
+    found = cells.banded_search(
+        spark.table(bands_table(spark, sf)), stored_vectors(spark, sf), centroids(spark, sf), 10, 64, BANDS, BITS
+    )
     return found.select("query_id", "key", "score", "rank")
 
 
+def bands_table(spark, sf):
+    """The stored bands of `embeddings`, built once per application and data folder."""
+
+    def build(spark, sf):
+        table = f"{scratch_database(spark)}.bands_{uuid.uuid4().hex[:8]}"
+        cells.write_bands(stored_vectors(spark, sf), table, 64, BANDS, BITS)
+        return table
+
+    return once(spark, sf, "bands", build)
+
+
 @query("ann_recall")
 def ann_recall(spark, sf):
     """Recall@10 against the exact lists, always with the share of vectors scanned."""
