@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on character n-grams.
 
-Features are the TF-IDF weights of the one- to three-character sequences of the lower-case
-text, hashed to `BUCKETS`, of length one. Document frequencies are counted over all training
+Features are the TF-IDF weights of the one- to three-character sequences of letters and blanks
+in the lower-case text, hashed to `BUCKETS`, of length one. Document frequencies are counted over all training
 documents. Weights are learned by follow-the-regularised-leader with L1 and L2 penalties
 (per-coordinate rates, exact zeros), and the softmax gets a temperature that minimises
 the loss on a part of the sample that the weights have not seen.
@@ -32,16 +32,32 @@ EPOCHS, RATE, SMOOTH, L1, L2 = 4, 0.5, 1.0, 0.02, 0.1
 UNKNOWN = "und"
 _PART = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
+_table: list[np.ndarray] = []
+
+
+def _letters() -> np.ndarray:
+    """Which code points are letters; computed once a process."""
+    if not _table:
+        _table.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    return _table[0]
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the text's character sequences, and how often each occurs."""
+    """Buckets of the text's character sequences, and how often each occurs. Runs of other
+    characters than letters count as one blank, and as nothing before the first letter."""
     total = np.zeros(BUCKETS, np.int64)
     text = text.lower()
-    for begin in range(0, max(1, len(text)), _PART):
-        # A part repeats the characters before it that its sequences begin with.
-        skip = min(begin, ORDERS - 1)
-        points = np.frombuffer(text[begin - skip : begin + _PART].encode("utf-32-le"), np.uint32)
+    tail, after_letter = np.zeros(0, np.uint32), False
+    for begin in range(0, len(text), _PART):
+        points = np.frombuffer(text[begin : begin + _PART].encode("utf-32-le"), np.uint32)
+        letter = _letters()[points]
+        before = np.concatenate([[after_letter], letter[:-1]])
+        after_letter = letter[-1]
+        keep = letter | before
+        points = np.where(letter, points, np.uint32(32))[keep]
+        skip = len(tail)
+        points = np.concatenate([tail, points])
+        tail = points[max(0, len(points) - ORDERS + 1) :]
         key = points * np.uint32(0x9E3779B1)
         for order in range(1, ORDERS + 1):
             if order > 1:
