@@ -437,7 +437,7 @@ def bands_table(spark, sf):
 
 @query("ann_recall")
 def ann_recall(spark, sf):
-    """Recall@10 against the exact lists, always with the share of vectors scanned."""
+    """Recall@10 against the exact lists, always with the share of vectors scored."""
     index = vectors_index(spark, sf)
     vectors = index.live("vectors").select("key", "vector", "cell")
     n = index.info["n_docs"]
@@ -460,7 +460,7 @@ def ann_recall(spark, sf):
                 F.lit(way).alias("method"),
                 F.lit(setting).alias("setting"),
                 F.round(F.avg("recall"), 4).alias("recall_at_10"),
-                F.round(F.avg(F.coalesce("n_scored", F.lit(0))) / n, 4).alias("share_scanned"),
+                F.round(F.avg(F.coalesce("n_scored", F.lit(0))) / n, 4).alias("share_scored"),
             )
         )
         report = row if report is None else report.unionByName(row)
