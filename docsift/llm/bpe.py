@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from docsift.llm import pretoken, store
 
-BLOCK = 1 << 22  # characters whose words share a list
+BLOCK = 6 << 20  # characters whose words share a list
 WORDS = 1 << 19  # distinct words a task remembers at a time
 _loaded: dict[str, object] = {}
 
@@ -66,7 +66,7 @@ def _byte_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), offset, length
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
+def _packed(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Arrays as one compressed string, byte planes apart."""
     import zstandard
 
@@ -74,7 +74,7 @@ def _packed(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         planes = a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
         out.append(len(a).to_bytes(8, "little") + planes)
-    return zstandard.compress(b"".join(out), 1)
+    return zstandard.compress(b"".join(out), level)
 
 
 def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
