@@ -61,7 +61,9 @@ def similarity(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.nd
     less = (one < two).sum(axis=1)[:, None]
     u = (n_one / (n_one + n_two))[:, None]
     v = 1 - u
-    grid = np.minimum(np.linspace(0, 1, 201)[None, :], np.minimum(u / v, v / u))
+    # Whole numbers divided once: a set of exactly `floor` of the other's size reaches `floor`.
+    most = (np.minimum(n_one, n_two) / np.maximum(n_one, n_two))[:, None]
+    grid = np.minimum(np.linspace(0, 1, 201)[None, :], most)
 
     def p(x):
         return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)

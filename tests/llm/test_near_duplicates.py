@@ -64,6 +64,28 @@ def test_dense_group_with_links_far_from_the_hub(spark, docs):
     assert sorted(map(tuple, got)) == sorted(brute(rows, 4, 80))
 
 
+def test_parts_of_exactly_the_least_size(spark, docs):
+    """Copies of the first 80 % and of a little less: links at exactly 0.8 by containment, and none."""
+    rows = []
+    for n in range(1, 41):
+        words = [f"t{n}w{i}" for i in range(5 * n + 3)]
+        rows += [(10 * n, " ".join(words)), (10 * n + 1, " ".join(words[: 4 * n + 3])), (10 * n + 2, " ".join(words[: 4 * n + 2]))]
+    got = near_duplicates.groups(spark, docs(rows), words=4).collect()
+    expected = sorted(brute(rows, 4, 80))
+    assert sorted(map(tuple, got)) == expected
+    assert all(group == doc_id - 1 for doc_id, _, group, _ in expected if doc_id % 10 == 1)
+
+
+@pytest.mark.parametrize("percent", [50, 70, 80, 90, 95])
+def test_a_part_of_any_size_is_possible(percent):
+    big = np.array([n for n in range(1, 20_001) if percent * n % 100 == 0])
+    small = percent * big // 100
+    same = np.full((len(big), 5), 7, np.uint16)
+    for one, two in ((small, big), (big, small)):
+        assert setsketch.similarity(same, same, one, two, percent / 100)[1].all()
+        assert not setsketch.similarity(same, same, one - (one < two), two - (two < one), percent / 100)[1].any()
+
+
 def test_edges(spark, docs, edge_rows):
     got = near_duplicates.groups(spark, docs(edge_rows), words=4).collect()
     by = {}
