@@ -13,6 +13,7 @@ ordered by their texts. An empty table gives an empty manifest. Columns other th
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,17 +30,25 @@ MANIFEST = "shard long, path string, index_path string, records long, tokens lon
 INDEX = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("n_tokens", "<u4")])
 FRAME = 12  # bytes before the ids; four more follow them
 GROUP = 1 << 22
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
     """Ids of texts by a vocabulary file of the `tokenizers` library: its model encodes
-    each distinct pre-token, which gives what encoding the whole text gives."""
+    each distinct pre-token, which gives what encoding the whole text gives. With `added`,
+    added tokens of the file that a text spells out get their ids, as by the library's
+    default; without, they are text like any other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer = Tokenizer.from_file(path)
+        tokens = tokenizer.get_added_tokens_decoder() if added else {}
+        self.added = {t.content: np.array([i], np.uint32) for i, t in tokens.items()}
+        # Tokens that ask for more than their own letters are left to the library.
+        self.literal = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens.values())
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})")
         self.model = tokenizer.model
         self.size = tokenizer.get_vocab_size()
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -54,6 +63,26 @@ class Encoder:
         return [[t.id for t in tokenize(w.encode().decode("latin-1").translate(self.letters))] for w in words]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        spelled = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not spelled:
+            return self._without_added(texts)
+        if not self.literal:
+            rest = list(texts)
+            for i in spelled:
+                rest[i] = ""
+            out = self._without_added(rest)
+            for i in spelled:
+                out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+            return out
+        # Text before the first added token, the token, the text up to the next, and so on.
+        parts = [self.cut.split(t) for t in texts]
+        ids = iter(self._without_added([x for p in parts for x in p[::2]]))
+        return [
+            next(ids) if len(p) == 1 else np.concatenate([self.added[x] if j % 2 else next(ids) for j, x in enumerate(p)])
+            for p in parts
+        ]
+
+    def _without_added(self, texts: list[str]) -> list[np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         for numbers, group in pretoken.chunked(texts):
             joined, starts, ends, hashes, counts = pretoken.pieces(group, self.classes, self.hasher)
@@ -66,10 +95,10 @@ class Encoder:
         return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str, added: bool = False) -> Encoder:
+    if (path, added) not in _loaded:
+        _loaded[path, added] = Encoder(path, added)
+    return _loaded[path, added]
 
 
 def frames(payloads: list[bytes]) -> list[bytes]:
@@ -103,7 +132,7 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, vocabulary: str, en
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, added=True)
         wide = encode.size > 1 << 16
         kind = np.dtype("<u4" if wide else "<u2")
         number = TaskContext.get().partitionId()

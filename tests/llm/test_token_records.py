@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from docsift.llm import pretoken, store, token_records
 from docsift.llm.crc32c import crc32c
@@ -47,6 +47,42 @@ def test_encoder_equals_whole_text_encoding(monkeypatch):
     assert [i for part in encode(cut) for i in part.tolist()] == whole(text)
 
 
+LITERAL = [
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> \n<|endoftext|>'s", "x  <|endoftext|>  y <|endoftext", "", "plain",
+]
+
+
+def by_library(path, text):
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_get_their_ids():
+    encode = token_records.encoder(PATH, added=True)
+    texts = [*LITERAL, *TRICKY, " ".join(TRICKY) * 20]
+    assert [x.tolist() for x in encode(texts)] == [by_library(PATH, t) for t in texts]
+    assert encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+
+
+@pytest.mark.parametrize("more", [{"lstrip": True}, {"single_word": True}, {"normalized": True}, {"normalized": False}])
+def test_added_tokens_of_every_sort(tmp_path, more):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_tokens([AddedToken("<|end", **more), AddedToken("<|endoftext|> b", **{"normalized": False} | more)])
+    path = str(tmp_path / "more.json")
+    tokenizer.save(path)
+    texts = [*LITERAL, "a<|end b <|end", "<|endoftext|> bc", *TRICKY]
+    assert [x.tolist() for x in token_records.encoder(path, added=True)(texts)] == [by_library(path, t) for t in texts]
+
+
+def test_records_hold_added_tokens(spark, docs):
+    manifest = token_records.write(spark, docs(list(enumerate(LITERAL))), store.folder(spark, "test"), PATH)
+    start = 0
+    for row in sorted(token_records.read(spark, manifest).collect(), key=lambda r: r["doc_id"]):
+        ids = [*by_library(PATH, LITERAL[row["doc_id"]]), 0]
+        assert (row["start"], row["n_tokens"]) == (start, len(ids))
+        assert row["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
 def test_cache_forgets_and_recovers():
     cache = pretoken.PieceCache(lambda words: [[len(w)] * 2 for w in words], slots=4, pool=8)
     classes, hasher = pretoken.tiktoken_classes(), pretoken.Hasher(0x110000)
