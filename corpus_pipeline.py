@@ -1,7 +1,7 @@
 """From raw documents to token ids: five stages, each over all that its predecessor kept.
 
 1. quality: documents that the classifier rejects go.
-2. lines: lines whose template an earlier document has go, and documents of which nothing
+2. lines: lines of any length whose template an earlier document has go, and documents of which nothing
    else is left.
 3. near_duplicates: of each group of near-duplicates (five-word shingles, 0.8) the document
    with the smallest id stays.
@@ -28,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_templates.dedup_lines(store.settle(spark), docs).where("NOT __blank")
+    left = line_templates.dedup_lines(store.settle(spark), docs, short=1).where("NOT __blank")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)

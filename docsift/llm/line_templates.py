@@ -7,7 +7,7 @@ line with one fifth of the words after the leading ones left open. Two lines sha
 have the same path and differ in variable fields or within one open fifth only. A template
 recurs if it occurs in `min_docs` documents or more. A recurring line stays in the
 document with the smallest id that holds its template, and is dropped from all others; a line of fewer
-than `SHORT` words stays, as chance alone repeats it.
+than `short` words stays (`SHORT` unless the caller says otherwise; 1 exempts no line).
 
 Templates are compared as 64-bit hashes, so a frequent line is one key whose rows are
 counted before they move. Blank lines stay and do not count. A text that loses nothing is
@@ -75,7 +75,7 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
 
 
-def line_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def line_keys(texts: list[str], short: int = SHORT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every line with words: its text, its number, its words, and its template hashes
     (columns: the line itself, then with each fifth left open; 0 where there is none)."""
     words, text, line = _words(texts)
@@ -100,43 +100,48 @@ def line_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
             left_open = (sums[np.maximum(d, c)] - sums[c]) * down[a]
             key = mix(whole - left_open + length + np.uint64((i + 1) * 0x8EBC6AF09C88C6E3 & _MASK))
             keys[:, 1 + i] = np.where((size >= GENERAL) & (d > c), key, 0)
-    keys[size < SHORT] = 0
+    keys[size < short] = 0
     return text[a], line[a], size, keys.astype(np.int64)
 
 
-def _emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Once a document, each template of it, with the line."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        text, _, _, keys = line_keys([t or "" for t in batch.column(1).to_pylist()])
-        row, column = np.nonzero(keys)
-        rows = np.column_stack([text[row], keys[row, column], keys[row, 0]])
-        rows = np.unique(rows, axis=0) if len(rows) else rows.reshape(0, 3)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[rows[:, 0]].astype(np.int64)), pa.array(rows[:, 1]), pa.array(rows[:, 2])],
-            names=["doc_id", "template", "line"],
-        )
+def _emitted(short: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Once a document, each template of it, with the line."""
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            text, _, _, keys = line_keys([t or "" for t in batch.column(1).to_pylist()], short)
+            row, column = np.nonzero(keys)
+            rows = np.column_stack([text[row], keys[row, column], keys[row, 0]])
+            rows = np.unique(rows, axis=0) if len(rows) else rows.reshape(0, 3)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[rows[:, 0]].astype(np.int64)), pa.array(rows[:, 1]), pa.array(rows[:, 2])],
+                names=["doc_id", "template", "line"],
+            )
+
+    return run
 
 
-def line_templates(docs: DataFrame) -> DataFrame:
+def line_templates(docs: DataFrame, short: int = SHORT) -> DataFrame:
     """`doc_id, template, line` of `docs(doc_id, text)`, rows without id left out."""
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    return rows.mapInArrow(_emitted, "doc_id long, template long, line long")
+    return rows.mapInArrow(_emitted(short), "doc_id long, template long, line long")
 
 
-def dropped_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 2) -> DataFrame:
+def dropped_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 2, short: int = SHORT) -> DataFrame:
     """`doc_id, lines`: per document, the hashes of the lines that it loses."""
-    rows = line_templates(docs)
+    rows = line_templates(docs, short)
     recurring = rows.groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
     recurring = recurring.where(f"n >= {int(min_docs)}").select("template", "first")
     lost = rows.join(recurring, "template").where("doc_id > first")
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text"):
+def dedup_lines(
+    spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", short: int = SHORT
+):
     """`docs`, all columns, with the text that is left, and `__n_lines`, `__n_dropped`, `__blank`:
     lines with words, those dropped, and whether nothing but blanks is left of a text that lost lines."""
-    lost = dropped_lines(spark, store.text_of(docs, id_col, text_col), min_docs)
+    lost = dropped_lines(spark, store.text_of(docs, id_col, text_col), min_docs, short)
     lost = lost.select(F.col("doc_id").alias("__of"), F.col("lines").alias("__lines"))
     joined = docs.join(lost, F.col(id_col) == F.col("__of"), "left").drop("__of")
     at = joined.columns.index(text_col)
@@ -145,7 +150,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             chosen = [set(x or ()) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            text, line, _, keys = line_keys([t or "" for t in texts])
+            text, line, _, keys = line_keys([t or "" for t in texts], short)
             n_lines = np.bincount(text, minlength=len(texts))
             n_dropped = np.zeros(len(texts), np.int64)
             gone: dict[int, set[int]] = {}

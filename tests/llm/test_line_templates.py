@@ -62,6 +62,23 @@ def test_handmade(spark, docs):
     assert got[None][2] == 0
 
 
+def test_short_lines_go_if_none_are_exempt(spark, docs, monkeypatch):
+    rows = [(1, "All rights reserved.\nalpha"), (2, "beta\nall rights reserved.\nPage 3"), (3, "Page 4\n\ngamma"), (4, "alpha")]
+    assert left(spark, docs, rows)[4] == ("alpha", 1, 0)
+    got = left(spark, docs, rows, short=1)
+    assert got == {1: (rows[0][1], 2, 0), 2: ("beta\nPage 3", 3, 1), 3: ("\ngamma", 2, 1), 4: ("", 1, 1)}
+    monkeypatch.setattr(lt, "SHORT", 1)
+    assert got == brute(rows) and left(spark, docs, ROWS, short=1) == brute(ROWS)
+
+
+def test_the_pipeline_exempts_no_line(spark, docs):
+    import corpus_pipeline
+
+    rows = [(1, "one\nAll rights reserved."), (2, "two\nAll rights reserved."), (3, "All rights reserved.")]
+    kept = corpus_pipeline.drop_recurring_lines(spark, docs(rows), "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, rows[0][1]), (2, "two")]
+
+
 def test_more_documents_asked_for(spark, docs):
     assert left(spark, docs, ROWS, min_docs=3)[2][2] == 0
 
