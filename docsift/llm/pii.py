@@ -4,8 +4,8 @@ Base spans are matches of fixed patterns, checked (parts of an address, Luhn sum
 of digits). They seed a graph: an instance is an identifier or a string of a looser shape of
 some kind, a pattern is what stands around it (the word or two words before it, the word
 after it, or both). A pattern is as sure of a kind as the mean score of its instances; an instance
-that is no seed gets the combined confidence of its patterns that `SUPPORT` seeds share. After `ROUNDS`
-of this, instances that score `ACCEPT` or more are spans of the kind they score best for,
+that is no seed gets the combined confidence of its patterns that `SUPPORT` seeds, or instances accepted
+in an earlier round, share: what is found opens new patterns. After `ROUNDS` of this, instances that score `ACCEPT` or more are spans of the kind they score best for,
 wherever they occur with such a pattern. Base spans stay.
 
 Everything is DataFrame operations. The regular expressions are the stated ones, written so
@@ -170,29 +170,39 @@ def discovered(spark: SparkSession, rows: DataFrame) -> DataFrame:
     )
     uses = places.select("instance", "kind", "seed", F.explode("patterns").alias("pattern"))
     edges = uses.groupBy("pattern", "instance", "kind").agg(F.max("seed").alias("seed"))
-    # A pattern without enough seeds never speaks; only those that also hold others are of use.
-    seeded = edges.groupBy("pattern", "kind").agg(F.sum(F.col("seed").cast("int")).alias("seeds")).where(f"seeds >= {SUPPORT}")
-    speaking = edges.join(seeded.select("pattern").distinct(), "pattern")
-    open_ = speaking.where("NOT seed").select("pattern").distinct()
-    edges = store.keep(spark, speaking.join(open_, "pattern"), "pii-edges")
+    # A pattern of too few instances can never speak; only those that also hold others than seeds are of use.
+    most = edges.groupBy("pattern", "kind").agg(F.count("*").alias("most"), F.bool_and("seed").alias("closed"))
+    able = most.groupBy("pattern").agg(F.max("most").alias("most"), F.bool_and("closed").alias("closed"))
+    able = able.where(f"most >= {SUPPORT} AND NOT closed").select("pattern")
+    edges = store.keep(spark, edges.join(able, "pattern"), "pii-edges")
     sizes = edges.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count("*").alias("n"))
-    seeded = store.keep(spark, seeded.join(sizes, "pattern"), "pii-patterns")
+    sizes = store.keep(spark, sizes, "pii-patterns")
 
-    scores = edges.where("NOT seed").select("instance", "kind").distinct().withColumn("score", F.lit(0.0))
+    others = edges.where("NOT seed")
+    scores = None
     for _ in range(ROUNDS):
-        now = edges.join(scores, ["instance", "kind"], "left").withColumn(
-            "score", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("score", F.lit(0.0)))
+        # An instance that was accepted for a kind counts like a seed of it.
+        now = edges.withColumns({"score": F.lit(0.0), "accepted": F.lit(False)}) if scores is None else edges.join(
+            scores, ["instance", "kind"], "left"
         )
-        sure = now.groupBy("pattern", "kind").agg(F.sum("score").alias("total")).join(seeded, ["pattern", "kind"])
+        sure = now.groupBy("pattern", "kind").agg(
+            F.sum(F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("score", F.lit(0.0)))).alias("total"),
+            F.count_if(F.col("seed") | F.coalesce("accepted", F.lit(False))).alias("support"),
+        )
+        sure = sure.where(f"support >= {SUPPORT}").join(sizes, "pattern")
         sure = sure.select("pattern", "kind", (F.col("total") / F.col("n")).alias("confidence"))
         sure = store.keep(spark, sure, "pii-confidence")
-        heard = edges.where("NOT seed").join(sure, ["pattern", "kind"])
+        heard = others.join(sure, ["pattern", "kind"])
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         # Patterns of one occurrence overlap: the surest counts, others add half of what is open.
         combined = F.greatest(F.max("confidence"), (1 - doubt) * 0.5 + F.max("confidence") * 0.5)
-        scores = store.keep(spark, heard.groupBy("instance", "kind").agg(combined.alias("score")), "pii-scores")
-    best = scores.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b"))
-    best = best.where(F.col("b.score") >= ACCEPT).select("instance", F.col("b.kind").alias("kind"))
+        each = heard.groupBy("instance", "kind").agg(combined.alias("score")).groupBy("instance")
+        each = each.agg(F.collect_list(F.struct("score", "kind")).alias("all"))
+        each = each.select("instance", F.array_max("all").alias("best"), F.explode("all").alias("x"))
+        accepted = (F.col("x.score") >= ACCEPT) & (F.col("x.kind") == F.col("best.kind"))
+        scores = each.select("instance", "x.kind", "x.score", accepted.alias("accepted"))
+        scores = store.keep(spark, scores, "pii-scores")
+    best = scores.where("accepted").select("instance", "kind")
     trusted = sure.where(F.col("confidence") >= ACCEPT / 2).select("pattern", "kind")
     found = places.where("NOT seed").join(best, ["instance", "kind"])
     found = found.select("doc_id", "mark", "kind", "start", "end", F.explode("patterns").alias("pattern"))

@@ -81,6 +81,21 @@ def test_contexts_reveal_identifiers_that_base_patterns_miss(spark, docs):
     assert all(by[500 + i][0]["spans"] == "" for i in range(20))
 
 
+def test_what_is_found_opens_new_patterns(spark, docs):
+    """Ten identifiers stand beside seeds, then in a context of their own with ten that meet no seed."""
+    rows = [(i, f"call me: +1 (743) 555-{1000 + i} now") for i in range(60)]
+    rows += [(100 + i, f"call me: 743-555-{2000 + i} now") for i in range(10)]
+    rows += [(200 + i, f"fax desk 743-555-{2000 + i} daily") for i in range(10)]
+    rows += [(300 + i, f"fax desk 743-555-{3000 + i} daily") for i in range(2)]
+    rows += [(400 + i, f"order no 743-555-{4000 + i} shipped") for i in range(20)]
+    by = check(spark, docs, rows)
+    for i in [*range(100, 110), *range(200, 210), 300, 301]:
+        [span] = by[i][0]["spans"].split(",")
+        kind, a, b = span.split(":")
+        assert (kind, dict(rows)[i][int(a) : int(b)][:8]) == ("phone", "743-555-")
+    assert all(by[400 + i][0]["spans"] == "" for i in range(20))
+
+
 def test_no_python_runs_in_tasks(spark, capsys):
     store.settle(spark)
     frame = QUERIES["op8_pii"](spark, "/root/testdata/sf0.001")
