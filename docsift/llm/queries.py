@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, language, line_templates, near_duplicates, page_diff, pii, quality, store, token_records, va_file
+from docsift.llm import bpe, decontaminate, language, line_templates, mixture, near_duplicates, page_diff, pii, quality, store, token_records, va_file, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -196,3 +196,81 @@ def op2_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in `documents`."""
     return pii.report(pii.find(spark, store.text_of(store.load(spark, sf_dir, "documents"))))
+
+
+_AGAIN = """
+    d{i} AS MATERIALIZED (
+      SELECT s.vec_id, s.k, s.p, s.v, min(list_sum(list_transform(list_zip(s.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + c.e) AS near
+      FROM s JOIN c{i} c USING (p) GROUP BY ALL),"""
+_MEANS = """
+    m{i} AS (
+      SELECT p, near % 64 AS e, j, CAST(floor(sum(v[j]) / count(*)) AS BIGINT) AS x
+      FROM d{i}, range(1, 5) t(j) GROUP BY ALL),
+    c{j} AS MATERIALIZED (
+      SELECT c.p, c.e, coalesce(m.v, c.v) AS v
+      FROM c{i} c LEFT JOIN (SELECT p, e, list(x ORDER BY j) AS v FROM m{i} GROUP BY ALL) m USING (p, e)),"""
+
+
+@query(
+    "op11_vector_codes",
+    f"""
+    WITH w AS (
+      SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS k, vec_id, label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS MATERIALIZED (SELECT vec_id, k, p, v[4 * p + 1:4 * p + 4] AS v FROM w, range(16) t(p)),
+    c0 AS MATERIALIZED (SELECT p, k AS e, v FROM s WHERE k < 64),
+    {_AGAIN.format(i=0)}{_MEANS.format(i=0, j=1)}
+    {_AGAIN.format(i=1)}{_MEANS.format(i=1, j=2)}
+    {_AGAIN.format(i=2)}
+    codes AS (
+      SELECT k, string_agg(printf('%02x', CAST(near % 64 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(near // 64) AS BIGINT) AS error
+      FROM d2 GROUP BY k),
+    books AS (
+      SELECT sha256(coalesce(string_agg(x, ',' ORDER BY p, e), '')) AS codebooks_sha256
+      FROM (SELECT p, e, array_to_string(v, ',') AS x FROM c2))
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM codes JOIN w USING (k), books""",
+)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of sixteen parts for every vector of `embeddings`."""
+    return vector_codes.compress(spark, store.load(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op12_mixture",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source,
+        CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+        CAST('0x' || substr(md5('20:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT)
+          / 4503599627370496.0::DOUBLE AS u
+      FROM documents),
+    s AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [3.0::DOUBLE, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+      FROM d GROUP BY source),
+    r AS (SELECT *, source_size * 2.0::DOUBLE AS cap, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS i FROM s),
+    f AS (
+      SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+        sum(weight) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS among
+      FROM r),
+    g AS (SELECT *, weight * rest / among > cap AS above FROM f),
+    k AS (SELECT coalesce(max(i) FILTER (WHERE above), 0) AS full_ FROM g),
+    l AS (SELECT rest, among FROM g, k WHERE i = full_ + 1),
+    t AS (
+      SELECT source, source_size, CASE WHEN i <= full_ THEN cap ELSE weight * (SELECT rest FROM l) / (SELECT among FROM l) END AS target
+      FROM g, k),
+    p AS (
+      SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+      CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    FROM p""",
+)
+def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of one and a half times `documents` takes."""
+    docs = store.load(spark, sf_dir, "documents")
+    plan = mixture.planned(spark, mixture.measured(docs))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

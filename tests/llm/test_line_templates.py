@@ -3,7 +3,7 @@ import re
 from docsift.llm import line_templates as lt
 
 
-def brute(rows, min_docs=2):
+def brute(rows, min_docs=2, short=lt.SHORT):
     """Texts left, by templates as strings."""
     keys, docs_of = {}, {}
     for doc_id, text in rows:
@@ -11,7 +11,7 @@ def brute(rows, min_docs=2):
             words = [w for w in re.split(r"[\x20\x09-\x0d]+", "".join(c.lower() if c.isascii() else c for c in line)) if w]
             words = ["<*>" if re.search("[0-9]", w) else w for w in words]
             n, own = len(words), []
-            if n >= lt.SHORT:
+            if n >= short:
                 own.append((n, tuple(words)))
             if n >= lt.GENERAL:
                 rest = n - lt.LEAD
