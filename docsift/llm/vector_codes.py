@@ -292,8 +292,9 @@ def with_label_error(spark: SparkSession, codes: DataFrame, limit: int = BROADCA
     The sums are broadcast if there are few labels; else both sides are dealt by label and a salt,
     so that a label on a third of the rows is spread.
     """
-    cut = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(_LONG).cast("decimal(38,0)")).cast("long")
-    sums = store.keep(spark, codes.groupBy("label").agg(F.coalesce(cut, F.lit(0)).alias("label_error")), "label-errors")
+    whole = F.sum(F.coalesce("error", F.lit(0)).cast("decimal(38,0)"))
+    cut = F.least(whole, F.lit(_LONG).cast("decimal(38,0)")).cast("long")
+    sums = store.keep(spark, codes.groupBy("label").agg(cut.alias("label_error")), "label-errors")
     sums = sums.withColumnRenamed("label", "of")
     if sums.count() <= limit:
         return codes.join(F.broadcast(sums), F.col("label").eqNullSafe(F.col("of")), "left").drop("of")
