@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsift.llm import bpe, decontaminate, language, line_templates, mixture, near_duplicates, page_diff, pii, quality, store, token_records, va_file, vector_codes
+from docsift.llm import bpe, decontaminate, language, line_templates, mixture, near_duplicates, page_diff, pii, quality, spelling, store, token_records, va_file, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -274,3 +274,46 @@ def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = store.load(spark, sf_dir, "documents")
     plan = mixture.planned(spark, mixture.measured(docs))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query(
+    "op13_spelling",
+    r"""
+    WITH RECURSIVE crc AS (
+      SELECT list_transform(range(256), lambda b: list_reduce(
+        list_prepend(b, range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))) AS tab),
+    runs AS (
+      SELECT doc_id, run, count(*) AS n
+      FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS raw FROM documents),
+        LATERAL (SELECT translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run)
+      WHERE length(raw) >= 6 GROUP BY ALL),
+    coded AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+    hashed AS (
+      SELECT run, n, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+      FROM coded, crc),
+    v AS MATERIALIZED (
+      SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+        CAST(sum(n) AS BIGINT) AS n
+      FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(n) >= 5),
+    less AS MATERIALIZED (
+      SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM v, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+    near AS MATERIALIZED (
+      SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM v a JOIN less b ON a.word = b.rest
+      UNION SELECT b.word, a.word, a.n FROM v a JOIN less b ON a.word = b.rest),
+    counts AS (SELECT word, count(*) AS n_near FROM near GROUP BY word),
+    best AS (SELECT word, other, n AS other_n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+    f AS MATERIALIZED (
+      SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * v.n THEN other END AS form,
+        CASE WHEN other_n >= 5 * v.n THEN other_n END AS form_n
+      FROM v LEFT JOIN counts USING (word) LEFT JOIN best USING (word)),
+    up(word, root) AS (
+      SELECT word, word FROM f WHERE form IS NULL
+      UNION ALL SELECT f.word, up.root FROM f JOIN up ON f.form = up.word)
+    SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM f JOIN up USING (word)""",
+)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of `documents` with their near words, forms and roots."""
+    return spelling.variants(spark, store.load(spark, sf_dir, "documents"), every=spelling.EVERY)

@@ -225,13 +225,13 @@ def _summed(books: Codebooks, length: int):
 
 
 def train(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS) -> tuple[int, Codebooks]:
-    """Length of the vectors coded, and the codebooks of `vectors(vec_id, v)`; length -1 of an empty table.
+    """Length of the vectors coded, and the codebooks of `vectors(vec_id, v)`: empty ones of an empty table.
 
     What a round sends to the driver is one row for every component of every entry.
     """
     start = first_vectors(vectors, entries)
     if not start:
-        return -1, []
+        return 0, [np.zeros((0, 0), np.int64)] * parts
     length = len(start[0])
     at = cuts(length, parts)
     m = np.array(start, np.int64).reshape(len(start), length)
