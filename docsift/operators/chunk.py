@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsift.functions import tokens as tk
-from docsift.functions.let import let
+from docsift.functions.let import let, pieces
 from docsift.operators.clean import PAGE_MARK
 from docsift.operators.embed import signed_counts
 
@@ -108,10 +108,18 @@ def packed_sentences(df: DataFrame, key: str, text: str, size: int) -> DataFrame
             .otherwise(F.struct(F.concat(acc["out"], F.array(acc["held"])).alias("out"), part.alias("held")))
         )
 
-    none = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("string").alias("held"))
+    def start(held: Column) -> Column:
+        return F.struct(F.array().cast("array<string>").alias("out"), held.alias("held"))
+
+    def add_piece(acc: Column, piece: Column) -> Column:
+        done = F.aggregate(piece, start(acc["held"]), add)
+        return let(done, lambda d: F.struct(F.concat(acc["out"], F.array(d["out"])).alias("out"), d["held"].alias("held")))
+
+    none = F.struct(F.array().cast("array<array<string>>").alias("out"), F.lit(None).cast("string").alias("held"))
     packed = F.aggregate(
-        sentences(F.col(text)), none, add, lambda acc: F.concat(acc["out"], F.array_compact(F.array(acc["held"])))
-    )
+        pieces(sentences(F.col(text))), none, add_piece,
+        lambda acc: F.concat(F.flatten(acc["out"]), F.array_compact(F.array(acc["held"]))),
+    )
     return _explode(df, [key], packed)
 
 
