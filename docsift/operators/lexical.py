@@ -7,52 +7,96 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions import tokens as tk
+from docsift.functions.let import let, pieces
 
 
 _DOCS_PER_STEP = 512
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (key, token line, carried columns) to rows of (key, term, tf, doc_len, carried)."""
-    for whole in batches:
-        for start in range(0, whole.num_rows, _DOCS_PER_STEP):
-            docs = whole.slice(start, _DOCS_PER_STEP)
-            lists = pc.split_pattern(docs.column(1), " ")
-            owner = np.repeat(np.arange(docs.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            words = pc.list_flatten(lists)
-            full = pc.not_equal(words, "")
-            owner, words = owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
-            if len(words) == 0:
-                continue
-            coded = words.dictionary_encode()
-            n_words = len(coded.dictionary)
-            pair, tf = np.unique(owner * n_words + coded.indices.to_numpy(), return_counts=True)
-            row = pair // n_words
-            doc_len = np.bincount(owner, minlength=docs.num_rows)[row]
-            carried = [docs.column(i).take(pa.array(row)) for i in (0, *range(2, docs.num_columns))]
-            columns = [carried[0], coded.dictionary.take(pa.array(pair % n_words)), pa.array(tf), pa.array(doc_len)]
-            yield pa.RecordBatch.from_arrays(columns + carried[1:], names=[str(i) for i in range(3 + len(carried))])
-
-
-def postings(docs: DataFrame, key: str, text_col: str, carry: list[str] | None = None, parts: int | None = None) -> DataFrame:
+def _places(order: np.ndarray, pair: np.ndarray, owner: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Per pair the places of its term in the document: the first, then the steps from each to the next."""
+    first_token = np.searchsorted(owner, np.arange(owner[-1] + 1))
+    place = order - first_token[owner[order]]
+    step = np.diff(place, prepend=0)
+    starts = np.r_[0, ends[:-1]]
+    step[starts] = place[starts]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(step.astype(np.int32)))
+
+
+def _count_terms(positions: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of (key, token line, carried columns) to rows of (key, term, tf, doc_len, carried, positions)."""
+        for whole in batches:
+            for start in range(0, whole.num_rows, _DOCS_PER_STEP):
+                docs = whole.slice(start, _DOCS_PER_STEP)
+                lists = pc.split_pattern(docs.column(1), " ")
+                owner = np.repeat(np.arange(docs.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+                words = pc.list_flatten(lists)
+                full = pc.not_equal(words, "")
+                owner, words = owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
+                if len(words) == 0:
+                    continue
+                coded = words.dictionary_encode()
+                n_words = len(coded.dictionary)
+                pairs = owner * n_words + coded.indices.to_numpy()
+                pair, tf = np.unique(pairs, return_counts=True)
+                row = pair // n_words
+                doc_len = np.bincount(owner, minlength=docs.num_rows)[row]
+                carried = [docs.column(i).take(pa.array(row)) for i in (0, *range(2, docs.num_columns))]
+                columns = [carried[0], coded.dictionary.take(pa.array(pair % n_words)), pa.array(tf), pa.array(doc_len)]
+                columns += carried[1:]
+                if positions:
+                    columns.append(_places(np.argsort(pairs, kind="stable"), pair, owner, np.cumsum(tf)))
+                yield pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(len(columns))])
+
+    return run
+
+
+def postings(
+    docs: DataFrame,
+    key: str,
+    text_col: str,
+    carry: list[str] | None = None,
+    parts: int | None = None,
+    positions: bool = False,
+    by: Column | None = None,
+) -> DataFrame:
     """One row per (key, distinct term): `key, term, tf, doc_len`, plus `carry` columns.
 
     Terms are counted document by document, batch by batch: nothing is grouped
     across rows, so memory does not grow with the table. With `parts` the documents
-    are first spread by key, ready for a table of that many buckets.
+    are first spread by key (or `by`, over it), ready for a table of buckets. With `positions`,
+    a last column says where the term stands: its first place, counted in tokens from 0, then the steps to the next ones.
     """
     carry = carry or []
     slim = docs.select(F.col(key).alias("key"), F.col(text_col).alias("_text"), *carry)
-    spread = slim.repartition(parts, "key") if parts else slim
+    spread = slim.repartition(parts, F.col("key") if by is None else by) if parts else slim
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
     schema = ", ".join(
-        [f"key {kinds['key']}", "term string", "tf bigint", "doc_len bigint"] + [f"`{c}` {kinds[c]}" for c in carry]
+        [f"key {kinds['key']}", "term string", "tf bigint", "doc_len bigint"]
+        + [f"`{c}` {kinds[c]}" for c in carry]
+        + (["positions array<int>"] if positions else [])
     )
-    return spread.select("key", tk.token_line(F.col("_text")).alias("_line"), *carry).mapInArrow(_count_terms, schema)
+    return spread.select("key", tk.token_line(F.col("_text")).alias("_line"), *carry).mapInArrow(_count_terms(positions), schema)
+
+
+def places(steps: Column) -> Column:
+    """Absolute places from the stored steps, ascending."""
+
+    def add(acc: Column, piece: Column) -> Column:
+        run = F.aggregate(
+            piece,
+            F.struct(F.array().cast("array<int>").alias("out"), acc["at"].alias("at")),
+            lambda a, x: F.struct(F.concat(a["out"], F.array(a["at"] + x)).alias("out"), (a["at"] + x).alias("at")),
+        )
+        return let(run, lambda r: F.struct(F.concat(acc["out"], F.array(r["out"])).alias("out"), r["at"].alias("at")))
+
+    none = F.struct(F.array().cast("array<array<int>>").alias("out"), F.lit(0).alias("at"))
+    return F.aggregate(pieces(steps), none, add, lambda acc: F.flatten(acc["out"]))
 
 
 def document_frequency(posts: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 `<name>__rows`      synced columns, split by key hash so that hits are fetched
                     from a few partitions
 `<name>__vectors`   key, vector, cell, filter columns; split by cell
-`<name>__postings`  key, term, tf, doc_len, filter columns; bucketed by key and
-                    sorted by term: scoring meets per document without a shuffle
+`<name>__postings`  key, term, tf, doc_len, filter columns, positions if asked for; bucketed by
+                    key and sorted by term: scoring meets per document without a shuffle
 `<name>__terms`     term, df as signed increments
 `<name>__centres`   cell centres
 `<name>__changed`   keys touched by each sync
+`<name>__digests`   the tree of digests over the rows, as signed increments
 `<name>__orders`    the order value that each key of a stream has reached
 
 Every table carries `_seg`. The build writes segment 0, each sync one more with
@@ -16,6 +17,10 @@ the changed rows only, under a number not used before. The property on
 segments, and what a failed sync left behind is never read. A row is live when no
 later segment has touched its key. One writer at a time; `compact` merges
 segments.
+
+A sync compares digest trees first (`operators.digests`) and then reads only the ranges
+of keys that differ: of the index, the row shards that hold them. What a changed row takes away - its
+terms, its length, its mark - follows from the old row; postings and vectors are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from pyspark.sql import types as T
 
 from docsift.operators import cells as ivf
 from docsift.operators import changes as ch
+from docsift.operators import digests as dg
 from docsift.operators import lexical
 from docsift.operators.embed import HashedModel, vector_report
 from docsift.operators.topk import LOWER_IS_BETTER
@@ -39,11 +45,11 @@ from docsift.functions import tokens as tk
 from docsift.session import counted, small_side, written
 from docsift.sources import tables
 
-PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed", "orders")
+PARTS = ("rows", "vectors", "postings", "terms", "centres", "changed", "digests", "orders")
 ROWS_PER_SHARD = 2_000_000
 DOCS_PER_BUCKET, MIN_BUCKETS = 10_000, 8
 PROPERTY = "docsift.index"
-_RESERVED = {"key", "term", "tf", "df", "doc_len", "vector", "cell"}
+_RESERVED = {"key", "term", "tf", "df", "doc_len", "positions", "vector", "cell"}
 
 
 @dataclass
@@ -110,25 +116,59 @@ def _append(index: Index, df: DataFrame, part: str, seg: int, split: str | None
     writer.saveAsTable(index.table(part))
 
 
+def _leaf(index: Index, key) -> object:
+    return dg.leaf_of(key, index.info["n_leaves"])
+
+
+def _shard_of_leaf(index: Index, leaf) -> object:
+    """Shards are ranges of leaves."""
+    return F.floor(leaf * index.info["n_shards"] / index.info["n_leaves"]).cast("int")
+
+
 def _shard(index: Index, key) -> object:
-    return F.pmod(F.xxhash64(key.cast("string")), F.lit(index.info["n_shards"])).cast("int")
+    return _shard_of_leaf(index, _leaf(index, key))
+
+
+def _in_shards(index: Index, rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """`rows` of the shards of `leaves(node)` only: the others are not read."""
+    n = index.info["n_shards"]
+    if n == 1:
+        return rows
+    shards = leaves.select(_shard_of_leaf(index, F.col("node")).alias("s")).distinct().limit(n).collect()
+    return rows if len(shards) == n else rows.filter(F.col("_shard").isin([r["s"] for r in shards]))
 
 
 def _write_rows(index: Index, source: DataFrame, seg: int) -> None:
     info = index.info
     length = F.size(tk.tokens(F.col(info["text_col"]))) if info["text_col"] else F.lit(0)
-    rows = source.select(*info["columns"]).withColumns(
-        {"_doc_len": length.cast("bigint"), "_shard": _shard(index, F.col(info["primary_key"]))}
+    rows = source.select(*info["columns"])
+    rows = rows.withColumns(
+        {
+            "_doc_len": length.cast("bigint"),
+            "_mark": dg.mark_of(rows, info["primary_key"], info["columns"]),
+            "_shard": _shard(index, F.col(info["primary_key"])),
+        }
     )
     if info["n_shards"] > 1:
         rows = rows.hint("rebalance", F.col("_shard")).sortWithinPartitions("_shard", info["primary_key"])
     _append(index, rows, "rows", seg, split="_shard")
 
 
-def _write_postings(index: Index, source: DataFrame, seg: int) -> None:
+def _write_postings(index: Index, source: DataFrame, seg: int, n_rows: int) -> None:
+    """A task writes whole buckets, and no more tasks run than the rows need."""
     info = index.info
-    posts = lexical.postings(source, info["primary_key"], info["text_col"], info["filter_columns"], info["n_buckets"])
-    _append(index, posts, "postings", seg, buckets=info["n_buckets"])
+    buckets = info["n_buckets"]
+    tasks = min(buckets, max(1, math.ceil(n_rows / DOCS_PER_BUCKET) * MIN_BUCKETS))
+    by = F.col("key") if tasks == buckets else F.pmod(F.hash("key"), F.lit(buckets))
+    posts = lexical.postings(
+        source, info["primary_key"], info["text_col"], info["filter_columns"], tasks, info["positions"], by
+    )
+    _append(index, posts, "postings", seg, buckets=buckets)
+
+
+def _write_digests(index: Index, signed: DataFrame, seg: int) -> None:
+    """Add `signed(node, n, mark)` of leaves to the tree."""
+    _append(index, dg.levels(signed).coalesce(1 if index.info["n_leaves"] < 100_000 else 8), "digests", seg, split="level")
 
 
 def _vector_rows(index: Index, source: DataFrame) -> DataFrame:
@@ -160,6 +200,7 @@ def create_index(
     metric: str = "cosine",
     pipeline_type: str = "TRIGGERED",
     source_table: str | None = None,
+    positions: bool = False,
 ) -> Index:
     """Build and commit an index over `source`.
 
@@ -167,7 +208,7 @@ def create_index(
     your own, or `text_col` alone for keyword search. `columns` are synced (all by
     default); `filter_columns` are also kept beside vectors and postings, so that
     filters on them act in the scan. With `source_table`, that table must have its
-    change feed on.
+    change feed on. With `positions`, postings say where a term stands, for phrase search.
     """
     spark = source.sparkSession
     columns = list(columns or source.columns)
@@ -212,6 +253,8 @@ def create_index(
         "n_cells": 0,
         "n_shards": max(1, math.ceil(n / ROWS_PER_SHARD)),
         "n_buckets": max(MIN_BUCKETS, math.ceil(n / DOCS_PER_BUCKET)),
+        "n_leaves": dg.leaf_count(n),
+        "positions": positions,
         "streams": {},
     }
     index = Index(spark, name, info, model)
@@ -219,9 +262,10 @@ def create_index(
     _write_rows(index, source, 0)
     # From here on the stored rows are read, so a costly source is not computed again.
     stored = spark.table(index.table("rows"))
+    _write_digests(index, dg.leaves(stored, _leaf(index, F.col(primary_key)), "_mark"), 0)
     if text_col:
         info["total_len"] = int(stored.agg(F.sum("_doc_len")).first()[0] or 0)
-        _write_postings(index, stored, 0)
+        _write_postings(index, stored, 0, n)
         _append(index, lexical.document_frequency(spark.table(index.table("postings"))), "terms", 0)
     if vector_col or model:
         vectors = written(spark, _vector_rows(index, stored), "vectors")
@@ -327,6 +371,7 @@ def apply_changes(
     ordered = ["_order"] if order else []
     if order:
         changes = _newer(index, changes, stream or "", order)
+    changes = _typed(index, changes)
     batch_rows, n_changed = counted(spark, changes.select("op", *info["columns"], *ordered), "changes")
     if n_changed == 0:
         if stream is not None:
@@ -338,18 +383,24 @@ def apply_changes(
     touched = batch_rows.select(F.col(key).alias("key"))
     few = small_side(touched, n_changed)
     puts = batch_rows.filter(F.col("op") != "delete")
-    gone = index.live("rows").join(few, F.col(key) == few["key"], "left_semi")
-    n_gone, len_gone = gone.agg(F.count("*"), F.coalesce(F.sum("_doc_len"), F.lit(0))).first()
+    # The rows that the changes replace, from their shards alone.
+    old = _in_shards(index, index.live("rows"), touched.select(_leaf(index, F.col("key")).alias("node")))
+    text = [info["text_col"]] if info["text_col"] else []
+    old = old.join(few, F.col(key) == few["key"], "left_semi").select(key, "_doc_len", "_mark", *text)
+    gone, n_gone = counted(spark, old, "replaced")
+    len_gone = gone.agg(F.coalesce(F.sum("_doc_len"), F.lit(0))).first()[0]
     _write_rows(index, puts, seg)
     new_rows = spark.table(index.table("rows")).filter(F.col("_seg") == seg)
     n_new, len_new = new_rows.agg(F.count("*"), F.coalesce(F.sum("_doc_len"), F.lit(0))).first()
+    signed = gone.select(key, "_mark", F.lit(-1).alias("d")).unionByName(new_rows.select(key, "_mark", F.lit(1).alias("d")))
+    _write_digests(index, dg.leaves(signed, _leaf(index, F.col(key)), "_mark", F.col("d")), seg)
     if info["text_col"]:
-        lost = index.live("postings").join(few, "key", "left_semi").select("term", F.lit(-1).alias("d"))
-        _write_postings(index, new_rows, seg)
-        won = (
-            spark.table(index.table("postings")).filter(F.col("_seg") == seg).select("term", F.lit(1).alias("d"))
-        )
-        moved = lost.unionByName(won).groupBy("term").agg(F.sum("d").alias("df")).filter(F.col("df") != 0)
+        _write_postings(index, new_rows, seg, n_new)
+        terms = [
+            rows.select(F.explode(tk.distinct_tokens(F.col(info["text_col"]))).alias("term"), F.lit(d).alias("d"))
+            for rows, d in ((gone, -1), (new_rows, 1))
+        ]
+        moved = terms[0].unionByName(terms[1]).groupBy("term").agg(F.sum("d").alias("df")).filter(F.col("df") != 0)
         _append(index, moved, "terms", seg)
     if info["dim"]:
         vectors = written(spark, _vector_rows(index, puts), "vectors")
@@ -371,11 +422,58 @@ def apply_changes(
     return index
 
 
-def sync(index: Index, source: DataFrame) -> Index:
-    """Bring the index to the state of `source` (triggered sync)."""
-    info = index.info
-    diff = ch.snapshot_diff(index.live("rows"), source, info["primary_key"], [c for c in info["columns"] if c != info["primary_key"]])
-    return apply_changes(index, diff)
+def _typed(index: Index, df: DataFrame) -> DataFrame:
+    """The synced columns in the types of the index, so that equal values hash alike."""
+    kinds = {f.name: f.dataType for f in index.spark.table(index.table("rows")).schema}
+    return df.withColumns({c: F.col(c).cast(kinds[c]) for c in index.info["columns"] if df.schema[c].dataType != kinds[c]})
+
+
+def _tree(index: Index) -> dg.Tree:
+    return dg.tree(index.committed("digests"))
+
+
+def changes_since(index: Index, source: DataFrame | Index) -> DataFrame | None:
+    """`op` and the synced columns: what turns the index into `source`; None if nothing does.
+
+    A table is read once for its tree, and once more where trees differ. Another index (a replica's
+    original, with the same columns and number of leaves) has its tree already: of both sides only
+    the differing shards are read.
+    """
+    info, spark = index.info, index.spark
+    key = info["primary_key"]
+    told = isinstance(source, Index) and all(source.info[k] == info[k] for k in ("n_leaves", "columns", "primary_key"))
+    rows = source.live("rows") if isinstance(source, Index) else source
+    new = _typed(index, rows.select(*info["columns"], *(["_mark", "_shard"] if told else [])))
+    if told:
+        leaves = dg.differing(_tree(index), _tree(source))
+    else:
+        new = new.withColumn("_mark", dg.mark_of(new, key, info["columns"]))
+        own = written(spark, dg.levels(dg.leaves(new, _leaf(index, F.col(key)), "_mark")), "digests")
+        leaves = dg.differing(_tree(index), dg.tree(own))
+    if leaves is None:
+        return None
+    leaves, n = counted(spark, leaves, "differing")
+    side = small_side(leaves, n)
+
+    def within(df: DataFrame) -> DataFrame:
+        placed = df.withColumn("node", _leaf(index, F.col(key)))
+        return placed.join(side, "node", "left_semi").drop("node") if n < info["n_leaves"] else placed.drop("node")
+
+    before = within(_in_shards(index, index.live("rows"), leaves).select(key, F.col("_mark").alias("_old")))
+    after = within(_in_shards(source, new, leaves) if told else new).drop("_shard").withColumn("_has", F.lit(True))
+    op = (
+        F.when(F.col("_has").isNull(), "delete")
+        .when(F.col("_old").isNull(), "insert")
+        .when(F.col("_old") != F.col("_mark"), "update")
+    )
+    both = before.join(after, key, "full_outer").withColumn("op", op)
+    return both.filter(F.col("op").isNotNull()).select("op", *info["columns"])
+
+
+def sync(index: Index, source: DataFrame | Index) -> Index:
+    """Bring the index to the state of `source` (triggered sync), a table or another index."""
+    changes = changes_since(index, source)
+    return index if changes is None else apply_changes(index, changes)
 
 
 def compact(index: Index, name: str) -> Index:
@@ -395,6 +493,7 @@ def compact(index: Index, name: str) -> Index:
         info["metric"],
         info["pipeline_type"],
         info["source_table"],
+        info["positions"],
     )
     fresh.info["streams"] = dict(info["streams"])
     if index.spark.catalog.tableExists(index.table("orders")):
