@@ -19,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsift.functions.let import let, pieces
 from docsift.llm import store
 
 KINDS = ["email", "ip", "card", "phone"]
 SUPPORT, ROUNDS, ACCEPT = 5, 3, 0.8
-LEFT, RIGHT = 80, 40  # code points in which the words around a span are looked up
 
 _LOCAL, _LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
 EMAIL = (
@@ -38,20 +38,58 @@ LOOSE_NUMBER = r"[+(]?[0-9](?:(?! (?![0-9(]))[0-9 ().-])++"
 _BYTE = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """Matches with their places: array of struct(start, end, value)."""
+_SIDE = "struct<l1:string,l2:string,r1:string>"
+
+
+def _sides(before: Column, after: Column) -> Column:
+    return F.struct(before["l1"].alias("l1"), before["l2"].alias("l2"), after["r1"].alias("r1"))
+
+
+def spans(text: Column, pattern: str, words: bool = False) -> Column:
+    """Matches with their places: array of struct(start, end, value), and if `words`, also the word `l1` before, the
+    one before that, `l2`, and the word `r1` after: those of the whole text between a match and its neighbours."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(found.alias("value"), F.split(text, pattern, -1).alias("gap"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+    gaps = F.split(text, pattern, -1)
+    if words:
+        listed = let(gaps, lambda g: F.transform(g, lambda x: F.filter(F.split(F.lower(x), r"\s+"), lambda w: w != "")))
+        ends = F.transform(
+            listed,
+            lambda w: F.struct(
+                F.try_element_at(w, F.lit(-1)).alias("l1"), F.try_element_at(w, F.lit(-2)).alias("l2"), F.try_element_at(w, F.lit(1)).alias("r1")
+            ),
+        )
+        sides = let(ends, lambda e: F.zip_with(e, F.slice(e, F.lit(2), F.size(e)), _sides))
+    else:
+        sides = F.transform(gaps, lambda x: F.lit(False))
+    pairs = F.arrays_zip(found.alias("value"), gaps.alias("gap"), sides.alias("side"))
+    # The piece after the last match has no value.
+    pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
+    none = F.array().cast(f"array<struct<start:int,end:int,value:string,side:{_SIDE if words else 'boolean'}>>")
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["gap"])
         end = begin + F.length(x["value"])
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")))
+        one = F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"), x["side"].alias("side")))
         return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
 
-    # The piece after the last match has no value.
-    return F.aggregate(F.filter(pairs, lambda x: x["value"].isNotNull()), first, step, lambda acc: acc["out"])
+    # Places within each of many short runs of matches, then the runs put behind each other.
+    runs = F.transform(pieces(pairs), lambda p: F.aggregate(p, F.struct(F.lit(0).alias("at"), none.alias("out")), step))
+
+    def begins(runs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        add = lambda acc, r: F.struct(
+            (acc["at"] + r["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+        )
+        return F.aggregate(runs, start, add, lambda acc: acc["out"])
+
+    def placed(run: Column, at: Column) -> Column:
+        def moved(x: Column) -> Column:
+            own = [(x["start"] + at).alias("start"), (x["end"] + at).alias("end"), x["value"].alias("value")]
+            return F.struct(*own, *(x["side"][c].alias(c) for c in ("l1", "l2", "r1") if words))
+
+        return F.transform(run["out"], moved)
+
+    return let(runs, lambda r: F.flatten(F.zip_with(r, begins(r), placed)))
 
 
 def _digits(value: Column) -> Column:
@@ -76,7 +114,7 @@ def _sized(value: Column, low: int, high: int) -> Column:
 
 def base_spans(text: Column) -> dict[str, Column]:
     """The checked base spans of every kind."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,l1:string,l2:string,r1:string>>")
     checks = {
         "email": (EMAIL, None),
         "ip": (IP, lambda x: x["value"].rlike(rf"^(?:{_BYTE}\.){{3}}{_BYTE}$")),
@@ -86,7 +124,7 @@ def base_spans(text: Column) -> dict[str, Column]:
     needs = {"email": "@", "ip": ".", "phone": "+"}
     out = {}
     for kind, (pattern, check) in checks.items():
-        found = spans(text, pattern)
+        found = spans(text, pattern, words=True)
         found = found if check is None else F.filter(found, check)
         has = F.contains(text, F.lit(needs[kind])) if kind in needs else F.lit(True)
         out[kind] = F.when(F.col("some") & has, found).otherwise(none)
@@ -114,28 +152,26 @@ def located(docs: DataFrame) -> DataFrame:
         return F.array_compact(F.array(*known))
 
     def with_context(x: Column, kinds: Column, seed: bool) -> Column:
-        size = F.least(x["start"], F.lit(LEFT))
-        before = F.split(F.trim(F.lower(F.substring(F.col("text"), x["start"] - size + 1, size))), r"\s+")
-        after = F.split(F.trim(F.lower(F.substring(F.col("text"), x["end"] + 1, F.lit(RIGHT)))), r"\s+")
-        return F.struct(
-            x["start"].alias("start"),
-            x["end"].alias("end"),
-            x["value"].alias("value"),
-            kinds.alias("kinds"),
-            F.lit(seed).alias("seed"),
-            F.element_at(before, -1).alias("l1"),
-            F.try_element_at(before, F.lit(-2)).alias("l2"),
-            F.element_at(after, 1).alias("r1"),
-        )
+        named = [x[c].alias(c) for c in ("start", "end", "value")]
+        return F.struct(*named, kinds.alias("kinds"), F.lit(seed).alias("seed"), *(x[c].alias(c) for c in ("l1", "l2", "r1")))
+
+    def run_of(p: Column) -> Column:
+        ends = F.array_max(F.transform(p, lambda b: b["end"]))
+        return F.struct(p[0]["start"].alias("first"), ends.alias("last"), p.alias("spans"))
+
+    # Base spans in runs by their place: an overlap is looked for among the runs, then within one.
+    every = F.array_sort(F.concat(*(F.transform(k, lambda x: F.struct(x["start"], x["end"])) for k in KINDS)))
+    loose = F.concat(spans(F.col("text"), LOOSE_EMAIL, words=True), spans(F.col("text"), LOOSE_NUMBER, words=True))
+    rows = rows.withColumn("base", F.when(F.size(every) > 0, F.transform(pieces(every), run_of)))
+
+    def overlaps(x: Column, b: Column) -> Column:
+        return (b["start"] < x["end"]) & (x["start"] < b["end"])
 
-    every = F.concat(*(F.col(k) for k in KINDS))
-    loose = F.concat(spans(F.col("text"), LOOSE_EMAIL), spans(F.col("text"), LOOSE_NUMBER))
-    rows = rows.withColumn("base", every)
-    free = F.filter(
-        loose,
-        lambda x: (F.size(kinds_of(x)) > 0)
-        & ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+    taken = lambda x: F.exists(
+        "base",
+        lambda r: (r["first"] < x["end"]) & (x["start"] < r["last"]) & F.exists(r["spans"], lambda b: overlaps(x, b)),
     )
+    free = F.filter(loose, lambda x: (F.size(kinds_of(x)) > 0) & (F.col("base").isNull() | ~taken(x)))
     # One argument each: a lambda of two would get the position as the second.
     def seeds_of(kind: str) -> Column:
         return F.transform(kind, lambda x: with_context(x, F.array(F.lit(kind)), True))
@@ -144,7 +180,8 @@ def located(docs: DataFrame) -> DataFrame:
     others = F.transform(free, lambda x: with_context(x, kinds_of(x), False))
     none = F.filter(seeds, lambda x: F.lit(False))
     rows = rows.withColumn("around", F.when(F.col("some"), F.concat(seeds, others)).otherwise(none))
-    return rows.select("doc_id", "mark", *KINDS, "around")
+    plain = {k: F.transform(k, lambda x: F.struct(x["start"], x["end"], x["value"])) for k in KINDS}
+    return rows.withColumns(plain).select("doc_id", "mark", *KINDS, "around")
 
 
 def _patterns(x: str) -> Column:

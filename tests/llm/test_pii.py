@@ -103,3 +103,24 @@ def test_no_python_runs_in_tasks(spark, capsys):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan += pii.located(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_many_matches_in_one_text(spark, docs):
+    """Work grows with the matches, not with their square."""
+    import time
+
+    text = "12 34.5 a@b.co +1 (23) " * 40_000
+    start = time.time()
+    got = pii.report(pii.find(spark, docs([(1, text)]))).collect()
+    assert got[0]["n_email"] == 40_000 and time.time() - start < 120
+    small = text[: 23 * 300]
+    check(spark, docs, [(1, small), (2, small)])
+
+
+def test_words_around_are_whole(spark, docs):
+    """However long the word beside a span, and however far the one before it."""
+    word, space = "w" * 500, " " * 300
+    text = f"{space}first {word}{space}7@7.co {word.upper()} x 1.2.3.4\tend"
+    around = pii.located(docs([(1, text)]).select("doc_id", "text")).selectExpr("explode(around) AS x").select("x.*").collect()
+    found = {r["value"]: (r["l2"], r["l1"], r["r1"]) for r in around if r["seed"]}
+    assert found == {"7@7.co": ("first", word, word), "1.2.3.4": (word, "x", "end")}
