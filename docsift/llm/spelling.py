@@ -38,7 +38,8 @@ MIN_LENGTH, MIN_COUNT, RATIO, EVERY = 6, 5, 5, 199
 LETTERS = 26 + 64  # a-z, and U+00C0 to U+00FF
 SAMPLE, BLOCK, SEARCHES = 65_536, 8192, 131_072
 LEAF = 24  # words in a leaf of the lower levels
-PAIRS = 1 << 18  # compared at a time
+PAIRS = 1 << 20  # letters compared at a time
+TOGETHER = 1 << 18  # letters of the searches that go through a tree at a time
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -77,24 +78,51 @@ def letter_counts(m: np.ndarray) -> np.ndarray:
     """How often each letter occurs in every row."""
     at = np.where(m < 0xC0, m.astype(np.int64) - ord("a"), m.astype(np.int64) - 0xC0 + 26)
     flat = at + np.arange(len(m))[:, None] * LETTERS
-    return np.bincount(flat.ravel(), minlength=len(m) * LETTERS).reshape(len(m), LETTERS).astype(np.int32)
+    return np.bincount(flat.ravel(), minlength=len(m) * LETTERS).reshape(len(m), LETTERS).astype(np.int16 if m.shape[1] < 1 << 14 else np.int64)
 
 
 def divided(points: np.ndarray) -> tuple[int, int] | None:
     """A dimension and the largest count of its lower half: where the points fall apart most evenly."""
+    middle = np.partition(points, len(points) // 2, axis=0)[len(points) // 2]
     best = None
-    for d in np.flatnonzero(points.max(axis=0) > points.min(axis=0)).tolist():
-        column = points[:, d]
-        at = int(np.median(column))
-        for cut in (at - 1, at):
-            left = int((column <= cut).sum())
-            if 0 < left < len(column) and (best is None or abs(2 * left - len(column)) < best[0]):
-                best = (abs(2 * left - len(column)), d, cut)
+    for cut in (middle - 1, middle):
+        left = np.count_nonzero(points <= cut, axis=0)
+        uneven = np.where((left > 0) & (left < len(points)), abs(2 * left - len(points)), len(points))
+        d = int(uneven.argmin())
+        if uneven[d] < len(points) and (best is None or uneven[d] < best[0]):
+            best = int(uneven[d]), d, int(cut[d])
     return best and (best[1], best[2])
 
 
+def walk(node, points: np.ndarray, less: int, more: int) -> Iterator[tuple[object, np.ndarray]]:
+    """Leaves of a tree of `(dimension, cut, left, right)`, with the rows of `points` that reach their box
+    with `less` letters taken away and `more` added at most."""
+    zero = np.zeros(len(points), points.dtype)
+    stack = [(node, np.arange(len(points)), zero, zero, {}, {})]
+    while stack:
+        node, rows, taken, added, low, high = stack.pop()
+        if not len(rows):
+            continue
+        if not isinstance(node, tuple):
+            yield node, rows
+            continue
+        d, cut, left, right = node
+        x = points[rows, d]
+        # To the lower side the letters beyond the cut are taken away, to the upper one the missing are added; what an
+        # ancestor asked of the same letter is replaced.
+        t = taken + np.maximum(x - cut, 0)
+        a = added + np.maximum(cut + 1 - x, 0)
+        if d in high:
+            t -= np.maximum(x - high[d], 0)
+        if d in low:
+            a -= np.maximum(low[d] - x, 0)
+        lower, upper = t <= less, a <= more
+        stack.append((left, rows[lower], t[lower], added[lower], low, high | {d: cut}))
+        stack.append((right, rows[upper], taken[upper], a[upper], low | {d: cut + 1}, high))
+
+
 class TopTree:
-    """Upper levels for the words of one length: inner nodes `(dimension, cut, left, right)`, leaves are numbers."""
+    """Upper levels for the words of one length; leaves are numbers."""
 
     def __init__(self, points: np.ndarray, leaves: int):
         self.n = 0
@@ -113,110 +141,67 @@ class TopTree:
     def place(self, points: np.ndarray) -> np.ndarray:
         """The leaf of every point."""
         leaf = np.zeros(len(points), np.int64)
-
-        def go(node, rows):
-            if not isinstance(node, tuple):
-                leaf[rows] = node
-            elif len(rows):
-                d, cut, left, right = node
-                lower = points[rows, d] <= cut
-                go(left, rows[lower])
-                go(right, rows[~lower])
-
-        go(self.root, np.arange(len(points)))
+        for at, rows in walk(self.root, points, 0, 0):
+            leaf[rows] = at
         return leaf
 
     def meet(self, points: np.ndarray, less: int, more: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and leaves whose box a point reaches with `less` letters taken away and `more` added at most."""
-        rows_out, leaves = [], []
-
-        def go(node, rows, taken, added, low, high):
-            if not isinstance(node, tuple):
-                rows_out.append(rows)
-                leaves.append(np.full(len(rows), node, np.int64))
-                return
-            if not len(rows):
-                return
-            d, cut, left, right = node
-            x = points[rows, d]
-            # To the lower side letters d beyond the cut are taken away, to the upper one the missing are added;
-            # what an ancestor already asked for the same letter is replaced, not added.
-            for child, lo, hi in ((left, low.get(d), cut), (right, cut + 1, high.get(d))):
-                before_t = np.maximum(x - high[d], 0) if d in high else 0
-                before_a = np.maximum(low[d] - x, 0) if d in low else 0
-                t = taken - before_t + (np.maximum(x - hi, 0) if hi is not None else 0)
-                a = added - before_a + (np.maximum(lo - x, 0) if lo is not None else 0)
-                ok = (t <= less) & (a <= more)
-                some_low, some_high = dict(low), dict(high)
-                if lo is not None:
-                    some_low[d] = lo
-                if hi is not None:
-                    some_high[d] = hi
-                go(child, rows[ok], t[ok], a[ok], some_low, some_high)
-
-        zero = np.zeros(len(points), np.int64)
-        go(self.root, np.arange(len(points)), zero, zero, {}, {})
-        return np.concatenate(rows_out), np.concatenate(leaves)
+        """Rows and leaves whose box a point reaches."""
+        found = [(rows, np.full(len(rows), leaf, np.int64)) for leaf, rows in walk(self.root, points, less, more)]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
+class Leaf:
+    """Words of a leaf of the lower levels, and the box of their letter counts."""
+
+    def __init__(self, rows: np.ndarray, points: np.ndarray):
+        self.rows, self.low, self.high = rows, points.min(axis=0), points.max(axis=0)
 
 
 class LowerTree:
-    """A k-d tree over one slice of a leaf, with the box of every node."""
+    """A k-d tree over one slice of a leaf of the upper levels."""
 
     def __init__(self, spelling: np.ndarray):
         self.spelling = spelling
-        self.points = letter_counts(spelling)
         self.compared = 0
-        self.root = self._node(np.arange(len(spelling)))
+        self.root = self._node(letter_counts(spelling), np.arange(len(spelling)))
 
-    def _node(self, rows: np.ndarray):
-        points = self.points[rows]
-        box = points.min(axis=0), points.max(axis=0)
+    def _node(self, points: np.ndarray, rows: np.ndarray):
         split = divided(points) if len(rows) > LEAF else None
         if split is None:
-            return box, rows, None
-        lower = points[:, split[0]] <= split[1]
-        return box, self._node(rows[lower]), self._node(rows[~lower])
+            return Leaf(rows, points)
+        d, cut = split
+        lower = points[:, d] <= cut
+        return d, cut, self._node(points[lower], rows[lower]), self._node(points[~lower], rows[~lower])
 
     def near(self, spelling: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (row of `spelling`, row of the tree) of near words: of equal length, or longer by one in the tree."""
         asked = letter_counts(spelling)
-        less = 1 if spelling.shape[1] == self.spelling.shape[1] else 0
-
-        def go(node, rows):
-            (low, high), first, second = node
+        length = self.spelling.shape[1]
+        less = 1 if spelling.shape[1] == length else 0
+        for leaf, rows in walk(self.root, asked, less, 1):
             x = asked[rows]
-            ok = (np.maximum(x - high, 0).sum(axis=1) <= less) & (np.maximum(low - x, 0).sum(axis=1) <= 1)
-            rows = rows[ok]
-            if not len(rows):
-                return
-            if second is not None:
-                yield from go(first, rows)
-                yield from go(second, rows)
-                return
-            step = max(1, PAIRS // (len(first) * max(LETTERS, self.spelling.shape[1])))
+            ok = np.maximum(x - leaf.high, 0).sum(axis=1) <= less
+            rows, x = rows[ok], x[ok]
+            rows = rows[np.maximum(leaf.low - x, 0).sum(axis=1) <= 1]
+            step = max(1, PAIRS // (len(leaf.rows) * max(1, length)))
             for a in range(0, len(rows), step):
                 some = rows[a : a + step]
-                gap = asked[some][:, None, :] - self.points[first][None]
-                i, j = np.nonzero((np.maximum(gap, 0).sum(axis=2) == less) & (np.maximum(-gap, 0).sum(axis=2) == 1))
-                self.compared += len(i)
-                i, j = some[i], first[j]
-                good = one_edit(spelling[i], self.spelling[j])
-                if good.any():
-                    yield i[good], j[good]
-
-        yield from go(self.root, np.arange(len(spelling)))
+                self.compared += len(some) * len(leaf.rows)
+                i, j = np.nonzero(one_edit(spelling[some][:, None, :], self.spelling[leaf.rows][None]))
+                if len(i):
+                    yield some[i], leaf.rows[j]
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether rows differ in one letter, or by one that `b` has more."""
-    n = a.shape[1]
-    if b.shape[1] == n:
-        return (a != b).sum(axis=1) == 1
-    same, after = a == b[:, :n], a == b[:, 1:]
-    prefix = np.where(same.all(axis=1), n, same.argmin(axis=1)) if n else np.zeros(len(a), np.int64)
-    back = after[:, ::-1]
-    suffix = np.where(back.all(axis=1), n, back.argmin(axis=1)) if n else np.zeros(len(a), np.int64)
-    return prefix + suffix >= n
+    """Whether words (along the last axis) differ in one letter, or by one that `b` has more."""
+    n = a.shape[-1]
+    if b.shape[-1] == n:
+        return np.count_nonzero(a != b, axis=-1) == 1
+    # As many letters as agree from the front, and the others from the back, make the shorter word.
+    front = np.logical_and.accumulate(a == b[..., :n], axis=-1).sum(axis=-1)
+    back = np.logical_and.accumulate((a == b[..., 1:])[..., ::-1], axis=-1).sum(axis=-1)
+    return front + back >= n
 
 
 def top_trees(vocabulary: DataFrame) -> dict[int, TopTree]:
@@ -294,6 +279,14 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["word", "n_near", "best_n", "best"],
         )
 
+    waiting, of_waiting = [], []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if waiting:
+            yield from answer(waiting, np.concatenate(of_waiting))
+            waiting.clear()
+            of_waiting.clear()
+
     for batch in batches:
         columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
         values, n = batch.column(5).to_pylist(), batch.column(6).to_numpy()
@@ -304,6 +297,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             block, search = tuple(marks[a, :4].tolist()), bool(marks[a, 4])
             if block != key:
+                yield from flush()
                 key, held, counts, tree = block, [], np.zeros(0, np.int64), None
             if not search:
                 held += values[a:b]
@@ -311,7 +305,11 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif held:
                 if tree is None:
                     tree = LowerTree(spelled(held, key[0]))
-                yield from answer(values[a:b], n[a:b])
+                waiting += values[a:b]
+                of_waiting.append(n[a:b])
+                if len(waiting) * max(1, key[0]) >= TOGETHER:
+                    yield from flush()
+    yield from flush()
 
 
 def near_words(spark: SparkSession, vocabulary: DataFrame) -> DataFrame:
