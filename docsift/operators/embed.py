@@ -77,6 +77,31 @@ class HashedModel:
         return hashed(tk.token_line(text))
 
 
+@dataclass(frozen=True)
+class HashedTokenModel:
+    """A vector for every token, from its letters: the signed hashed bag of its letter triples, with a blank
+    at either end. Spellings that share triples are alike; needs no model file."""
+
+    dim: int = 64
+
+    def vectors(self, tokens: list[str]) -> np.ndarray:
+        """Unit rows; zero where the triples cancel out."""
+        triples, owner = [], []
+        for i, token in enumerate(tokens):
+            padded = f" {token} "
+            triples += [padded[j : j + 3] for j in range(len(padded) - 2)]
+            owner += [i] * (len(padded) - 2)
+        if not triples:
+            return np.zeros((len(tokens), self.dim))
+        distinct = pa.array(triples).dictionary_encode()
+        bucket, sign = _buckets_and_signs([t.encode() for t in distinct.dictionary.to_pylist()], self.dim)
+        codes = distinct.indices.to_numpy()
+        cells = np.array(owner) * self.dim + bucket[codes]
+        counts = np.bincount(cells, weights=sign[codes], minlength=len(tokens) * self.dim).reshape(-1, self.dim)
+        lengths = np.linalg.norm(counts, axis=1, keepdims=True)
+        return counts / np.where(lengths > 0, lengths, 1.0)
+
+
 @dataclass(frozen=True)
 class FunctionModel:
     """A user model. `load()` runs once per task and returns `texts -> matrix`."""

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from docsift.functions import tokens as tk
 from docsift.functions.let import let, pieces
+from docsift.session import counted, small_side
 
 
 _DOCS_PER_STEP = 512
+WORDS_PER_PHRASE = 64  # rows of wanted terms are measured as so many a candidate
 
 
 def _places(order: np.ndarray, pair: np.ndarray, owner: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -151,6 +153,31 @@ def all_terms(posts: DataFrame, frequencies: DataFrame, queries: DataFrame, quer
     return whole.select("query_id", "key", F.size("wanted").alias("n_terms"))
 
 
+def phrases(posts: DataFrame, frequencies: DataFrame, queries: DataFrame, query_text: str, small: bool) -> DataFrame:
+    """`query_id, key, n_places, first_place`: documents that hold the tokens of a query one after the other,
+    how often (overlapping), and where first, counted in tokens from 0.
+
+    From `posts` with positions, without the texts. Only documents that hold all terms are looked at; their
+    position lists, shifted by the place of the term in the query, are intersected from the shortest on. A query
+    without tokens has no match.
+    """
+    found = all_terms(posts, frequencies, queries, query_text, small).select("query_id", "key")
+    met, n = counted(posts.sparkSession, found, "phrase-candidates")
+    asked = queries.select("query_id", F.posexplode(tk.tokens(F.col(query_text))).alias("at", "term"))
+    wanted = met.join(F.broadcast(asked) if small else asked, "query_id")
+    lists = posts.select("key", "term", "tf", "positions").join(small_side(wanted, n * WORDS_PER_PHRASE), ["key", "term"])
+    each = lists.groupBy("query_id", "key").agg(F.array_sort(F.collect_list(F.struct("tf", "at", "positions"))).alias("lists"))
+
+    def starts(x: Column) -> Column:
+        return F.transform(places(x["positions"]), lambda p: p - x["at"])
+
+    shared = let(
+        F.col("lists"), lambda a: F.aggregate(F.slice(a, F.lit(2), F.size(a)), starts(a[0]), lambda acc, x: F.array_intersect(acc, starts(x)))
+    )
+    hits = each.select("query_id", "key", shared.alias("starts")).filter(F.size("starts") > 0)
+    return hits.select("query_id", "key", F.size("starts").alias("n_places"), F.array_min("starts").alias("first_place"))
+
+
 def phrase(text, wanted):
     """Exact phrase on token boundaries, blind to case and punctuation."""
     flat = F.concat(F.lit(" "), tk.token_line(text), F.lit(" "))

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.functions import tokens as tk
+from docsift.operators.embed import HashedTokenModel
 from docsift.operators.topk import SCORE_DIGITS, rank_hits
 from docsift.session import counted, small_side
 
@@ -80,6 +82,62 @@ class FunctionReranker:
         return candidates.withColumn("score", F.round(judge(F.col("query_text"), text), SCORE_DIGITS))
 
 
+@dataclass(frozen=True)
+class LateInteractionReranker:
+    """Sum over the query's tokens of the best match among the passage's (Khattab & Zaharia 2020).
+
+    `model.vectors(tokens)` gives unit rows; a caller's model takes the place of the built-in one. A task embeds each
+    distinct token of some candidates once, and works them off in groups whose token matrices stay below `group_bytes`;
+    a passage beyond that is taken in parts, of which the best match counts. No tokens on either side: 0.
+    """
+
+    columns_to_rerank: tuple[str, ...]
+    model: HashedTokenModel = HashedTokenModel()
+    group_bytes: int = 1 << 24
+
+    def score(self, candidates: DataFrame) -> DataFrame:
+        model = self.model
+        most = max(1, self.group_bytes // (8 * model.dim))  # tokens of a group
+
+        def tokens_of(lines: pa.Array) -> list[list[str]]:
+            return [[t for t in (x or "").split(" ") if t] for x in lines.to_pylist()]
+
+        def best(asked: np.ndarray, held: list[str]) -> float:
+            top = np.full(len(asked), -np.inf)
+            for a in range(0, len(held), most):
+                top = np.maximum(top, (asked @ model.vectors(held[a : a + most]).T).max(axis=1))
+            return float(top.sum())
+
+        @F.arrow_udf("double")
+        def interact(queries: pa.Array, passages: pa.Array) -> pa.Array:
+            asked, held = tokens_of(queries), tokens_of(passages)
+            out, at = np.zeros(len(asked)), 0
+            while at < len(asked):
+                end, known = at, {}
+                while end < len(asked):
+                    new = {t for t in (*asked[end], *held[end]) if t not in known}
+                    if end > at and len(known) + len(new) > most:
+                        break
+                    known |= dict.fromkeys(new)
+                    end += 1
+                if len(known) > most:  # one passage alone
+                    out[at] = best(model.vectors(asked[at]), list(dict.fromkeys(held[at]))) if asked[at] and held[at] else 0.0
+                else:
+                    number = {t: i for i, t in enumerate(known)}
+                    table = model.vectors(list(known))
+                    for i in range(at, end):
+                        if asked[i] and held[i]:
+                            q = table[[number[t] for t in asked[i]]]
+                            d = table[[number[t] for t in dict.fromkeys(held[i])]]
+                            out[i] = (q @ d.T).max(axis=1).sum()
+                at = end
+            return pa.array(out)
+
+        text = F.concat_ws(" ", *[F.col(c) for c in self.columns_to_rerank])
+        score = interact(tk.token_line(F.col("query_text")), tk.token_line(text))
+        return candidates.withColumn("score", F.round(score, SCORE_DIGITS))
+
+
 def rank_shift(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rank of each hit in both lists; null where a list lacks it."""
     left = before.select("query_id", "key", F.col("rank").alias("rank_before"))

@@ -4,8 +4,12 @@ A batch of queries is small and of checked size, so it travels to the tasks.
 Each task scores its Arrow batches against the whole batch with matrix
 arithmetic, keeps the k best per query while it reads, and emits only those.
 The shuffle therefore carries at most `queries x k` rows per task, whatever the
-size or skew of the scanned table. Query sets above the batch size are worked
-off in blocks; every block sees the full table, so the answer stays exact.
+size or skew of the scanned table.
+
+Query sets beyond that size are spread instead: queries and vectors are dealt to the
+cells that the queries visit (one cell, if there are none), heavy cells into slices and
+their queries into chunks by measured counts, and a task streams the queries of a block past its slice.
+Every query meets every vector it would meet in a scan, so the answer is the same.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.session import fresh_path
+from docsift.session import counted, fresh_path, small_side
 
 BATCH_QUERIES = 4096
 SCORE_DIGITS = 6
 LOWER_IS_BETTER = {"cosine": False, "l2": True, "l1": True}
 _SLACK = 2 * 10.0**-SCORE_DIGITS
 _DENSE_CELLS = 4_000_000
+SLICE_VALUES = 1 << 20  # numbers in a slice of vectors
+CHUNK_QUERIES = 8192
 
 
 class _KBest:
@@ -209,6 +215,8 @@ def nearest(
     lower = LOWER_IS_BETTER[metric]
     vectors = vectors.filter(F.col("vector").isNotNull())
     queries = queries.filter(F.col("vector").isNotNull())
+    if within != "bands" and not count_only and queries.limit(batch_queries + 1).count() > batch_queries:
+        return spread(vectors, queries, k, metric, within)
     query_side = {None: [], "cells": ["probes"], "bands": ["bands"]}[within]
     vector_side = {None: [], "cells": ["cell"], "bands": ["bands"]}[within]
 
@@ -280,6 +288,80 @@ def nearest(
     return in_batches(queries.select("query_id", "vector", *query_side), run, batch_queries)
 
 
+def _spread_scan(k: int, metric: str):
+    lower = LOWER_IS_BETTER[metric]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows `cell, slice, chunk, search, key, query_id, vector`, sorted: for every block its vectors, then its queries."""
+        block, keys, parts, matrix = None, [], [], None
+        for batch in batches:
+            marks = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
+            ends = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                piece, mark = batch.slice(a, b - a), marks[a].tolist()
+                if mark[:3] != block:
+                    block, keys, parts, matrix = mark[:3], [], [], None
+                if not mark[3]:
+                    keys.append(_sortable(piece.column(4)))
+                    parts.append(piece.column(6))
+                    continue
+                if not parts:
+                    continue
+                if matrix is None:
+                    first = pc.list_value_length(parts[0])[0].as_py()
+                    matrix, held = np.concatenate([_matrix(p, first) for p in parts]), np.concatenate(keys)
+                step = max(1, _DENSE_CELLS // len(matrix))
+                for at in range(0, piece.num_rows, step):
+                    some = piece.slice(at, step)
+                    targets = _matrix(some.column(6), matrix.shape[1])
+                    best = _KBest(len(targets), k, lower)
+                    best.offer(np.arange(len(targets)), _scores(metric, targets, matrix), held)
+                    for rows in best.rows(piece.column(4).type):
+                        ids = some.column(5).take(rows.column(0))
+                        yield pa.RecordBatch.from_arrays([ids, rows.column(1), rows.column(2)], names=["query_id", "key", "score"])
+
+    return scan
+
+
+def spread(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine", within: str | None = None) -> DataFrame:
+    """What `nearest` returns, for query sets that are too large to be sent to every task: one job, whatever their number.
+
+    The counts of the cells say into how many slices and chunks a block is dealt; only the k best of every query
+    and slice go on.
+    """
+    spark = vectors.sparkSession
+    key_type, id_type = vectors.schema["key"].dataType, queries.schema["query_id"].dataType
+    n, n_ids = queries.agg(F.count("*"), F.count_distinct("query_id")).first()
+    if n != n_ids:
+        raise ValueError("query_id must tell queries apart: it is null or repeated")
+    cell = F.col("cell") if within == "cells" else F.lit(0)
+    probes = F.explode("probes") if within == "cells" else F.lit(0)
+    points = vectors.select(cell.cast("int").alias("cell"), "key", "vector")
+    asked = queries.select(probes.alias("cell"), "query_id", "vector").withColumn("cell", F.col("cell").cast("int"))
+    sizes = points.groupBy("cell").agg(F.greatest(F.ceil(F.sum(F.size("vector")) / SLICE_VALUES), F.lit(1)).alias("slices"))
+    asks = asked.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK_QUERIES).alias("chunks"))
+    # One row a cell.
+    grid, n_cells = counted(spark, sizes.join(asks, "cell"), "spread")
+
+    def dealt(rows: DataFrame, by: str, own: str, other: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1))
+        placed = rows.join(small_side(grid, n_cells), "cell").withColumn(own, F.pmod(F.xxhash64(by), F.col(f"{own}s")))
+        return placed.withColumn(other, every)
+
+    points = dealt(points, "key", "slice", "chunk").withColumns({"search": F.lit(False), "query_id": F.lit(None).cast(id_type)})
+    asked = dealt(asked, "query_id", "chunk", "slice").withColumns({"search": F.lit(True), "key": F.lit(None).cast(key_type)})
+    columns = ["cell", "slice", "chunk", "search", "key", "query_id", "vector"]
+    kind = vectors.schema["vector"].dataType
+    both = points.select(*columns).unionByName(asked.withColumn("vector", F.col("vector").cast(kind)).select(*columns))
+    dealt_out = both.repartition(*columns[:3]).sortWithinPartitions(*columns[:4])
+    schema = T.StructType(
+        [T.StructField("query_id", id_type), T.StructField("key", key_type), T.StructField("score", T.DoubleType())]
+    )
+    return rank_hits(dealt_out.mapInArrow(_spread_scan(k, metric), schema), k, LOWER_IS_BETTER[metric])
+
+
 K1, B = 1.2, 0.75
 
 

@@ -272,7 +272,7 @@ def create_index(
         first = vectors.select(F.size("vector")).first()
         info["dim"] = int(first[0]) if first else getattr(model, "dim", 0)
         _require_vectors(vectors, info["dim"])
-        wanted = ivf.cell_count(n) if n_cells is None else n_cells
+        wanted = min(n, ivf.cell_count(n) if n_cells is None else n_cells)
         if wanted > 1:
             index.centres = ivf.train_cells(vectors, "vector", wanted, metric)
             info["n_cells"] = len(index.centres)

@@ -227,6 +227,22 @@ def match_all_terms(
     return lexical.all_terms(_allowed(index, "postings", spec), index.frequencies(), queries, "query_text", small)
 
 
+def match_phrase(
+    index: Index,
+    queries: DataFrame,
+    filters: Mapping[str, object] | None = None,
+    grants: DataFrame | None = None,
+    grant_column: str | None = None,
+) -> DataFrame:
+    """Every document that holds the tokens of a query in a row, with how often and where first, among those that
+    filters and grants let through. The index must have been built with positions; texts are not read."""
+    if not index.info["positions"]:
+        raise ValueError("phrase search needs an index with positions")
+    small = _is_small(queries, TERMS_PER_QUERY)
+    spec = SearchSpec((), 0, FULL_TEXT, filters, grants=grants, grant_column=grant_column)
+    return lexical.phrases(_allowed(index, "postings", spec), index.frequencies(), queries, "query_text", small)
+
+
 def parents(chunk_hits: DataFrame, owners: DataFrame, k: int) -> DataFrame:
     """Best k parent documents by their best chunk; `owners(key, parent)`."""
     best = (

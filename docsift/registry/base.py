@@ -70,6 +70,7 @@ _BLOCKS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|
 
 # Named common table expressions; a query names those it needs with {{name}} in
 # its FROM clauses and gets them, with what they need, in a WITH clause.
+STORED: set[str] = set()  # those that DuckDB should compute once
 PARTS: dict[str, str] = {
     "marked": """
         SELECT page_id AS path, replace(regexp_replace(
@@ -199,6 +200,6 @@ def with_parts(sql: str, parts: dict[str, str] | None = None) -> str:
     visit(sql)
     body = sql
     if order:
-        ctes = ",\n".join(f"{name} AS (\n{known[name].strip()}\n)" for name in order)
+        ctes = ",\n".join(f"{name} AS{' MATERIALIZED' * (name in STORED)} (\n{known[name].strip()}\n)" for name in order)
         body = f"WITH {ctes}\n{sql.strip()}"
     return re.sub(r"\{\{(\w+)\}\}", r"\1", body)

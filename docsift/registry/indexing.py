@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from docsift.operators import changes as ch
 from docsift.operators import lexical
 from docsift.operators.embed import HashedModel
 from docsift.plans import index as ix
-from docsift.registry.base import load, query, toks
+from docsift.registry.base import load, query, toks, with_parts
 from docsift.session import fresh_path, scratch_database
 from docsift.sources import tables
 from docsift.streaming import ingest, sync
@@ -30,6 +31,7 @@ def build_documents(spark, sf) -> ix.Index:
         text_col="text",
         model=HashedModel(),
         filter_columns=["lang", "source", "n_chars"],
+        positions=True,
     )
 
 
@@ -195,6 +197,32 @@ def index_sync(spark, sf):
     return _live(ix.sync(index, revised(spark, sf)))
 
 
+def build_revised(spark, sf) -> ix.Index:
+    """An index over `documents`, brought to their later state."""
+    docs = load(spark, sf, "documents")
+    index = ix.create_index(docs, _name(spark, "revised"), "doc_id", text_col="text", model=HashedModel(), positions=True)
+    return ix.sync(index, revised(spark, sf))
+
+
+def revised_index(spark, sf) -> ix.Index:
+    return once(spark, sf, "revised", build_revised)
+
+
+def on_revised(sql: str) -> str:
+    """SQL over `documents`, asked of their later state instead."""
+    whole = re.sub(r"\bdocuments\b", "later", with_parts(sql)).strip()
+    rest = whole[4:] if whole.startswith("WITH") else f" {whole}"
+    return f"WITH later AS ({REVISED_SQL}){',' if whole.startswith('WITH') else ''}{rest}"
+
+
+@query("index_replica", LIVE_SQL)
+def index_replica(spark, sf):
+    """An index brought to the state of another one: only the ranges of keys where their digests differ are read."""
+    docs = load(spark, sf, "documents")
+    copy = ix.create_index(docs, _name(spark, "replica"), "doc_id", text_col="text", positions=True)
+    return _live(ix.sync(copy, revised_index(spark, sf)))
+
+
 @query("index_stream_sync", LIVE_SQL)
 def index_stream_sync(spark, sf):
     docs = load(spark, sf, "documents")

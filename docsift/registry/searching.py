@@ -13,9 +13,9 @@ from docsift.functions import vectors as vx
 from docsift.operators import cells, chunk, embed, lexical, rank, topk
 from docsift.plans import filters as flt
 from docsift.plans import search as se
-from docsift.registry.base import PARTS, bucket, coverage, load, query, sign, toks, words
+from docsift.registry.base import PARTS, STORED, bucket, coverage, load, query, sign, toks, words
 from docsift.registry.chunking import FIXED_SQL
-from docsift.registry.indexing import documents_index, once, vectors_index
+from docsift.registry.indexing import documents_index, on_revised, once, revised_index, vectors_index
 from docsift.session import scratch_database, written
 
 MODEL = embed.HashedModel()
@@ -130,6 +130,45 @@ def search_hybrid(spark, sf):
     return run(spark, sf, se.SearchSpec(("source",), 5, "hybrid", fusion_depth=50))
 
 
+def _after_sync(spark, sf, spec):
+    found = se.search(revised_index(spark, sf), asked(spark, sf), spec)
+    return found.select("query_id", "rank", "score", "doc_id", "source")
+
+
+@query(
+    "similarity_after_sync",
+    on_revised("SELECT query_id, rank, score, doc_id, source FROM {{sim_all}} JOIN documents USING (doc_id) WHERE rank <= 5"),
+)
+def similarity_after_sync(spark, sf):
+    return _after_sync(spark, sf, se.SearchSpec(("source",), 5))
+
+
+@query(
+    "fulltext_after_sync",
+    on_revised("SELECT query_id, rank, score, doc_id, source FROM {{key_all}} JOIN documents USING (doc_id) WHERE rank <= 5"),
+)
+def fulltext_after_sync(spark, sf):
+    return _after_sync(spark, sf, se.SearchSpec(("source",), 5, "FULL_TEXT"))
+
+
+PHRASE_SQL = f"""
+    SELECT query_id, key, CAST(len(spots) AS INTEGER) AS n_places, CAST(list_min(spots) AS INTEGER) AS first_place FROM (
+      SELECT query_id, key, list_filter(range(len(d) - len(q) + 1), lambda i: d[i + 1:i + len(q)] = q) AS spots FROM (
+        SELECT item_id AS query_id, {toks('text')} AS q FROM benchmark) JOIN (
+        SELECT doc_id AS key, {toks('text')} AS d FROM documents)
+      ON len(q) > 0 AND contains(' ' || array_to_string(d, ' ') || ' ', ' ' || array_to_string(q, ' ') || ' '))"""
+
+
+@query("phrase_by_positions", PHRASE_SQL)
+def phrase_by_positions(spark, sf):
+    return se.match_phrase(documents_index(spark, sf), asked(spark, sf))
+
+
+@query("phrase_after_sync", on_revised(PHRASE_SQL))
+def phrase_after_sync(spark, sf):
+    return se.match_phrase(revised_index(spark, sf), asked(spark, sf))
+
+
 @query(
     "search_all_terms",
     """SELECT query_id, doc_id AS key, CAST(n AS INTEGER) AS n_terms FROM (
@@ -259,6 +298,49 @@ def rerank_user_fn(spark, sf):
     return run(spark, sf, se.SearchSpec(("source",), 5, reranker=rank.FunctionReranker(("text",), load_model)))
 
 
+STORED.update({"near", "nearq", "neard", "letters", "unit", "asks", "alike"})
+TRIPLES = "list_transform(range(1, length(term) + 1), lambda i: substr(' ' || term || ' ', i, 3))"
+PARTS.update(
+    {
+        "near": f"""
+        SELECT query_id, doc_id, qt, dt FROM (SELECT query_id, doc_id FROM {{{{key50}}}} WHERE rank <= 10)
+        JOIN (SELECT item_id AS query_id, {toks('text')} AS qt FROM benchmark) USING (query_id)
+        JOIN (SELECT doc_id, {toks('text')} AS dt FROM documents) USING (doc_id)""",
+        "nearq": "SELECT query_id, doc_id, unnest(qt) AS q FROM {{near}}",
+        "neard": "SELECT DISTINCT query_id, doc_id, unnest(dt) AS d FROM {{near}}",
+        "letters": f"""
+        SELECT term, {bucket('t')} AS b, sum({sign('t')})::DOUBLE AS c
+        FROM (SELECT term, unnest({TRIPLES}) AS t FROM (SELECT q AS term FROM {{{{nearq}}}} UNION SELECT d FROM {{{{neard}}}})) GROUP BY ALL""",
+        "dense": """
+        SELECT term, list(coalesce(c, 0) ORDER BY b) AS v, sqrt(sum(coalesce(c * c, 0))) AS len
+        FROM (SELECT DISTINCT term FROM {{letters}}) CROSS JOIN range(64) r(b) LEFT JOIN {{letters}} USING (term, b) GROUP BY term""",
+        "unit": "SELECT term, list_transform(v, lambda x: CASE WHEN len > 0 THEN x / len ELSE 0.0 END) AS v FROM {{dense}}",
+        "asks": "SELECT DISTINCT * FROM {{nearq}}",
+        "alike": """
+        SELECT q, d, list_dot_product(x.v, y.v) AS s
+        FROM (SELECT DISTINCT q, d FROM {{asks}} JOIN {{neard}} USING (query_id, doc_id))
+        JOIN {{unit}} x ON x.term = q JOIN {{unit}} y ON y.term = d""",
+        "matches": """
+        SELECT query_id, doc_id, q, max(s) AS s
+        FROM {{asks}} JOIN {{neard}} USING (query_id, doc_id) JOIN {{alike}} USING (q, d) GROUP BY ALL""",
+        "interaction": """
+        SELECT query_id, doc_id, round(sum(s), 6) AS score FROM {{nearq}} JOIN {{matches}} USING (query_id, doc_id, q) GROUP BY ALL""",
+    }
+)
+
+
+@query(
+    "rerank_late_interaction",
+    """SELECT query_id, rank, score, doc_id, source FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM {{interaction}}
+      JOIN documents USING (doc_id)) WHERE rank <= 5""",
+)
+def rerank_late_interaction(spark, sf):
+    """The ten best by keywords, sorted by how well each token of the query is matched."""
+    spec = se.SearchSpec(("source",), 5, "FULL_TEXT", reranker=rank.LateInteractionReranker(("text",)), candidates=10)
+    return run(spark, sf, spec)
+
+
 SHIFT_SQL = f"""SELECT query_id, doc_id AS key, CAST(a.rank AS INTEGER) AS rank_before, CAST(b.rank AS INTEGER) AS rank_after,
       CAST(a.rank - b.rank AS INTEGER) AS shift
     FROM (SELECT query_id, doc_id, rank FROM {{{{fused_all}}}} WHERE rank <= 5) a
@@ -385,6 +467,25 @@ def ann_ivf_all(spark, sf):
     return se.search(index, centroids(spark, sf), se.SearchSpec(("label",), 10, nprobe=index.info["n_cells"]))
 
 
+@query(
+    "knn_many_queries",
+    """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+    n AS (SELECT vec_id, sqrt(sum(x * x)) AS len FROM e GROUP BY ALL),
+    d AS (SELECT a.vec_id AS query_id, b.vec_id AS key, sum(a.x * b.x) AS dot FROM e a JOIN e b USING (i) GROUP BY ALL),
+    s AS (SELECT query_id, key, round(dot / (a.len * b.len), 6) AS score FROM d
+      JOIN n a ON a.vec_id = query_id JOIN n b ON b.vec_id = key WHERE a.len > 0 AND b.len > 0)
+    SELECT query_id, key, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, key) AS INTEGER) AS rank
+    FROM s QUALIFY rank <= 5""",
+)
+def knn_many_queries(spark, sf):
+    """Every vector asks for its five nearest in all cells, with queries dealt to the cells they visit."""
+    index = vectors_index(spark, sf)
+    vectors = index.live("vectors").select("key", "vector", "cell")
+    asking = vectors.select(F.col("key").alias("query_id"), "vector")
+    asking = asking.withColumn("probes", cells.nearest_cells(F.col("vector"), index.centres, index.info["n_cells"]))
+    return topk.spread(vectors, asking, 5, within="cells").select("query_id", "key", "score", "rank")
+
+
 @query("ann_ivf")
 def ann_ivf(spark, sf):
     return se.search(vectors_index(spark, sf), centroids(spark, sf), se.SearchSpec(("label",), 10, nprobe=8))

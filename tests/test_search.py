@@ -359,3 +359,85 @@ def test_nprobe_needs_cells_and_the_dimension_is_checked(spark, index_name):
         se.search(index, ask([1.0]), se.SearchSpec((), 3))
     with pytest.raises(ValueError, match="unknown metric"):
         ix.create_index(rows, index_name + "_m", "k", vector_col="v", metric="dot")
+
+
+def test_many_queries_are_dealt_to_cells(spark, monkeypatch):
+    """Hot cells in slices, their queries in chunks; equal to a scan, for 20,000 queries and all metrics."""
+    monkeypatch.setattr(topk, "SLICE_VALUES", 100)
+    monkeypatch.setattr(topk, "CHUNK_QUERIES", 700)
+    rng = np.random.default_rng(8)
+    points = rng.integers(-2, 3, size=(300, 4)).astype(float).tolist() + [None]
+    v = spark.createDataFrame([(i, p, 0 if i % 3 else i % 5) for i, p in enumerate(points)], "key bigint, vector array<float>, cell int")
+    asked = rng.integers(-2, 3, size=(20_000, 4)).astype(float).tolist()
+    q = spark.createDataFrame([(i, p, [0, 1, 2, 3, 4][: 1 + i % 5]) for i, p in enumerate(asked)], "query_id bigint, vector array<float>, probes array<int>")
+    few = q.filter("query_id % 100 < 7")
+    jobs = []
+    monkeypatch.setattr(topk, "in_batches", lambda *a, **b: jobs.append(1))
+    full = 3 * sum(any(p) for p in asked)  # a zero query has no cosine
+    assert topk.nearest(v, q, 3).count() == full and topk.nearest(v, q, 3, within="cells").count() == full and not jobs
+    monkeypatch.undo()
+    for metric in ("cosine", "l2", "l1"):
+        for within in (None, "cells"):
+            want = topk.nearest(v, few, 3, metric, within=within).select("query_id", "rank", "key", "score")
+            got = topk.spread(v.filter("vector IS NOT NULL"), few, 3, metric, within).select(want.columns)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    none = topk.spread(v.filter("key < 0"), few, 3)
+    assert none.count() == 0 and topk.spread(v.filter("key = 1"), few.limit(0), 3).count() == 0
+
+
+def brute_phrase(docs, asked):
+    out = []
+    for q, a in asked.items():
+        want = a.lower().split()
+        for key, text in docs.items():
+            held = (text or "").lower().split()
+            at = [i for i in range(len(held) - len(want) + 1) if held[i : i + len(want)] == want] if want else []
+            if at:
+                out.append((q, key, len(at), at[0]))
+    return sorted(out)
+
+
+def test_phrases_by_positions(spark, index_name):
+    rng = np.random.default_rng(5)
+    docs = {i: " ".join(rng.choice(list("abcd"), size=rng.integers(0, 60))) for i in range(150)}
+    docs |= {500: None, 501: "x " * 3000 + "y z y z y", 502: ""}
+    asked = {i: " ".join(rng.choice(list("abcd"), size=rng.integers(1, 5))) for i in range(30)}
+    asked |= {40: "y z y", 41: "", 42: "nowhere a", 43: "x x x", 44: "z x", 45: "A b"}
+    rows = spark.createDataFrame(list(docs.items()), "k bigint, text string").withColumn("part", F.col("k") % 3)
+    queries = spark.createDataFrame(list(asked.items()), "query_id bigint, query_text string")
+    index = ix.create_index(rows, index_name, "k", text_col="text", filter_columns=["part"], positions=True)
+    found = se.match_phrase(index, queries)
+    assert sorted(map(tuple, found.collect())) == brute_phrase(docs, asked)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "__rows" not in plan and "text#" not in plan.replace("query_text#", "")
+    some = se.match_phrase(index, queries, filters={"part": 1})
+    assert sorted(map(tuple, some.collect())) == brute_phrase({k: t for k, t in docs.items() if k % 3 == 1}, asked)
+    lists = index.live("postings").select("key", "term", "tf", lexical.places(F.col("positions")).alias("at")).collect()
+    for r in lists:
+        held = (docs[r["key"]] or "").split()
+        assert [i for i, t in enumerate(held) if t == r["term"]] == r["at"] and len(r["at"]) == r["tf"]
+    later = rows.filter("k <> 501").unionByName(spark.createDataFrame([(900, "b y z y c", 0)], "k bigint, text string, part bigint"))
+    ix.sync(index, later)
+    docs = {k: t for k, t in docs.items() if k != 501} | {900: "b y z y c"}
+    assert sorted(map(tuple, se.match_phrase(index, queries).collect())) == brute_phrase(docs, asked)
+    plain = ix.create_index(rows, index_name + "_plain", "k", text_col="text")
+    with pytest.raises(ValueError, match="positions"):
+        se.match_phrase(plain, queries)
+
+
+def test_late_interaction(spark):
+    model = embed.HashedTokenModel(16)
+    texts = ["red fox", "", None, "foxes redder red", "x", "red " * 50 + "word" + " ".join(f"w{i}" for i in range(300))]
+    pairs = [(i, q, t) for i, (q, t) in enumerate((q, t) for q in ("red foxes red", "", "unknown") for t in texts)]
+    df = spark.createDataFrame(pairs, "key int, query_text string, text string")
+
+    def brute(q, t):
+        a, b = model.vectors((q or "").split()), model.vectors((t or "").split())
+        return round(float((a @ b.T).max(axis=1).sum()), 6) if len(a) and len(b) else 0.0
+
+    want = {i: pytest.approx(brute(q, t), abs=1e-6) for i, q, t in pairs}
+    for size in (1 << 24, 16 * 8 * 20, 1):  # one group, several, and each passage in parts
+        scored = rank.LateInteractionReranker(("text",), model, size).score(df)
+        assert {r["key"]: r["score"] for r in scored.collect()} == want
+    near, far = model.vectors(["foxes", "fox"]) @ model.vectors(["fox"]).T
+    assert far == pytest.approx(1.0) and 0.3 < near < 1.0

@@ -161,3 +161,94 @@ def test_a_late_change_loses_against_a_newer_one_of_an_earlier_batch(spark, inde
     again = ix.compact(index, index_name + "_compact")
     ix.apply_changes(again, named(change(1, "put", "late again", 3)), "s", 99, ["seq"])
     assert again.live("rows").filter(F.col(key) == 1).first()[text] == "newest"
+
+
+def read_tables(df):
+    """Names of the catalog tables that a plan scans, with the columns read."""
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"FileScan parquet spark_catalog\.\w+\.(\w+)\[([^\]]*)\]", plan)
+
+
+def test_digest_trees_find_what_differs(spark):
+    from docsift.operators import digests as dg
+
+    rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 > 0 THEN id END AS v")
+    later = rows.filter("id <> 77").unionByName(spark.createDataFrame([(9001, 5), (9002, None)], "id long, v long"))
+    later = later.withColumn("v", F.when(F.col("id") == 4242, -1).otherwise(F.col("v")))
+
+    def tree(df, parts=None):
+        marked = df.withColumn("mark", dg.mark_of(df, "id", ["v"]))
+        found = dg.levels(dg.leaves(marked, dg.leaf_of(F.col("id"), 3000)))
+        return dg.tree(found if parts is None else found.unionByName(parts))
+
+    assert dg.differing(tree(rows), tree(rows.repartition(7))) is None
+    leaf = lambda ids: {r[0] for r in spark.createDataFrame([(i,) for i in ids], "id long").select(dg.leaf_of(F.col("id"), 3000)).collect()}
+    assert {r[0] for r in dg.differing(tree(rows), tree(later)).collect()} == leaf([77, 9001, 9002, 4242])
+    # What is taken away and put in moves the one tree to the other.
+    moved = spark.createDataFrame([(77, 77, -1), (4242, None, -1), (9001, 5, 1), (9002, None, 1), (4242, -1, 1)], "id long, v long, d int")
+    moved = moved.withColumn("v", F.when((F.col("id") == 77) | ((F.col("id") == 4242) & (F.col("d") == -1)), F.when(F.col("id") % 3 > 0, F.col("id"))).otherwise(F.col("v")))
+    signed = moved.withColumn("mark", dg.mark_of(moved, "id", ["v"]))
+    parts = dg.levels(dg.leaves(signed, dg.leaf_of(F.col("id"), 3000), "mark", F.col("d")))
+    assert dg.differing(tree(rows, parts), tree(later)) is None
+    assert {r[0] for r in dg.differing(tree(rows.limit(0)), tree(later.filter("id = 77 OR id = 5"))).collect()} == leaf([5])
+
+
+def test_a_sync_reads_only_what_differs(spark, index_name, monkeypatch):
+    """One changed row: its shard of the rows is read, postings and vectors of other rows are not."""
+    monkeypatch.setattr(ix, "ROWS_PER_SHARD", 8)
+    index = build(spark, START, index_name)
+    assert index.info["n_shards"] == 8
+    later = [(i, t + " changed" if i == 17 else t, g) for i, t, g in START]
+    changes = ix.changes_since(index, frame(spark, later))
+    assert [r["op"] for r in changes.collect()] == ["update"]
+    shard = index.live("rows").filter("id = 17").first()["_shard"]
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert f"_shard#" in plan and f"({shard})" in plan.replace(f"IN ({shard})", f"({shard})").replace(f"= {shard})", f"({shard})")
+    scans, real = [], ix.counted
+
+    def seen(session, df, label):
+        scans.extend(read_tables(df))
+        return real(session, df, label)
+
+    monkeypatch.setattr(ix, "counted", seen)
+    monkeypatch.setattr(ix, "written", lambda session, df, label: (scans.extend(read_tables(df)), real(session, df, label)[0])[1])
+    appended, write = [], ix._append
+
+    def noted(idx, df, part, *args, **more):
+        appended.append((part, df.count()))
+        scans.extend(read_tables(df))
+        write(idx, df, part, *args, **more)
+
+    monkeypatch.setattr(ix, "_append", noted)
+    ix.sync(index, frame(spark, later))
+    monkeypatch.undo()
+    assert scans and not [t for t, _ in scans if t.endswith(("__postings", "__vectors"))]
+    sizes = dict(appended)
+    assert sizes["rows"] == sizes["vectors"] == sizes["changed"] == 1 and sizes["postings"] == 4
+    assert sizes["terms"] == 1 and sizes["digests"] == 3
+    assert state(index) == state(build(spark, later, index_name + "_fresh"))
+
+
+def test_an_index_follows_another(spark, index_name):
+    original, copy = build(spark, START, index_name + "_a"), build(spark, START[:40], index_name + "_b")
+    ix.sync(copy, original)
+    assert state(copy) == state(original)
+    later = [r for r in START if r[0] % 9] + [(700, "a new one", "n")]
+    ix.sync(original, frame(spark, later))
+    changes = ix.changes_since(copy, original)
+    assert {(r["id"], r["op"]) for r in changes.collect()} == {(i, "delete") for i, *_ in START if i % 9 == 0} | {(700, "insert")}
+    ix.sync(copy, original)
+    assert ix.changes_since(copy, original) is None and state(copy) == state(original)
+
+
+def test_types_of_the_source_do_not_matter(spark, index_name):
+    index = build(spark, START, index_name)
+    narrow = frame(spark, START).withColumn("id", F.col("id").cast("int"))
+    assert ix.changes_since(index, narrow) is None
+    empty = build(spark, [], index_name + "_none")
+    ix.sync(empty, narrow)
+    assert state(empty) == state(index)
+    ix.sync(empty, narrow.limit(0))
+    assert empty.info["n_docs"] == 0 and empty.live("rows").count() == 0
