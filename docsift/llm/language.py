@@ -6,9 +6,9 @@ documents. Weights are learned by follow-the-regularised-leader with L1 and L2 p
 (per-coordinate rates, exact zeros), and the softmax gets a temperature that minimises
 the loss on a part of the sample that the weights have not seen.
 
-The weights are fitted to a bounded sample of labelled texts, whole ones: about
-`SAMPLE` documents in all, as many of each language, the ones with the smallest hash of
-the id. Every text is scored whole. Null text and text without a letter is `und` with score 0;
+The weights are fitted to a bounded sample of labelled texts, whole ones: `SAMPLE` documents in all
+at most (one a language at least), as many of each language, the ones with the smallest hashes of id and text; equal
+rows are told apart by nothing and are taken in any order, so that the weights do not depend on the partitions. Every text is scored whole. Null text and text without a letter is `und` with score 0;
 without training rows everything is. Rows with null or repeated ids are scored like any other; rows with null
 id or language are not learned from. Other columns are not read.
 """
@@ -147,6 +147,29 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(scale[int(np.argmin(loss))])
 
 
+def _smallest(train: DataFrame, sizes: dict[str, int], each: int) -> dict[str, int]:
+    """For every language the hash up to which `each` rows lie (all rows, if there are fewer).
+
+    Only hashes below a multiple of the expected bound are gathered, with counts; the multiple grows where equal rows
+    leave too few different hashes below it.
+    """
+    low, high = -(1 << 63), (1 << 63) - 1
+    bounds, factor = {}, 3
+    hashes = train.select("lang", F.xxhash64("doc_id", "text").alias("rank"))
+    while len(bounds) < len(sizes):
+        left = {n: min(1.0, factor * each / size) for n, size in sizes.items() if n not in bounds}
+        below = F.create_map(*(x for n, share in left.items() for x in (F.lit(n), F.lit(min(high, low + int(share * (1 << 64)))))))
+        some = hashes.where(F.col("lang").isin(*left)).where(F.col("rank") <= below[F.col("lang")])
+        taken = dict.fromkeys(left, 0)
+        for r in sorted(some.groupBy("lang", "rank").agg(F.count("*").alias("n")).collect(), key=lambda r: r["rank"]):
+            taken[r["lang"]] += r["n"]
+            if taken[r["lang"]] >= each:
+                bounds.setdefault(r["lang"], r["rank"])
+        bounds |= {n: high for n, share in left.items() if n not in bounds and share == 1.0}
+        factor *= 8
+    return bounds
+
+
 def fit(spark: SparkSession, train: DataFrame) -> Model:
     """The model from `train(doc_id, text, lang)`."""
     train = train.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
@@ -157,10 +180,12 @@ def fit(spark: SparkSession, train: DataFrame) -> Model:
     if not names:
         return Model([], idf, np.zeros((BUCKETS, 0)))
     each = max(1, SAMPLE // len(names))
-    # A hash below the language's share of the range takes about `each` documents.
-    share = F.create_map(*(x for n in names for x in (F.lit(n), F.lit(min(1.0, each / sizes[n])))))
-    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / (1 << 40)
-    sample = train.withColumn("rank", rank).where(F.col("rank") < share[F.col("lang")])
+    bounds = _smallest(train, sizes, each)
+    rank = F.xxhash64("doc_id", "text")
+    bound = F.create_map(*(x for n in names for x in (F.lit(n), F.lit(bounds[n]))))
+    # Rows of equal hash are one row with a count: a row that is repeated without end comes once a task.
+    sample = train.withColumn("rank", rank).where(F.col("rank") <= bound[F.col("lang")])
+    sample = sample.groupBy("lang", "rank").agg(F.first("text").alias("text"), F.count("*").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,14 +194,19 @@ def fit(spark: SparkSession, train: DataFrame) -> Model:
                 [
                     batch.column(0),
                     batch.column(2),
+                    batch.column(3),
                     pa.array([f.astype("<u2").tobytes() for f, _ in found], pa.binary()),
                     pa.array([c.astype("<u4").tobytes() for _, c in found], pa.binary()),
                 ],
-                names=["rank", "lang", "found", "count"],
+                names=["rank", "lang", "n", "found", "count"],
             )
 
-    rows = sample.select("rank", "text", "lang").mapInArrow(run, "rank double, lang string, found binary, count binary")
-    rows = sorted(rows.collect(), key=lambda r: (r["rank"], r["lang"]))  # about SAMPLE rows
+    kept = sample.select("rank", "text", "lang", "n").mapInArrow(run, "rank long, lang string, n long, found binary, count binary")
+    rows, taken = [], dict.fromkeys(names, 0)
+    for r in sorted(kept.collect(), key=lambda r: (r["rank"], r["lang"])):  # SAMPLE rows at most, or one a language
+        some = min(r["n"], each - taken[r["lang"]])
+        taken[r["lang"]] += some
+        rows += [r] * some
     model = Model(names, idf, np.zeros((BUCKETS, len(names))))
     vectors = []
     for r in rows:

@@ -53,3 +53,47 @@ def test_nothing_to_learn_from(spark, docs):
     model = language.fit(spark, empty)
     assert [tuple(r) for r in language.predicted(docs([(1, "text")]), model).collect()] == [(1, "und", 0.0)]
     assert language.predicted(docs([]), model).count() == 0
+
+
+@pytest.mark.parametrize("ids", ["one", "many"])
+def test_the_sample_is_bounded_and_repeatable(spark, monkeypatch, ids):
+    """Rows that share an id, or are equal, neither flood the sample nor leave it empty."""
+    monkeypatch.setattr(language, "SAMPLE", 60)
+    texts = [(1 if ids == "one" else i, f"the cat number {'abcdefghij'[i % 10]}" if i % 2 else "the dog", "en") for i in range(3000)]
+    texts += [(1 if ids == "one" else -i, f"der Hund {'klmnopqrst'[i % 10]}", "de") for i in range(50)]
+    seen, fitted = [], language.ftrl
+    monkeypatch.setattr(language, "ftrl", lambda v, y, k: (seen.append(np.bincount(y, minlength=k).tolist()), fitted(v, y, k))[1])
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    one, two = language.fit(spark, df), language.fit(spark, df.repartition(5))
+    assert sum(seen[0]) == 48 and seen[0] == seen[1]  # four fifths of 30 of each
+    assert (one.weights == two.weights).all() and one.temperature == two.temperature
+    assert one.predict("the cat")[0] == "en" and one.predict("der Hund")[0] == "de"
+
+
+def test_ftrl_against_plain_arithmetic(monkeypatch):
+    """The weights coordinate by coordinate, as the update is written down."""
+    import math
+
+    monkeypatch.setattr(language, "BUCKETS", 7)
+    rng = np.random.default_rng(2)
+    vectors = [(np.sort(rng.choice(7, 3, replace=False)), rng.random(3)) for _ in range(30)]
+    y = rng.integers(0, 3, 30)
+    z, n = [[0.0] * 3 for _ in range(7)], [[0.0] * 3 for _ in range(7)]
+
+    def weight(zi, ni):
+        if abs(zi) <= language.L1:
+            return 0.0
+        return -(zi - math.copysign(language.L1, zi)) / ((language.SMOOTH + math.sqrt(ni)) / language.RATE + language.L2)
+
+    for _ in range(language.EPOCHS):
+        for (at, x), label in zip(vectors, y, strict=True):
+            w = [[weight(z[i][c], n[i][c]) for c in range(3)] for i in at]
+            s = [sum(xi * wi[c] for xi, wi in zip(x, w, strict=True)) for c in range(3)]
+            p = [math.exp(v - max(s)) for v in s]
+            for i, xi, wi in zip(at, x, w, strict=True):
+                for c in range(3):
+                    g = xi * (p[c] / sum(p) - (c == label))
+                    z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / language.RATE * wi[c]
+                    n[i][c] += g * g
+    want = np.array([[weight(z[i][c], n[i][c]) for c in range(3)] for i in range(7)])
+    assert np.allclose(language.ftrl(vectors, y, 3), want, atol=1e-12)
