@@ -23,8 +23,8 @@ ROWS_PER_LEAF = 256
 LEVELS = (0, 1, 2)  # root, middle, leaves
 FEW_NODES = 2000
 
-#: Nodes `node, n, mark` of one level, those below the given nodes of the level above (all, if None).
-Tree = Callable[[int, list[int] | None], DataFrame]
+#: Nodes `level, node, n, mark` of some levels, those below the given nodes of the level above (all, if None).
+Tree = Callable[[list[int], list[int] | None], DataFrame]
 
 
 def leaf_count(n: int) -> int:
@@ -49,7 +49,7 @@ def leaves(rows: DataFrame, leaf: Column, mark: str = "mark", sign: Column | Non
 
 def merged(nodes: DataFrame) -> DataFrame:
     """Signed parts of nodes summed up; a node without rows is none."""
-    whole = nodes.groupBy("node").agg(F.sum("n").alias("n"), F.bit_xor("mark").alias("mark"))
+    whole = nodes.groupBy("level", "node").agg(F.sum("n").alias("n"), F.bit_xor("mark").alias("mark"))
     return whole.filter((F.col("n") != 0) | (F.col("mark") != 0))
 
 
@@ -67,11 +67,11 @@ def levels(leaf_rows: DataFrame) -> DataFrame:
 def tree(stored: DataFrame) -> Tree:
     """The tree over rows `level, node, n, mark`, which may come in signed parts."""
 
-    def nodes(level: int, below: list[int] | None) -> DataFrame:
-        rows = stored.filter(F.col("level") == level)
+    def nodes(levels: list[int], below: list[int] | None) -> DataFrame:
+        rows = stored.filter(F.col("level").isin(levels))
         if below is not None:
             rows = rows.filter(F.floor(F.col("node") / FAN).isin(below))
-        return merged(rows.select("node", "n", "mark"))
+        return merged(rows.select("level", "node", "n", "mark"))
 
     return nodes
 
@@ -79,14 +79,15 @@ def tree(stored: DataFrame) -> Tree:
 def differing(old: Tree, new: Tree) -> DataFrame | None:
     """`node` of the leaves that differ; None if the trees are equal."""
 
-    def unequal(level: int, below: list[int] | None) -> DataFrame:
-        a = old(level, below)
-        b = new(level, below).select("node", F.col("n").alias("_n"), F.col("mark").alias("_mark"))
+    def unequal(levels: list[int], below: list[int] | None = None) -> DataFrame:
+        a = old(levels, below)
+        b = new(levels, below).select("level", "node", F.col("n").alias("_n"), F.col("mark").alias("_mark"))
         same = F.col("n").eqNullSafe(F.col("_n")) & F.col("mark").eqNullSafe(F.col("_mark"))
-        return a.join(b, "node", "full_outer").filter(~same).select("node")
+        return a.join(b, ["level", "node"], "full_outer").filter(~same).select("level", "node")
 
-    if unequal(0, None).isEmpty():
+    # The root, and one node a FAN leaves; where very many of these differ, all leaves are compared.
+    above = unequal([0, 1]).limit(FEW_NODES + 1).collect()
+    if not above:
         return None
-    # One a FAN leaves that differ; where these are many, all leaves are compared.
-    middle = unequal(1, None).limit(FEW_NODES + 1).collect()
-    return unequal(2, [r["node"] for r in middle] if len(middle) <= FEW_NODES else None)
+    below = [r["node"] for r in above if r["level"] == 1] if len(above) <= FEW_NODES else None
+    return unequal([2], below).select("node")

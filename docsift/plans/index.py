@@ -396,11 +396,9 @@ def apply_changes(
     _write_digests(index, dg.leaves(signed, _leaf(index, F.col(key)), "_mark", F.col("d")), seg)
     if info["text_col"]:
         _write_postings(index, new_rows, seg, n_new)
-        terms = [
-            rows.select(F.explode(tk.distinct_tokens(F.col(info["text_col"]))).alias("term"), F.lit(d).alias("d"))
-            for rows, d in ((gone, -1), (new_rows, 1))
-        ]
-        moved = terms[0].unionByName(terms[1]).groupBy("term").agg(F.sum("d").alias("df")).filter(F.col("df") != 0)
+        both = gone.select(key, *text, F.lit(-1).alias("d")).unionByName(new_rows.select(key, *text, F.lit(1).alias("d")))
+        held = lexical.postings(both, key, info["text_col"], ["d"])
+        moved = held.groupBy("term").agg(F.sum("d").alias("df")).filter(F.col("df") != 0)
         _append(index, moved, "terms", seg)
     if info["dim"]:
         vectors = written(spark, _vector_rows(index, puts), "vectors")
