@@ -33,15 +33,15 @@ def _explode(df: DataFrame, keep: list[str], pieces: Column) -> DataFrame:
     return df.select(*keep, F.posexplode_outer(pieces).alias("pos", "chunk")).filter(F.col("chunk").isNotNull())
 
 
-def fixed_chars(df: DataFrame, keep: list[str], text: str, size: int, overlap: int) -> DataFrame:
-    """`keep, pos, chunk`: windows of `size` characters, each starting `size - overlap` later.
+def char_windows(text: Column, size: int, overlap: int) -> Column:
+    """Windows of `size` characters, each starting `size - overlap` later; one, if the text is shorter.
 
     The text is cut once into stride-long blocks and a window joins neighbouring
     blocks, so the work is linear in the text however long it is.
     """
     stride = _check(size, overlap)
     per_window = -(-size // stride)
-    blocks = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
     last = chunk_count(F.length(text), size, overlap) - 1
 
     def windows(parts: Column) -> Column:
@@ -50,7 +50,12 @@ def fixed_chars(df: DataFrame, keep: list[str], text: str, size: int, overlap: i
             lambda i: F.substring(F.array_join(F.slice(parts, i + 1, F.lit(per_window)), ""), 1, size),
         )
 
-    return _explode(df.filter(F.length(text) > 0), keep, let(blocks, windows))
+    return let(blocks, windows)
+
+
+def fixed_chars(df: DataFrame, keep: list[str], text: str, size: int, overlap: int) -> DataFrame:
+    """`keep, pos, chunk`: the windows of every text that is not empty."""
+    return _explode(df.filter(F.length(text) > 0), keep, char_windows(F.col(text), size, overlap))
 
 
 def fixed_tokens(df: DataFrame, keep: list[str], text: str, size: int, overlap: int) -> DataFrame:

@@ -255,6 +255,19 @@ def stream_late_changes(spark, sf):
     return index.live("rows").select("user_id", "event_type", "value")
 
 
+@query("ingest_parsed", "SELECT path, page, pos, type, region, level, content FROM {{elements}}")
+def ingest_parsed(spark, sf):
+    """Pages as files of bytes, streamed into the parser some at a time."""
+    inbox, target = fresh_path(spark, "inbox"), fresh_path(spark, "ingested")
+    pages = load(spark, sf, "pages").select("page_id", "html")
+    pages.write.partitionBy("page_id").text(inbox)  # one file a page
+    half = max(1, -(-pages.count() // 2))
+    ingest.ingest_parsed(spark, inbox, target, fresh_path(spark, "progress"), "*.txt", half)
+    elements = spark.read.parquet(f"{target}/elements")
+    page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint")
+    return elements.select(page.alias("path"), "page", "pos", "type", "region", "level", "content")
+
+
 @query("ingest_stream", "SELECT event_id, user_id, event_type, value FROM events")
 def ingest_stream(spark, sf):
     source = f"{sf}/events.parquet"

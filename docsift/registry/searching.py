@@ -13,6 +13,7 @@ from docsift.functions import vectors as vx
 from docsift.operators import cells, chunk, embed, lexical, rank, topk
 from docsift.plans import filters as flt
 from docsift.plans import search as se
+from docsift.plans import study
 from docsift.registry.base import PARTS, STORED, bucket, coverage, load, query, sign, toks, words
 from docsift.registry.chunking import FIXED_SQL
 from docsift.registry.indexing import documents_index, on_revised, once, revised_index, vectors_index
@@ -298,7 +299,7 @@ def rerank_user_fn(spark, sf):
     return run(spark, sf, se.SearchSpec(("source",), 5, reranker=rank.FunctionReranker(("text",), load_model)))
 
 
-STORED.update({"near", "nearq", "neard", "letters", "unit", "asks", "alike"})
+STORED.update({"judged", "och", "ocv", "near", "nearq", "neard", "letters", "unit", "asks", "alike"})
 TRIPLES = "list_transform(range(1, length(term) + 1), lambda i: substr(' ' || term || ' ', i, 3))"
 PARTS.update(
     {
@@ -402,6 +403,50 @@ def parent_retrieval(spark, sf):
     return se.parents(hits, owners, 5)
 
 
+OPTIONS = [(250, 50), (500, 100), (1000, 200), (2000, 400)]
+PARTS.update(
+    {
+        "opt": f"SELECT * FROM (VALUES {', '.join(map(str, OPTIONS))}) v(size, overlap)",
+        "och": """
+        SELECT size, overlap, doc_id, i AS pos, substr(text, i * (size - overlap) + 1, size) AS chunk FROM (
+          SELECT size, overlap, doc_id, text, unnest(range(1 + CAST(greatest(0, ceil((length(text) - size) / CAST(size - overlap AS DOUBLE))) AS BIGINT))) AS i
+          FROM documents, {{opt}} WHERE length(text) > 0)""",
+        "ocv": f"""
+        SELECT size, doc_id, pos, {bucket('term')} AS b, sum({sign('term')})::DOUBLE AS c
+        FROM (SELECT size, doc_id, pos, unnest({toks('chunk')}) AS term FROM {{{{och}}}}) GROUP BY ALL""",
+        "ocn": "SELECT size, doc_id, pos, sqrt(sum(c * c)) AS len FROM {{ocv}} GROUP BY ALL HAVING sum(c * c) > 0",
+        "judged": f"""
+        SELECT item_id AS query_id, doc_id FROM (SELECT item_id, {toks('text')} AS q FROM benchmark)
+        JOIN (SELECT doc_id, {toks('text')} AS d FROM documents)
+        ON len(q) > 0 AND contains(' ' || array_to_string(d, ' ') || ' ', ' ' || array_to_string(q, ' ') || ' ')""",
+        "osim": """
+        SELECT q.query_id, n.size, n.doc_id, n.pos, round(coalesce(x.dot, 0) / (q.len * n.len), 6) AS score
+        FROM (SELECT * FROM {{qnorm}} WHERE query_id IN (SELECT query_id FROM {{judged}})) q CROSS JOIN {{ocn}} n
+        LEFT JOIN (SELECT query_id, size, doc_id, pos, sum(a.c * b.c) AS dot FROM {{qvec}} a JOIN {{ocv}} b USING (b) GROUP BY ALL) x
+        USING (query_id, size, doc_id, pos)""",
+        "ohit": """
+        SELECT query_id, size, max(good) AS hit, avg(good) AS share FROM (
+          SELECT query_id, size, CASE WHEN j.doc_id IS NULL THEN 0 ELSE 1 END AS good FROM (
+            SELECT * FROM {{osim}} QUALIFY row_number() OVER (PARTITION BY query_id, size ORDER BY score DESC, doc_id || '#' || pos) <= 5)
+          LEFT JOIN {{judged}} j USING (query_id, doc_id)) GROUP BY ALL""",
+    }
+)
+
+
+@query(
+    "chunk_size_quality",
+    """SELECT size, overlap, n_chunks, mean_chars, n_queries, round(coalesce(hits, 0) / n_queries, 6) AS hit_rate,
+      round(coalesce(shares, 0) / n_queries, 6) AS precision
+    FROM (SELECT size, overlap, count(*) AS n_chunks, round(avg(length(chunk)), 6) AS mean_chars FROM {{och}} GROUP BY ALL)
+    LEFT JOIN (SELECT size, sum(hit) AS hits, sum(share) AS shares FROM {{ohit}} GROUP BY size) USING (size),
+      (SELECT count(DISTINCT query_id) AS n_queries FROM {{judged}})""",
+)
+def chunk_size_quality(spark, sf):
+    """How often the first five chunks lead to a document that holds the passage, for four chunk sizes."""
+    relevant = se.match_phrase(documents_index(spark, sf), asked(spark, sf)).select("query_id", "key")
+    return study.size_quality(load(spark, sf, "documents"), "doc_id", "text", asked(spark, sf), relevant, MODEL, OPTIONS)
+
+
 @query(
     "phrase_match",
     f"""SELECT doc_id, source FROM documents WHERE contains(' ' || array_to_string({toks('text')}, ' ') || ' ', ' of the ')""",

@@ -168,3 +168,28 @@ def test_size_study_matches_real_chunks(spark, sf):
         cut = chunk.fixed_chars(docs, ["doc_id"], "text", row["size"], row["overlap"])
         n, chars = cut.agg(F.count("*"), F.sum(F.length("chunk"))).first()
         assert (row["n_chunks"], row["mean_chars"]) == (n, round(chars / n, 6))
+
+
+def test_packing_many_sentences(spark):
+    """Work grows with the sentences of a text, not with their square."""
+    import time
+
+    def brute(sentences, size):
+        out, held = [], None
+        for s in sentences:
+            if held is not None and len(held) + 1 + len(s) <= size:
+                held = f"{held} {s}"
+            else:
+                out += [] if held is None else [held]
+                held = s
+        return out + ([] if held is None else [held])
+
+    texts = {0: "", 1: None, 2: "One. " * 257, 3: " ".join(f"Sentence {i}{'x' * (i % 50)}." for i in range(3000))}
+    df = spark.createDataFrame(list(texts.items()), "k int, text string")
+    got = {}
+    for r in chunk.packed_sentences(df, "k", "text", 60).orderBy("k", "pos").collect():
+        got.setdefault(r["k"], []).append(r["chunk"])
+    assert got == {k: brute([s + "." for s in texts[k].strip(". ").replace(". ", ".").split(".")], 60) for k in (2, 3)}
+    start = time.time()
+    many = spark.createDataFrame([(1, "Go. " * 200_000)], "k int, text string")
+    assert chunk.packed_sentences(many, "k", "text", 20).count() == 40_000 and time.time() - start < 60

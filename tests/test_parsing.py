@@ -166,3 +166,46 @@ def test_stream_ingestion_takes_each_file_once(spark, sf):
             rows.write.mode("append").parquet(inbox)
         ingest.ingest(ingest.file_stream(spark, inbox, rows.schema, files_per_trigger=2), target, progress)
         assert spark.read.parquet(target).count() == expected
+
+
+def test_bytes_are_streamed_into_the_parser(spark, tmp_path):
+    """Good files become elements, others are set aside; a batch that failed half way counts once."""
+    from docsift.operators import parse
+    from docsift.streaming import ingest
+
+    inbox, target, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+
+    def put(name, content):
+        (tmp_path / "in" / name).write_bytes(content)
+
+    def seen(layer):
+        rows = spark.read.parquet(f"{target}/{layer}").collect()
+        return sorted((r["path"].rsplit("/", 1)[1], r["error_status"] if layer == "quarantine" else r["content"]) for r in rows)
+
+    put("a.html", b"<h1>One</h1><p>first")
+    put("b.html", b"\xff\xfe broken")
+    put("c.txt", b"not taken")
+    put("empty.html", b"")
+    real, calls = parse.parse_elements, []
+
+    def fails_once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ingest.parse, "parse_elements", fails_once)
+        with pytest.raises(Exception, match="lost"):
+            ingest.ingest_parsed(spark, inbox, target, progress, "*.html")
+        ingest.ingest_parsed(spark, inbox, target, progress, "*.html")
+    first = [("a.html", "One"), ("a.html", "first")]
+    assert seen("elements") == first and seen("quarantine") == [("b.html", "not UTF-8")]
+    put("d.html", "<p>später &amp; mehr".encode())
+    ingest.ingest_parsed(spark, inbox, target, progress, "*.html", 1)
+    ingest.ingest_parsed(spark, inbox, target, progress, "*.html", 1)
+    assert seen("elements") == first + [("d.html", "später & mehr")] and len(seen("quarantine")) == 1
+    assert {r["path"].rsplit("/", 1)[1] for r in spark.read.parquet(f"{target}/files").collect()} == {"a.html", "b.html", "empty.html", "d.html"}
+    with pytest.raises(ValueError, match="outside"):
+        ingest.ingest_parsed(spark, inbox, inbox + "/out", progress)

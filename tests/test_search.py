@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.functions import vectors as vx
-from docsift.operators import cells, changes, embed, lexical, rank, topk
+from docsift.operators import cells, changes, chunk, embed, lexical, rank, topk
 from docsift.plans import filters as flt
 from docsift.plans import index as ix
 from docsift.plans import search as se
@@ -441,3 +441,22 @@ def test_late_interaction(spark):
         assert {r["key"]: r["score"] for r in scored.collect()} == want
     near, far = model.vectors(["foxes", "fox"]) @ model.vectors(["fox"]).T
     assert far == pytest.approx(1.0) and 0.3 < near < 1.0
+
+
+def test_size_quality_of_several_sizes(spark):
+    """Small chunks find a short passage in a long text; counts are those of the cuts."""
+    from docsift.plans import study
+
+    model = embed.HashedModel(32)
+    filler = " ".join(f"filler{i % 40}" for i in range(400))
+    docs = [(i, f"{filler} topic{i} detail{i} {filler}") for i in range(6)] + [(10, None), (11, ""), (12, "short")]
+    df = spark.createDataFrame(docs, "k int, text string")
+    queries = spark.createDataFrame([(i, f"topic{i} detail{i}") for i in range(6)] + [(9, "nothing")], "query_id bigint, query_text string")
+    relevant = spark.createDataFrame([(i, i) for i in range(6)], "query_id bigint, key int")
+    sizes = [(40, 10), (100_000, 0)]
+    got = {r["size"]: r for r in study.size_quality(df, "k", "text", queries, relevant, model, sizes, k=2).collect()}
+    cut = {s: chunk.fixed_chars(df, ["k"], "text", s, o).count() for s, o in sizes}
+    assert {s: r["n_chunks"] for s, r in got.items()} == cut and {r["n_queries"] for r in got.values()} == {6}
+    assert got[40]["hit_rate"] > got[100_000]["hit_rate"] and 0 <= got[100_000]["precision"] <= got[100_000]["hit_rate"] <= 1
+    none = study.size_quality(df, "k", "text", queries, relevant.limit(0), model, sizes).collect()
+    assert {(r["n_queries"], r["hit_rate"]) for r in none} == {(0, None)}
