@@ -3,8 +3,9 @@ import re
 from docsift.llm import line_templates as lt
 
 
-def brute(rows, min_docs=2, short=lt.SHORT):
+def brute(rows, min_docs=2, short=None):
     """Texts left, by templates as strings."""
+    short = lt.SHORT if short is None else short
     keys, docs_of = {}, {}
     for doc_id, text in rows:
         for j, line in enumerate((text or "").split("\n")):
