@@ -52,7 +52,8 @@ def ingest_parsed(
     `quarantine`  path, size and status of the others
 
     each with one folder a micro-batch. A batch that is run again after a failure replaces its own
-    folders, so every file counts once; the text is decoded once and parsed from the stored copy. The
+    folders, so every file counts once; the text is decoded once and parsed from the stored copy. Files
+    of no bytes hold no elements, and the reader passes over them. The
     target must lie outside the input folder, whose files would else be taken again.
     """
     check_assets_path(path, target)

@@ -457,6 +457,19 @@ def test_size_quality_of_several_sizes(spark):
     got = {r["size"]: r for r in study.size_quality(df, "k", "text", queries, relevant, model, sizes, k=2).collect()}
     cut = {s: chunk.fixed_chars(df, ["k"], "text", s, o).count() for s, o in sizes}
     assert {s: r["n_chunks"] for s, r in got.items()} == cut and {r["n_queries"] for r in got.values()} == {6}
-    assert got[40]["hit_rate"] > got[100_000]["hit_rate"] and 0 <= got[100_000]["precision"] <= got[100_000]["hit_rate"] <= 1
+    asked = {r["query_id"]: np.array(r["v"]) for r in queries.select("query_id", model.column(F.col("query_text")).alias("v")).collect()}
+    for size, overlap in sizes:
+        cut_rows = chunk.fixed_chars(df, ["k"], "text", size, overlap).select("k", "pos", model.column(F.col("chunk")).alias("v")).collect()
+        shares = []
+        for q in range(6):
+            scored = []
+            for r in cut_rows:
+                v = np.array(r["v"])
+                length = np.linalg.norm(v) * np.linalg.norm(asked[q])
+                if length > 0:
+                    scored.append((-round(float(v @ asked[q] / length), 6), f"{r['k']}#{r['pos']}", r["k"] == q))
+            shares.append(np.mean([x[2] for x in sorted(scored)[:2]]))
+        assert got[size]["hit_rate"] == pytest.approx(np.mean([x > 0 for x in shares]), abs=1e-6)
+        assert got[size]["precision"] == pytest.approx(np.mean(shares), abs=1e-6)
     none = study.size_quality(df, "k", "text", queries, relevant.limit(0), model, sizes).collect()
     assert {(r["n_queries"], r["hit_rate"]) for r in none} == {(0, None)}
