@@ -5,27 +5,33 @@ items (thirteen consecutive words, or the whole of a shorter item) go into one a
 and each document is scanned once. The end of an occurrence gives its words, and the
 words their places in the original text.
 
-The windows of the items are read one after the other; windows beyond the bound of one
-automaton go into a further one, with a pass of its own over all documents, so that
-what is sent to the tasks is bounded. Null or wordless texts have no words; items without words and
+Spark cuts the items into windows, and writes them to the shared folder in groups of about `AUTOMATON_CHARS`; a
+task builds the automaton of a group from its files. With more than one group, a task holds a block of
+`BLOCK_CHARS` of its documents, and takes it through the automata one after the other, so
+that the benchmark may be of any size, and documents are read once. A document longer than a block is
+one by itself. Null or wordless texts have no words; items without words and
 items without id are never found; items that share an id count once; rows of documents are
-kept as they are, repeated or null ids included. Other columns of either table are not read.
+kept as they are, repeated or null ids included. Other columns, whatever their names, pass
+through; empty tables give empty results, or documents without hits.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docsift.llm import store
 
 WINDOW = 13
-AUTOMATON_CHARS = 1 << 22  # of the windows in one automaton
+AUTOMATON_CHARS = 1 << 22  # of the windows in one automaton, about
+BLOCK_CHARS = 1 << 25  # of the documents that a task takes through several automata
 #: A-Z to a-z; other ASCII characters that are neither letters nor digits to a blank.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -36,7 +42,7 @@ FOUND = (
     "__spans array<struct<first:int,last:int,start:int,end:int>>"
 )
 _SPAN = pa.struct([(name, pa.int32()) for name in ("first", "last", "start", "end")])
-_machines: dict[str, object] = {}
+_machines: dict[tuple, object] = {}  # the last one used
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -50,111 +56,173 @@ def windows_of(text: str | None, size: int = WINDOW) -> list[str]:
     return [f" {b' '.join(r).decode('latin-1')} " for r in runs]
 
 
-def automaton(windows: dict[str, set[str]]):
-    """An automaton whose values are the length in words of a window and its items; None
-    without windows."""
+def automaton(pairs):
+    """An automaton of pairs (window, item), whose values are the length in words of a window and its
+    items; None without windows."""
     import ahocorasick
 
-    if not windows:
-        return None
     machine = ahocorasick.Automaton()
-    for window, items in windows.items():
-        machine.add_word(window, (window.count(" ") - 1, sorted(items)))
+    for window, item in pairs:
+        known = machine.get(window, None)
+        if known is None:
+            machine.add_word(window, (window.count(" ") - 1, [item]))
+        else:
+            known[1].append(item)
+    if not len(machine):
+        return None
     machine.make_automaton()
     return machine
 
 
-def scan(machine, text: str | None, known: list[dict] | None = None) -> tuple[int, int, list[str], list[dict]]:
-    """Number of words, of hit words, the items found, and the hit runs, each with its
-    words and its code points in the original text. `known`: runs of earlier automata."""
-    data = (text or "").encode()
-    folded = data.translate(_FOLD)
-    words = folded.split()
-    if not words:
-        return 0, 0, [], []
+def occurrences(machine, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """Number of words, the hit runs (first word and the one after the last), and the items found."""
+    words = words_of(text)
+    if machine is None or not words:
+        return len(words), [], set()
     clean = f" {b' '.join(words).decode('latin-1')} "
-    found = [(end, *value) for end, value in machine.iter(clean)] if machine is not None else []
-    if not found and not known:
-        return len(words), 0, [], []
+    found = [(end, *value) for end, value in machine.iter(clean)]
+    if not found:
+        return len(words), [], set()
     blanks = np.flatnonzero(np.frombuffer(clean.encode("latin-1"), np.uint8) == 32)
-    hit = np.zeros(len(words), bool)
-    for run in known or ():
-        hit[run["first"] : run["last"] + 1] = True
-    for end, n, _ in found:
-        after = int(np.searchsorted(blanks, end))
-        hit[after - n : after] = True
-    solid = (np.frombuffer(folded, np.uint8) != 32).astype(np.int8)
+    after = np.searchsorted(blanks, [end for end, *_ in found])
+    begin = after - np.array([n for _, n, _ in found])
+    return len(words), _runs(len(words), zip(begin.tolist(), after.tolist(), strict=True)), {i for *_, of in found for i in of}
+
+
+def _runs(n_words: int, parts) -> list[tuple[int, int]]:
+    """The union of runs of words, as runs."""
+    steps = np.zeros(n_words + 1, np.int64)
+    for a, b in parts:
+        steps[a] += 1
+        steps[b] -= 1
+    edges = np.flatnonzero(np.diff((np.cumsum(steps) > 0).astype(np.int8), prepend=0, append=0)).tolist()
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def spans_of(text: str, runs: list[tuple[int, int]]) -> list[dict]:
+    """Hit runs with their words and their code points in the original text."""
+    if not runs:
+        return []
+    data = text.encode()
+    solid = (np.frombuffer(data.translate(_FOLD), np.uint8) != 32).astype(np.int8)
     edges = np.flatnonzero(np.diff(solid, prepend=0, append=0))
     points = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
-    runs = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0)).tolist()
-    spans = [
-        {
-            "first": a,
-            "last": b - 1,
-            "start": int(points[edges[2 * a]]),
-            "end": int(points[edges[2 * b - 1]]),
-        }
-        for a, b in zip(runs[::2], runs[1::2], strict=True)
+    return [
+        {"first": a, "last": b - 1, "start": int(points[edges[2 * a]]), "end": int(points[edges[2 * b - 1]])}
+        for a, b in runs
     ]
-    return len(words), int(hit.sum()), sorted({i for *_, of in found for i in of}), spans
-
 
-def _groups(items: DataFrame) -> Iterator[dict[str, set[str]]]:
-    """Windows with their items, in groups of bounded size."""
-    group: dict[str, set[str]] = {}
-    size = 0
-    texts = items.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
-    for row in texts.where("id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        for window in windows_of(row["text"]):
-            if size > AUTOMATON_CHARS:
-                yield group
-                group, size = {}, 0
-            group.setdefault(window, set()).add(row["id"])
-            size += len(window)
-    yield group
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (window, item) of items, a bounded number at a time."""
+    names = ["window", "item"]
+    for batch in batches:
+        for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            windows = windows_of(text)
+            for i in range(0, len(windows), 8192):
+                part = windows[i : i + 8192]
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([item] * len(part))], names=names)
+
+
+def window_groups(spark: SparkSession, items: DataFrame) -> list[list[str]]:
+    """The files of each group of distinct pairs (window, item). Pairs are dealt by a hash of both, so that
+    neither a long item nor a window of many items makes a group larger than the others."""
+    texts = store.text_of(items, "item_id", "text", "string").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    pairs = texts.mapInArrow(_cut, "window string, item string").distinct()
+    pairs = store.keep(spark, pairs, "windows")
+    size = pairs.agg(F.sum(F.length("window") + F.length("item")).alias("n")).first()["n"] or 0
+    n = -(-size // AUTOMATON_CHARS)
+    if n <= 1:
+        return [sorted(pairs.inputFiles())]
+    group = F.pmod(F.xxhash64("window", "item"), F.lit(n))
+    path = store.folder(spark, "window-groups") + "/rows"
+    pairs.withColumn("group", group).repartition("group").write.partitionBy("group").parquet(path)
+    groups: dict[str, list[str]] = {}
+    for name in sorted(spark.read.parquet(path).inputFiles()):
+        groups.setdefault(name.rsplit("/", 2)[1], []).append(name)
+    return list(groups.values())
+
+
+def _pairs_of(files: list[str]) -> Iterator[tuple[str, str]]:
+    for name in files:
+        fs, at = store.opened(name)
+        with fs.open_input_file(at) as f:
+            for batch in pq.ParquetFile(f).iter_batches(batch_size=8192, columns=["window", "item"], use_threads=False):
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+
+
+def _machine(files: list[str]):
+    key = tuple(files)
+    if key not in _machines:
+        _machines.clear()
+        _machines[key] = automaton(_pairs_of(files))
+    return _machines[key]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], at: int, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches that hold about `limit` bytes of texts together; a batch of more is cut."""
+    held, size = [], 0
+    for batch in batches:
+        begin = 0
+        for i, n in enumerate(pc.binary_length(batch.column(at)).to_pylist()):
+            size += n or 0
+            if size > limit:
+                yield [*held, batch.slice(begin, i + 1 - begin)]
+                held, size, begin = [], 0, i + 1
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield held
+
+
+def _scanner(groups: list[list[str]], at: int):
+    def added(texts: list[str | None], order: list[list[str]]) -> list[pa.Array]:
+        counts = [0] * len(texts)
+        runs: dict[int, list[tuple[int, int]]] = {}
+        items: dict[int, set[str]] = {}
+        for files in order:
+            machine = _machine(files)
+            for i, text in enumerate(texts):
+                counts[i], hit, of = occurrences(machine, text)
+                if hit:
+                    runs[i] = _runs(counts[i], runs[i] + hit) if i in runs else hit
+                    items.setdefault(i, set()).update(of)
+        hits = [sum(b - a for a, b in runs.get(i, ())) for i in range(len(texts))]
+        return [
+            pa.array(counts, pa.int64()),
+            pa.array(hits, pa.int64()),
+            pa.array([sorted(items.get(i, ())) for i in range(len(texts))], pa.list_(pa.string())),
+            pa.array([spans_of(t or "", runs.get(i, [])) for i, t in enumerate(texts)], pa.list_(_SPAN)),
+        ]
 
-def _scanner(shared, key: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _machines:
-            _machines.clear()
-            _machines[key] = automaton(shared.value)
-        machine = _machines[key]
-        for batch in batches:
-            names = [n for n in batch.schema.names if n not in ADDED]
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            items = spans = [None] * len(texts)
-            if len(names) < batch.num_columns:
-                items, spans = (batch.column(n).to_pylist() for n in ADDED[2:])
-            found = [scan(machine, *row) for row in zip(texts, spans, strict=True)]
-            added = [
-                pa.array([x[0] for x in found], pa.int64()),
-                pa.array([x[1] for x in found], pa.int64()),
-                pa.array([sorted({*x[2], *(i or ())}) for x, i in zip(found, items, strict=True)], pa.list_(pa.string())),
-                pa.array([x[3] for x in found], pa.list_(_SPAN)),
-            ]
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(kept + added, names=names + ADDED)
+        several = len(groups) > 1
+        order = groups
+        for block in _blocks(batches, at, BLOCK_CHARS) if several else ([b] for b in batches):
+            texts = [b.column(at).to_pylist() for b in block]
+            new = added([t for part in texts for t in part], order)
+            order = order[::-1]  # the next block begins with the automaton that is there
+            begin = 0
+            for batch in block:
+                more = [c.slice(begin, batch.num_rows) for c in new]
+                begin += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *ADDED])
 
     return run
 
 
 def annotate(spark: SparkSession, docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs`, all columns, with those of `ADDED`: number of words, of hit words, the ids of the
+    """`docs`, all columns as `c0, c1, ...`, with those of `ADDED`: number of words, of hit words, the ids of the
     items found (as strings, in order), and the hit runs as spans of the original text."""
-    schema = f"{docs._jdf.schema().toDDL()}, {FOUND}" if docs.columns else FOUND
-    rows = docs
-    for i, group in enumerate(_groups(items)):
-        if i:
-            rows = store.keep(spark, rows, "decontaminate")
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(group), uuid.uuid4().hex, text_col), schema)
-    return rows
+    rows, at = store.numbered(docs), store.place(docs, text_col)
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(FOUND).fields])
+    return rows.mapInArrow(_scanner(window_groups(spark, items), at), schema)
 
 
 def find(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per row of `docs(doc_id, text)` what `annotate` adds, without the text."""
     found = annotate(spark, docs.select("doc_id", "text"), items)
-    return found.select("doc_id", *(F.col(n).alias(n.strip("_")) for n in ADDED))
+    return found.select(F.col("c0").alias("doc_id"), *(F.col(n).alias(n.strip("_")) for n in ADDED))
 
 
 def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
@@ -177,4 +245,4 @@ def report(found: DataFrame) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of `docs`, all columns, that the rule leaves clean; null texts are clean."""
     clean = annotate(spark, docs, items).where(~is_contaminated("__n_hit", "__n_words"))
-    return clean.select(*docs.columns)
+    return clean.drop(*ADDED).toDF(*docs.columns)

@@ -12,7 +12,7 @@ than `short` words stays (`SHORT` unless the caller says otherwise; 1 exempts no
 Templates are compared as 64-bit hashes, so a frequent line is one key whose rows are
 counted before they move. Blank lines stay and do not count. A text that loses nothing is
 returned unchanged; null text stays null; rows without id lose nothing; rows that share an id are one
-document. An empty table gives an empty result. Other columns are passed on.
+document. An empty table gives an empty result. Other columns, whatever their names, are passed on.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docsift.llm import store
 from docsift.llm.pretoken import Hasher, chunked, mix
 
 LEAD, FIELDS, GENERAL, SHORT = 3, 5, 10, 5
+ADDED = ["__n_lines", "__n_dropped", "__blank"]
 _MASK = (1 << 64) - 1
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANK = np.zeros(256, bool)
@@ -136,15 +138,15 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 2, short
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup_lines(
-    spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", short: int = SHORT
-):
-    """`docs`, all columns, with the text that is left, and `__n_lines`, `__n_dropped`, `__blank`:
-    lines with words, those dropped, and whether nothing but blanks is left of a text that lost lines."""
+def _deduped(
+    spark: SparkSession, docs: DataFrame, min_docs: int, id_col: str, text_col: str, short: int
+) -> DataFrame:
+    """`dedup_lines`, with the columns of `docs` as `c0, c1, ...`."""
     lost = dropped_lines(spark, store.text_of(docs, id_col, text_col), min_docs, short)
-    lost = lost.select(F.col("doc_id").alias("__of"), F.col("lines").alias("__lines"))
-    joined = docs.join(lost, F.col(id_col) == F.col("__of"), "left").drop("__of")
-    at = joined.columns.index(text_col)
+    at = store.place(docs, text_col)
+    rows = store.numbered(docs)
+    rows = rows.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
+    joined = rows.join(lost, F.col(f"c{store.place(docs, id_col)}") == F.col("doc_id"), "left").drop("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,5 +169,26 @@ def dedup_lines(
             names = [*batch.schema.names[:-1], "__n_lines", "__n_dropped", "__blank"]
             yield pa.RecordBatch.from_arrays(columns + added, names=names)
 
-    schema = docs.withColumn(text_col, F.col(text_col).cast("string"))._jdf.schema().toDDL()
-    return joined.mapInArrow(run, f"{schema}, __n_lines long, __n_dropped long, __blank boolean")
+    added = StructType.fromDDL("__n_lines long, __n_dropped long, __blank boolean")
+    return joined.mapInArrow(run, StructType([*rows.schema.fields, *added.fields]))
+
+
+def dedup_lines(
+    spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", short: int = SHORT
+) -> DataFrame:
+    """`docs`, all columns, with the text that is left, and `__n_lines`, `__n_dropped`, `__blank`:
+    lines with words, those dropped, and whether nothing but blanks is left of a text that lost lines."""
+    return _deduped(spark, docs, min_docs, id_col, text_col, short).toDF(*docs.columns, *ADDED)
+
+
+def drop_recurring(
+    spark: SparkSession, docs: DataFrame, min_docs: int = 2, id_col: str = "doc_id", text_col: str = "text", short: int = 1,
+    length_col: str | None = None,
+) -> DataFrame:
+    """`docs`, the same columns, with the text that is left, without rows that lost all they had; where lines
+    went, `length_col` is the new length of the text."""
+    left = _deduped(spark, docs, min_docs, id_col, text_col, short).where("NOT __blank")
+    if length_col:
+        n, text = (F.col(f"c{store.place(docs, c)}") for c in (length_col, text_col))
+        left = left.withColumn(f"c{store.place(docs, length_col)}", F.when(F.col("__n_dropped") > 0, F.length(text)).otherwise(n))
+    return left.drop(*ADDED).toDF(*docs.columns)

@@ -334,5 +334,6 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int =
 
 def drop_copies(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Rows of `docs`, all columns, without those that `groups` does not keep."""
-    gone = groups(spark, store.text_of(docs), words, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = groups(spark, store.text_of(docs), words, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    key = F.col(f"c{store.place(docs, 'doc_id')}")
+    return store.numbered(docs).join(gone, key == F.col("gone"), "left_anti").toDF(*docs.columns)

@@ -113,8 +113,9 @@ class Discriminant:
     share: float | None = None  # the score of all, if a class is missing
 
     def margin(self, x: np.ndarray) -> np.ndarray:
+        # Sums row by row: a matrix product rounds a row by its place, and equal texts should score the same.
         density = [
-            c - 0.5 * (((x - m) @ f.T) ** 2).sum(axis=1)
+            c - 0.5 * sum(((x - m) * row).sum(axis=1) ** 2 for row in f)
             for m, f, c in zip(self.mean, self.factor, self.constant, strict=True)
         ]
         return density[1] - density[0]
@@ -256,7 +257,7 @@ def scored(rows: DataFrame, model: Discriminant) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows of `docs`, all columns, that a model fitted to `labels(doc_id, y)` accepts."""
     model = fit(spark, measured(store.text_of(docs, text_col=text_col)), labels)
-    at = docs.columns.index(text_col)
+    at = store.place(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,4 +265,5 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, text_col:
             good = [g for _, part in _rows(texts) for g in (model.score(part) >= THRESHOLD).tolist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = store.numbered(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -56,6 +56,19 @@ def parts_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def place(docs: DataFrame, name: str) -> int:
+    """Where the column `name` stands: the one spelled so, else one that differs in case only."""
+    names = docs.columns
+    return names.index(name) if name in names else [n.lower() for n in names].index(name.lower())
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """All columns as `c0, c1, ...`, so that none of any name (dots, names in use inside, repeated
+    ones) is in the way; `toDF(*docs.columns)` gives the names back."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
+def text_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long") -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table has."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    key, text = (F.col(f"c{place(docs, n)}") for n in (id_col, text_col))
+    return numbered(docs).select(key.cast(id_type).alias("doc_id"), text.cast("string").alias("text"))

@@ -5,8 +5,9 @@ component: its cell among 256 equal ones between the smallest and the largest va
 The edges of the cells bound every inner product from below and above.
 
 A first scan of the cells gives each query a threshold: a score that k vectors reach for
-certain. A second scan takes the vectors whose upper bound is not below it, and reads their exact
-components in the order of the bounds, until the next bound is below the k-th score. A task
+certain. A second scan of the cells takes the vectors whose upper bound is not below it, and reads the exact
+components of those alone, which lie in files beside, in the order of the bounds, until the next bound is
+below the k-th score. A task
 holds its partition of the file and one block of queries at a time, which it reads from the shared folder,
 so that the queries need not fit anywhere. Ties go to the smaller id.
 
@@ -18,6 +19,7 @@ cut to its range. Empty tables give empty results. Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,7 @@ from docsift.llm import store
 
 CELLS = 256
 VECTORS, QUERIES = 1024, 512  # in a block
+NEAR = 4  # exact vectors so many places apart are read together
 _LONG = (1 << 63) - 1
 
 
@@ -107,25 +110,61 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def approximation_file(spark: SparkSession, vectors: DataFrame, bounds) -> DataFrame:
-    """Blocks of the file: length, ids, cells and, beside them, the exact components."""
+    """Blocks of the file: length, ids, cells, and where the exact components of the block begin.
+    Those lie in files of their own beside it, so that a scan of the cells reads none of them."""
+    base = store.folder(spark, "va-exact")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = f"{base}/exact-{uuid.uuid4().hex}"  # of this attempt; only the blocks of a finished one name it
+        out, offset = None, 0
         for batch in batches:
             for ids, m in _by_length(batch):
                 for i in range(0, len(ids), VECTORS):
-                    part = m[i : i + VECTORS]
+                    part = np.ascontiguousarray(m[i : i + VECTORS], "<i8")
                     row = {
                         "n": m.shape[1],
                         "ids": ids[i : i + VECTORS].tobytes(),
                         "cells": cells(part, *bounds[m.shape[1]]).tobytes(),
-                        "exact": np.ascontiguousarray(part).tobytes(),
+                        "path": path,
+                        "offset": offset,
                     }
+                    if out is None:
+                        fs, at = store.opened(path)
+                        out = fs.open_output_stream(at)
+                    out.write(part.tobytes())
+                    offset += part.nbytes
                     yield pa.RecordBatch.from_pylist([row], _FILE)
+        if out is not None:
+            out.close()
 
-    return store.keep(spark, vectors.mapInArrow(run, "n int, ids binary, cells binary, exact binary"), "va-file")
+    return store.keep(spark, vectors.mapInArrow(run, "n int, ids binary, cells binary, path string, offset long"), "va-file")
 
 
-_FILE = pa.schema([("n", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("exact", pa.binary())])
+class _Exact:
+    """Exact vectors of one block; each is read when it is first asked for."""
+
+    def __init__(self, opened: dict, row: dict, size: int):
+        self.opened, self.path, self.offset = opened, row["path"], row["offset"]
+        self.have = np.zeros(size, bool)
+        self.vectors = np.zeros((size, row["n"]), np.int64)
+
+    def __call__(self, at: np.ndarray) -> np.ndarray:
+        missing = np.sort(at[~self.have[at]])
+        width = 8 * self.vectors.shape[1]
+        if len(missing) and width:
+            if self.path not in self.opened:
+                fs, name = store.opened(self.path)
+                self.opened[self.path] = fs.open_input_file(name)
+            for run in np.split(missing, np.flatnonzero(np.diff(missing) > NEAR) + 1):
+                a, b = int(run[0]), int(run[-1]) + 1
+                self.opened[self.path].seek(self.offset + a * width)
+                data = self.opened[self.path].read((b - a) * width)
+                self.vectors[a:b] = np.frombuffer(data, "<i8").reshape(b - a, -1)
+                self.have[a:b] = True
+        return self.vectors[at]
+
+
+_FILE = pa.schema([("n", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("path", pa.string()), ("offset", pa.int64())])
 _ASKED = pa.schema([("n", pa.int32()), ("ids", pa.binary()), ("exact", pa.binary()), ("least", pa.binary())])
 
 
@@ -200,16 +239,18 @@ def _thresholds(files: list[str], bounds, k: int):
 def _search(files: list[str], bounds, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = [r for b in batches for r in b.to_pylist()]
+        opened: dict = {}
         for n, ids, q, least in _asked(files):
             # The k best so far, as (score, id), of every query of the block.
             best: list[list[tuple[int, int]]] = [[] for _ in ids]
             bar = least.copy()
+            scored = [0] * len(ids)
             for row in blocks:
                 if row["n"] != n:
                     continue
                 vec = np.frombuffer(row["ids"], np.int64)
                 low, high = edges(np.frombuffer(row["cells"], np.uint8).reshape(len(vec), n), *bounds[n])
-                exact = np.frombuffer(row["exact"], np.int64).reshape(len(vec), n)
+                exact = _Exact(opened, row, len(vec))
                 upper = _bounds(q, low, high)[1]
                 open_ = (upper >= bar[:, None]) & (ids[:, None] != vec[None, :])
                 for i in np.flatnonzero(open_.any(axis=1)).tolist():
@@ -217,35 +258,49 @@ def _search(files: list[str], bounds, k: int):
                     found = found[np.argsort(-upper[i, found], kind="stable")]
                     for a in range(0, len(found), 4 * k):
                         part = found[a : a + 4 * k]
-                        if upper[i, part[0]] < bar[i]:
+                        part = part[upper[i, part] >= bar[i]]
+                        if not len(part):
                             break
-                        score = products(q[i : i + 1], exact[part])[0]
+                        score = products(q[i : i + 1], exact(part))[0]
+                        scored[i] += len(part)
                         best[i] += zip(score.tolist(), vec[part].tolist(), strict=True)
                         best[i].sort(key=lambda x: (-x[0], x[1]))
                         del best[i][k:]
                         if len(best[i]) == k:
                             bar[i] = max(bar[i], best[i][-1][0])
-            rows = [(int(i), v, s) for i, found in zip(ids, best, strict=True) for s, v in found]
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
+            rows = [
+                (int(ids[i]), v, s, scored[i] if at == 0 else 0)
+                for i, found in enumerate(best)
+                for at, (s, v) in enumerate(found)
+            ]
+            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
+                [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score", "n_scored"]
             )
+        for f in opened.values():
+            f.close()
 
     return run
 
 
-def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """`query_id, rank, vec_id, score` for `queries(query_id, v)` over `vectors(vec_id, v)`."""
+def found_by_task(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """`query_id, vec_id, score, n_scored`: the k best of each task, and, on one row of a query and task, how
+    many exact vectors it took to find them."""
     vectors = store.keep(spark, vectors, "vectors")
     bounds = ranges(vectors)
     file = approximation_file(spark, vectors, bounds)
     asked = store.keep(spark, queries.select("query_id", "v"), "queries")
     files = _query_blocks(spark, asked.withColumn("least", F.lit(-_LONG)))
-    sure = file.mapInArrow(_thresholds(files, bounds, k), "query_id long, least long")
+    sure = file.select("n", "ids", "cells").mapInArrow(_thresholds(files, bounds, k), "query_id long, least long")
     sure = sure.groupBy("query_id").agg(F.max("least").alias("least"))
     known = asked.join(sure, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(-_LONG)))
     files = _query_blocks(spark, known)
-    found = file.mapInArrow(_search(files, bounds, k), "query_id long, vec_id long, score long")
+    return file.mapInArrow(_search(files, bounds, k), "query_id long, vec_id long, score long, n_scored long")
+
+
+def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """`query_id, rank, vec_id, score` for `queries(query_id, v)` over `vectors(vec_id, v)`."""
+    found = found_by_task(spark, vectors, queries, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -2,7 +2,8 @@ import pytest
 
 from docsift.llm import store
 
-CLASH = {"n_tokens": 7, "kept": "x", "size": 1, "key": 2, "mark": 3, "template": 4, "lines": "y", "start": 5, "text2": "z"}
+CLASH = {"n_tokens": 7, "kept": "x", "size": 1, "key": 2, "mark": 3, "template": 4, "lines": "y", "start": 5, "text2": "z",
+         "a.b": 6, "doc_id.text": 7, "__items": 8, "__lines": 9, "__of": 10, "__blank": 11, "gone": 12, "c0": 13, "c`d": 14}
 
 
 @pytest.fixture
@@ -14,7 +15,7 @@ def docs(spark):
         from pyspark.sql import functions as F
 
         df = spark.createDataFrame(list(rows), "doc_id long, text string")
-        return df.withColumns({k: F.lit(v) for k, v in CLASH.items()})
+        return df.select("*", *(F.lit(v).alias(k) for k, v in CLASH.items()))
 
     return make
 

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pyarrow as pa
+
 from docsift.llm import decontaminate
 
 
@@ -61,7 +63,20 @@ def test_against_brute_force(spark, docs):
 
 def test_several_automata_give_the_same(spark, docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "AUTOMATON_CHARS", 150)
-    check(spark, docs, *planted(2))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    rows, items = planted(2)
+    check(spark, docs, rows, items)
+    groups = decontaminate.window_groups(spark, table(spark, [(*i, 1) for i in items]))
+    sizes = [sum(len(w) + len(i) for w, i in decontaminate._pairs_of(g)) for g in groups]
+    assert len(groups) > 5 and max(sizes) < 6 * 150
+
+
+def test_blocks_hold_a_bounded_number_of_characters():
+    texts = [None, "a" * 40, "b" * 70, "c" * 500, "", "é" * 10, "d" * 30]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 3])], names=["t"]) for i in (0, 3, 6)]
+    blocks = [[t for b in block for t in b.column(0).to_pylist()] for block in decontaminate._blocks(iter(batches), 0, 100)]
+    assert [t for b in blocks for t in b] == texts
+    assert [len(b) for b in blocks] == [3, 1, 3]
 
 
 def test_edges(spark, docs, edge_rows):

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from docsift.llm import line_templates as lt
 
 
@@ -102,6 +104,17 @@ def test_edges(spark, docs, edge_rows):
     assert lt.dedup_lines(spark, docs([])).count() == 0
 
 
+def test_drop_recurring_passes_columns_of_any_name(spark, docs):
+    table = docs([(1, "a b c\nown one"), (2, "a b c"), (3, "a b c\nown two"), (None, "a b c"), (4, None), (5, "")])
+    table = table.select("*", F.lit(99).alias("n_chars"))
+    left = lt.drop_recurring(spark, table, length_col="n_chars")
+    assert left.columns == table.columns
+    got = {r["doc_id"]: (r["text"], r["n_chars"], r["a.b"], r["__blank"], r["c0"]) for r in left.collect()}
+    same = (6, 11, 13)
+    assert got == {1: ("a b c\nown one", 99, *same), 3: ("own two", 7, *same), None: ("a b c", 99, *same),
+                   4: (None, 99, *same), 5: ("", 99, *same)}
+
+
 def test_long_texts_are_cut_without_loss():
     text = "\n".join(" ".join(f"v{i}w{j}" if (i + j) % 2 else "word" for j in range(12)) for i in range(9000))
     text_no, line, size, keys = lt.line_keys(["a b c d e f", text, "g h i j k l"])

@@ -3,6 +3,7 @@
 import corpus_pipeline
 import pytest
 from check import connect
+from pyspark.sql import functions as F
 from test_decontaminate import brute as brute_hits
 from test_line_templates import brute as brute_lines
 from test_near_duplicates import brute as brute_groups
@@ -69,3 +70,18 @@ def test_pipeline_of_nothing(spark, sf):
     empty = spark.read.parquet(f"{sf}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_pipeline_passes_columns_of_any_name_and_odd_rows(spark, sf):
+    """Nulls, repeated ids, ties and clashing names through every stage."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    names = {f"{n}": 1 for n in ("a.b", "__items", "__lines", "__of", "__blank", "c0", "gone")}
+    odd = docs.limit(1).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    none = docs.limit(1).withColumn("text", F.lit(None).cast("string"))
+    docs = docs.unionByName(docs.limit(5)).unionByName(odd).unionByName(none)
+    docs = store.keep(spark, docs.select("*", *(F.lit(v).alias(k) for k, v in names.items())), "test-odd")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = store.keep(spark, stage(spark, docs, sf), "test-odd")
+        assert left.columns == docs.columns and 0 < left.count() <= docs.count()
+        docs = left
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()

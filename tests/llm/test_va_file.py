@@ -72,3 +72,22 @@ def test_bounds_hold_and_products_are_exact():
     big = np.array([[1 << 40, 3], [-(1 << 40), 5]])
     assert va_file.products(big, big)[0].tolist() == [(1 << 63) - 1, -((1 << 63) - 1)]
     assert va_file.products(np.array([[1 << 30, 7]]), np.array([[1 << 30, 3]]))[0, 0] == (1 << 60) + 21
+
+
+def test_only_some_exact_vectors_are_read(spark):
+    rng = random.Random(8)
+    rows = wide([(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(3000)])
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int, score int").coalesce(2)
+    vectors = va_file.whole_vectors(table, "vec_id", "embedding")
+    queries = vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    found = va_file.found_by_task(spark, vectors, queries, 10).collect()
+    assert 300 <= sum(r["n_scored"] for r in found) < 0.05 * 30 * 3000
+    file = va_file.approximation_file(spark, vectors, va_file.ranges(vectors))
+    assert file.columns == ["n", "ids", "cells", "path", "offset"]
+    row = file.first()
+    exact = va_file._Exact({}, row, len(row["ids"]) // 8)
+    wanted = np.array([7, 3, 900])
+    by_id = {r["vec_id"]: r["v"] for r in vectors.collect()}
+    ids = np.frombuffer(row["ids"], np.int64)
+    assert exact(wanted).tolist() == [by_id[i] for i in ids[wanted].tolist()]
+    assert exact.have.sum() <= 2 + va_file.NEAR + 1
