@@ -8,9 +8,11 @@
 4. decontaminate: documents with at least a twentieth of their words in benchmark windows go.
 5. bpe: ids of what is left, with the digests that decoding them gives.
 
-Every stage keeps the columns of `documents`; the last returns `doc_id, n_tokens, ids,
-ids_sha256, decoded_sha256`. Null texts are empty texts to the classifier; rows with null id
-pass the stages that go by id.
+Every stage keeps the columns of `documents`, whatever their names; the last returns `doc_id, n_tokens,
+ids, ids_sha256, decoded_sha256`. Null texts are empty texts to the classifier; rows with null id
+pass the stages that go by id; rows that share an id are one document to the lines, one node to the near
+duplicates, and rows of their own otherwise. Of tied texts the smallest id stays. Texts may be of any length; empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -28,10 +30,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_templates.dedup_lines(store.settle(spark), docs, short=1).where("NOT __blank")
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+    length = "n_chars" if "n_chars" in docs.columns else None
+    return line_templates.drop_recurring(store.settle(spark), docs, length_col=length)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
