@@ -3,17 +3,19 @@
 The markup is cut with plain string functions:
 
 1. scripts, styles and comments go;
-2. `<nav>`, `<footer>`, `<div class="ad">` and `<table>` open a region that runs
+2. `<nav>`, `<footer>`, `<div class="ad">` (either quotes) and `<table>` open a region that runs
    to its closing tag, or to the next region; tables stay whole, the other three
    are page furniture;
 3. outside tables every opening block tag starts a new element (closing tags
    are often missing, so they are not relied on);
-4. remaining tags go, entities are decoded, blank pieces are dropped.
+4. remaining tags go, character references are decoded, blank pieces are dropped.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,19 +31,10 @@ CUT, HEAD_END, REGION_OPEN = "\x01", "\x02", "\x03"
 
 INVISIBLE = r"(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)"
 REGION_TAGS = ("nav", "footer", "table", "div")
+AD = r"""<div\s+class\s*=\s*(?:"ad"|'ad')"""
 BLOCK_TAGS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|div|head|body|html"
 
-# Entities that are decoded, `&amp;` last.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-)
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 TYPE_OF_TAG = (
     ("title", "title"),
@@ -61,7 +54,7 @@ def _marked(html: Column) -> Column:
         lowered = F.regexp_replace(lowered, rf"(?i)<(/?){tag}\b", f"<$1{tag}")
     text = F.when(text.rlike("</?[A-Z]"), lowered).otherwise(text)
     text = F.regexp_replace(text, r"<(nav|footer|table)\b", REGION_OPEN + "$1" + HEAD_END + "$0")
-    return F.replace(text, F.lit('<div class="ad"'), F.lit(REGION_OPEN + "ad" + HEAD_END + '<div class="ad"'))
+    return F.regexp_replace(text, AD, REGION_OPEN + "ad" + HEAD_END + "$0")
 
 
 def _regions(marked: Column) -> Column:
@@ -100,12 +93,52 @@ def _cut_blocks(markup: Column) -> Column:
     return F.regexp_replace(images, rf"(?i)<({BLOCK_TAGS})(?:\s[^>]*)?>", f"{CUT}$1{HEAD_END}")
 
 
+def _reference_table() -> dict[str, str]:
+    """Characters by name, as HTML has them, the commonest first, and by number (`#128` on) where HTML reads
+    the number as one of windows-1252. No-break spaces become spaces."""
+    named = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+    numbered = {f"#{i}": bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)}
+    first = {n: named[n] for n in ("amp", "lt", "gt", "quot", "apos", "copy", "middot")}
+    return {"nbsp": " ", "#160": " "} | first | {n: c for n, c in named.items() if n not in ("nbsp", "NonBreakingSpace")} | {
+        "NonBreakingSpace": " "
+    } | numbered
+
+
+def decode_references(text: Column) -> Column:
+    """Character references by name or number, decoded once from left to right; unknown names, and those without
+    semicolon, stay. Numbers that are no characters become U+FFFD."""
+    table = F.from_json(F.lit(json.dumps(_reference_table())), "map<string,string>")
+
+    def numbered(number: Column) -> Column:
+        bad = (number < 1) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        special = F.try_element_at(table, F.concat(F.lit("#"), number.cast("string")))
+        return F.when(bad, "\ufffd").when(number.between(128, 160), special).otherwise(char)
+
+    def char_of(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "[0-9A-Fa-f]+$", 0)
+        return (
+            F.when(ref.rlike("^#[xX]"), numbered(F.conv(digits, 16, 10).cast("bigint")))
+            .when(F.startswith(ref, F.lit("#")), numbered(F.conv(digits, 10, 10).cast("bigint")))
+            .otherwise(F.try_element_at(table, ref))
+        )
+
+    def piece(part: Column, index: Column) -> Column:
+        decoded = let(
+            F.regexp_extract(part, REFERENCE, 1),
+            lambda ref: F.concat(char_of(ref), F.substr(part, F.length(ref) + 2, F.length(part))),
+        )
+        return F.when(index == 0, part).when(
+            part.rlike(REFERENCE), F.coalesce(decoded, F.concat(F.lit("&"), part))
+        ).otherwise(F.concat(F.lit("&"), part))
+
+    whole = F.array_join(F.transform(F.split(text, "&"), piece), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
 def plain(markup: Column) -> Column:
-    """Markup without tags, entities decoded, ends trimmed."""
-    text = F.regexp_replace(markup, r"<[^>]*>", "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(text, F.lit(BLANKS))
+    """Markup without tags, character references decoded, ends trimmed."""
+    return F.trim(decode_references(F.regexp_replace(markup, r"<[^>]*>", "")), F.lit(BLANKS))
 
 
 def parse_elements(pages: DataFrame, path: str, html: str, page: str | None = None) -> DataFrame:

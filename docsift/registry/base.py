@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,14 +58,26 @@ def sign(token: str) -> str:
     return f"(1 - 2 * (CAST('0x' || substr(md5({token}), 9, 1) AS INTEGER) % 2))"
 
 
-def _decoded(text: str) -> str:
-    from docsift.operators.parse import ENTITIES
+def _named() -> str:
+    """The public table of named character references, as a JSON literal of SQL."""
+    table = {n[:-1]: " " if c == "\xa0" else c for n, c in html5.items() if n.endswith(";")}
+    return "'" + json.dumps(table).replace("'", "''") + "'"
+
 
-    out = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
-    for entity, char in ENTITIES:
-        quoted = char.replace("'", "''")
-        out = f"replace({out}, '{entity}', '{quoted}')"
-    return trimmed(out)
+def _decoded(text: str) -> str:
+    """Without tags, references decoded: windows-1252 for 128 to 159, no-break spaces as spaces, U+FFFD for
+    numbers that are no characters."""
+    bare = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
+    ref = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});', 1)"
+    number = (
+        f"CASE WHEN lower({ref}[2:2]) = 'x' THEN CAST('0x' || {ref}[3:] AS BIGINT) ELSE CAST({ref}[2:] AS BIGINT) END"
+    )
+    latin = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
+    char = f"""list_transform([{number}], lambda c: CASE WHEN c < 1 OR c BETWEEN 55296 AND 57343 OR c > 1114111 THEN chr(65533)
+        WHEN c = 160 THEN ' ' WHEN c BETWEEN 128 AND 159 THEN '{latin}'[c - 127 : c - 127] ELSE chr(CAST(c AS INTEGER)) END)[1]"""
+    found = f"CASE WHEN {ref}[1:1] = '#' THEN {char} ELSE json_extract_string({_named()}, '$.\"' || {ref} || '\"') END"
+    piece = f"CASE WHEN i = 1 THEN p WHEN {ref} = '' THEN '&' || p ELSE coalesce({found} || substr(p, length({ref}) + 2), '&' || p) END"
+    return trimmed(f"array_to_string(list_transform(string_split({bare}, '&'), lambda p, i: {piece}), '')")
 
 
 _BLOCKS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|div|head|body|html"
@@ -73,13 +87,13 @@ _BLOCKS = "h1|h2|h3|h4|h5|h6|p|li|title|figure|figcaption|article|section|ul|ol|
 STORED: set[str] = set()  # those that DuckDB should compute once
 PARTS: dict[str, str] = {
     "marked": """
-        SELECT page_id AS path, replace(regexp_replace(
+        SELECT page_id AS path, regexp_replace(regexp_replace(
           regexp_replace(regexp_replace(regexp_replace(regexp_replace(
             regexp_replace(html, '(?is)<script.*?(?:</script>|\\z)|<style.*?(?:</style>|\\z)|<!--.*?(?:-->|\\z)', '', 'g'),
             '(?i)<(/?)nav\\b', '<\\1nav', 'g'), '(?i)<(/?)footer\\b', '<\\1footer', 'g'),
             '(?i)<(/?)table\\b', '<\\1table', 'g'), '(?i)<(/?)div\\b', '<\\1div', 'g'),
           '<(nav|footer|table)\\b', chr(3) || '\\1' || chr(2) || '\\0', 'g'),
-          '<div class="ad"', chr(3) || 'ad' || chr(2) || '<div class="ad"') AS m
+          '<div\\s+class\\s*=\\s*(?:"ad"|''ad'')', chr(3) || 'ad' || chr(2) || '\\0', 'g') AS m
         FROM pages""",
     "sections": """
         SELECT path, s, si, split_part(s, chr(2), 1) AS name,

@@ -209,3 +209,22 @@ def test_bytes_are_streamed_into_the_parser(spark, tmp_path):
     assert {r["path"].rsplit("/", 1)[1] for r in spark.read.parquet(f"{target}/files").collect()} == {"a.html", "b.html", "d.html"}
     with pytest.raises(ValueError, match="outside"):
         ingest.ingest_parsed(spark, inbox, inbox + "/out", progress)
+
+
+def test_character_references_and_quotes(spark):
+    import duckdb
+
+    from docsift.registry import base
+
+    texts = {
+        "caf&eacute; &#8217;x&#x2019;": "café ’x’", "&amp;lt;": "&lt;", "a & b &unknown; &lt": "a & b &unknown; &lt",
+        "a&nbsp;b&#160;c": "a b c", "&#128;": "€", "&#0;&#xD800;&#1114112;": "�" * 3, "&NotEqualTilde;": "≂̸",
+        "&#x1F600;&&amp;&": "😀&&&", "<b>x</b>&gt;": "x>", "": "", "&" * 500 + "lt;": "&" * 499 + "<",
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0]: r[1] for r in rows.select("t", parse.plain(F.col("t"))).collect()} == texts
+    sql = f"SELECT {base._decoded('t')} FROM (SELECT ? AS t)"
+    assert {t: duckdb.connect().execute(sql, [t]).fetchone()[0] for t in texts} == texts
+    page = spark.createDataFrame([(1, "<p>a</p><div class='ad'>buy</div><DIV  class = \"ad\">now</div><p>b</p>")], "id int, html string")
+    got = [(r["region"], r["content"]) for r in parse.parse_elements(page, "id", "html").orderBy("pos").collect()]
+    assert got == [("body", "a"), ("ad", "buy"), ("ad", "now"), ("body", "b")]
