@@ -1,13 +1,14 @@
 """Main text of web pages: structure first, then differences between neighbouring pages.
 
-A page is a sequence of lines, the text of its blocks. Markup settles most of them: what
-lies in scripts, menus, page headers and footers, asides, forms, adverts, notices and comments is
-no main text; where a page declares an article (or, without one, a main part), the main text is
-what lies in it. Lines that markup leaves open, on a page that declares neither, are settled by differencing:
-pages of a host are ordered by path, each is paired with the neighbour that shares more of its path,
-the lines outside articles are aligned by longest common subsequence, and open lines that both have are
-deleted. A neighbour with the same lines throughout is a copy, which tells nothing: the other
-neighbour is taken, or none.
+A page is a sequence of lines, the text of its blocks. Pages of a host are ordered by path, each is paired
+with the neighbour that shares more of its path, and their lines are aligned by longest common subsequence: lines that
+both have are template, the others are the page's own. A neighbour with the same lines throughout is a
+copy, which tells nothing: the other neighbour is taken, or none. Every page goes through this.
+
+Markup then tells what own lines can be: what lies in scripts, menus, page headers and footers, asides, forms, adverts,
+notices and comments is no main text. A declared article, or else a main part, settles the page if it holds at least
+a third of the text that is its own or the page's own elsewhere, and is then taken whole, as copies of a page share their
+articles. A smaller one is a teaser, which settles nothing: the main text is all own lines, wherever they lie.
 
 Character references are decoded, white space in a line becomes one blank, and lines are
 joined by one blank; nothing else is dropped. Null html is empty; pages without host are not
@@ -18,7 +19,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +27,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.llm import store
-from docsift.llm.html_lines import ARTICLE, MAIN, OPEN, lines
+from docsift.llm.html_lines import ARTICLE, BESIDE, MAIN, lines
+
 
+#: A declared part settles a page if so many times its text is no less than the text in question.
+SHARE = 3
 
-def settled(page: list[tuple[str, str]]) -> list[bool | None]:
-    """Whether each line is main text; None where markup leaves it open."""
-    places = {place for _, place in page}
+
+def settled(page: list[tuple[str, str]], template: Collection[int] = ()) -> list[bool]:
+    """Whether each line is main text, given the positions of the lines that the nearest page has too."""
+    shared = set(template)
+    own = [place != BESIDE and i not in shared for i, (_, place) in enumerate(page)]
     for declared in (ARTICLE, MAIN):
-        if declared in places:
+        inside = sum(len(text) for text, place in page if place == declared)
+        beyond = sum(len(text) for (text, place), o in zip(page, own, strict=True) if o and place != declared)
+        if inside and SHARE * inside >= inside + beyond:
             return [place == declared for _, place in page]
-    return [None if place == OPEN else False for _, place in page]
+    return own
 
 
 def _last_row(a: list, b: list) -> np.ndarray:
@@ -80,19 +88,12 @@ def _hash(text: str) -> int:
 
 
 def _outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the lines outside articles, and which of them are open."""
+    """Hashes of the lines."""
     for batch in batches:
-        outside, open_ = [], []
-        for page in batch.column(3).to_pylist():
-            found = lines(page)
-            state = settled(found)
-            rows = [i for i, (_, place) in enumerate(found) if place not in (ARTICLE, MAIN)]
-            outside.append([_hash(found[i][0]) for i in rows])
-            open_.append([state[i] is None for i in rows])
+        hashes = [[_hash(text) for text, _ in lines(page)] for page in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in (0, 1, 2, 4)]
-            + [pa.array(outside, pa.list_(pa.int64())), pa.array(open_, pa.list_(pa.bool_()))],
-            names=["page_id", "host", "path", "mark", "hashes", "open"],
+            [batch.column(i) for i in (0, 1, 2, 4)] + [pa.array(hashes, pa.list_(pa.int64()))],
+            names=["page_id", "host", "path", "mark", "hashes"],
         )
 
 
@@ -117,12 +118,12 @@ def _shared_length(one: str, two: str) -> tuple[int, int]:
 
 
 def template_lines(own: dict, neighbours: list[dict]) -> list[int]:
-    """Positions, among the lines outside articles, of open lines that the nearest neighbour has too."""
+    """Positions of the lines that the nearest neighbour has too."""
     usable = [x for x in neighbours if x["hashes"] and x["hashes"] != own["hashes"]]
     if not usable:
         return []
     nearest = max(usable, key=lambda x: _shared_length(own["path"], x["path"]))
-    return [i for i in common(own["hashes"], nearest["hashes"]) if own["open"][i]]
+    return common(own["hashes"], nearest["hashes"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +153,8 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             found = lines(page)
-            state = settled(found)
-            outside = [i for i, (_, place) in enumerate(found) if place not in (ARTICLE, MAIN)]
-            gone = {outside[i] for i in drop or ()}
-            texts.append(" ".join(t for i, (t, _) in enumerate(found) if state[i] is not False and i not in gone))
+            main = settled(found, drop or ())
+            texts.append(" ".join(t for (t, _), m in zip(found, main, strict=True) if m))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
@@ -167,14 +166,14 @@ def _mark():
 
 
 def templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """`page_id, mark, drop`: for pages that lose open lines, which (`pages(page_id, url, html)`)."""
+    """`page_id, mark, drop`: for pages with template lines, which (`pages(page_id, url, html)`)."""
     bare = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
     bare = F.regexp_replace(F.regexp_replace(bare, r"[?#].*$", ""), r"^//", "")
     host = F.lower(F.substring_index(bare, "/", 1))
     path = F.expr("substring(bare, length(host) + 1)")
     keyed = pages.withColumns({"bare": bare, "mark": _mark()}).withColumn("host", F.lower(F.substring_index("bare", "/", 1)))
     keyed = keyed.withColumn("path", path).select("page_id", "host", "path", "html", "mark")
-    schema = "page_id long, host string, path string, mark long, hashes array<long>, open array<boolean>"
+    schema = "page_id long, host string, path string, mark long, hashes array<long>"
     outlines = store.keep(spark, keyed.where("host <> ''").mapInArrow(_outlined, schema), "page-lines")
 
     order = ["host", "path", "page_id", "mark"]
@@ -193,10 +192,9 @@ def templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
         columns = [F.col(c).alias(f"{c}_{name}") for c in ("host", "path", "hashes")]
         return placed.select((F.col("at") + by).alias("at"), *columns)
 
-    asked = placed.where(F.exists("open", lambda x: x))
-    rows = asked.join(moved(1, "before"), "at", "left").join(moved(-1, "after"), "at", "left")
+    rows = placed.join(moved(1, "before"), "at", "left").join(moved(-1, "after"), "at", "left")
     rows = rows.select(
-        "page_id", "mark", "host", "path", "hashes", "open",
+        "page_id", "mark", "host", "path", "hashes",
         *(f"{c}_{w}" for w in ("before", "after") for c in ("host", "path", "hashes")),
     )
     return rows.mapInArrow(_aligned, "page_id long, mark long, drop array<int>").dropDuplicates(["page_id", "mark"])

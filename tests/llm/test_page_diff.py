@@ -107,3 +107,16 @@ def test_repeated_rows_and_empty_table(spark):
     table = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted(r["text"] for r in page_diff.extract(spark, table).collect()) == ["b", "b", "b", "c"]
     assert page_diff.extract(spark, table.where("false")).count() == 0
+
+
+def test_differencing_decides_where_an_article_is_a_teaser(spark):
+    """A small article that neighbours share goes with their menu, and the body, declared or not, stays."""
+    body = "the story of page {} goes on and on, line after line, to its end"
+    frame = "<p>Menu without a tag</p>{}<article><p>Read also this</p></article><p>Imprint</p>"
+    rows = [(i, f"http://a.example/{i}", frame.format(f"<div>{body.format(i)}</div>")) for i in (1, 2, 3)]
+    rows += [(i, f"http://b.example/{i}", frame.format(f"<main><div>{body.format(i)}</div></main>")) for i in (4, 5)]
+    # Own text beside an article that holds most of it does not count; a copied article stays whole.
+    rows += [(i, f"http://c.example/{i}", f"<p>No {i}</p><article><p>{body.format(0)}</p></article>") for i in (6, 7)]
+    assert {k[0]: v for k, v in extracted(spark, rows).items()} == {
+        **{i: body.format(i) for i in (1, 2, 3, 4, 5)}, 6: body.format(0), 7: body.format(0),
+    }
