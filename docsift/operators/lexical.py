@@ -16,7 +16,6 @@ from docsift.session import counted, small_side
 
 
 _DOCS_PER_STEP = 512
-WORDS_PER_PHRASE = 64  # rows of wanted terms are measured as so many a candidate
 
 
 def _places(order: np.ndarray, pair: np.ndarray, owner: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -164,8 +163,10 @@ def phrases(posts: DataFrame, frequencies: DataFrame, queries: DataFrame, query_
     found = all_terms(posts, frequencies, queries, query_text, small).select("query_id", "key")
     met, n = counted(posts.sparkSession, found, "phrase-candidates")
     asked = queries.select("query_id", F.posexplode(tk.tokens(F.col(query_text))).alias("at", "term"))
-    wanted = met.join(F.broadcast(asked) if small else asked, "query_id")
-    lists = posts.select("key", "term", "tf", "positions").join(small_side(wanted, n * WORDS_PER_PHRASE), ["key", "term"])
+    side = F.broadcast if small else (lambda df: df)
+    # Candidates go to the buckets of their keys, where the postings of the asked terms lie and stay.
+    held = posts.select("key", "term", "tf", "positions").join(side(asked.select("term").distinct()), "term", "left_semi")
+    lists = held.join(small_side(met, n), "key").join(side(asked), ["query_id", "term"])
     each = lists.groupBy("query_id", "key").agg(F.array_sort(F.collect_list(F.struct("tf", "at", "positions"))).alias("lists"))
 
     def starts(x: Column) -> Column:

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -473,3 +474,19 @@ def test_size_quality_of_several_sizes(spark):
         assert got[size]["precision"] == pytest.approx(np.mean(shares), abs=1e-6)
     none = study.size_quality(df, "k", "text", queries, relevant.limit(0), model, sizes).collect()
     assert {(r["n_queries"], r["hit_rate"]) for r in none} == {(0, None)}
+
+
+def test_many_phrase_candidates_leave_the_postings_in_their_buckets(spark, index_name, monkeypatch):
+    docs = {i: f"a b {'c' if i % 2 else 'a b'} d{i}" for i in range(60)}
+    asked = {1: "a b", 2: "b c", 3: "b a b", 4: "a b a b"}
+    rows = spark.createDataFrame(list(docs.items()), "k bigint, text string")
+    index = ix.create_index(rows, index_name, "k", text_col="text", positions=True)
+    monkeypatch.setattr(lexical, "small_side", lambda df, n: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = se.match_phrase(index, spark.createDataFrame(list(asked.items()), "query_id bigint, query_text string"))
+        assert sorted(map(tuple, found.collect())) == brute_phrase(docs, asked)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"hashpartitioning\(key#\d+L?, term#", plan) and "Bucketed: true" in plan
