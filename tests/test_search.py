@@ -490,3 +490,18 @@ def test_many_phrase_candidates_leave_the_postings_in_their_buckets(spark, index
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search(r"hashpartitioning\(key#\d+L?, term#", plan) and "Bucketed: true" in plan
+
+
+def test_postings_come_in_runs_by_term(spark):
+    texts = ["b a c a", None, "c c B", "", "ä z a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k bigint, text string").coalesce(1)
+    got = [tuple(r)[:5] for r in lexical.postings(docs, "k", "text", positions=True).collect()]
+    assert [r[1] for r in got] == ["a", "a", "b", "b", "b", "c", "c", "z", "ä"]
+    assert sorted(got)[:3] == [(0, "a", 2, 4, [1, 2]), (0, "b", 1, 4, [0]), (0, "c", 1, 4, [2])]
+
+
+def test_order_of_pairs_is_stable_however_large():
+    few = np.array([5, 3, 5, 3, 0])
+    for shift in (0, 58):
+        order, pairs = lexical._ordered(few << shift)
+        assert order.tolist() == [4, 1, 3, 0, 2] and (pairs == (few << shift)[order]).all()
