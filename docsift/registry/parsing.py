@@ -51,7 +51,8 @@ def read_binary_files(spark, sf):
 
 @query("read_files_sql")
 def read_files_sql(spark, sf):
-    return spark.sql(files.read_files_sql(sf, "path, length, octet_length(content) AS n_bytes"))
+    pieces = files.read_pieces(spark.sql(files.read_files_sql(sf)))
+    return pieces.groupBy("path", "length").agg(F.sum(F.octet_length("content")).alias("n_bytes"))
 
 
 @query("list_files")

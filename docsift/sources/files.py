@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PIECE_BYTES = 1 << 25
+
 
 def _binary(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -26,6 +34,28 @@ def read_files_sql(path: str, columns: str = "path, length") -> str:
     return f"SELECT {columns} FROM binaryFile.`{quoted}`"
 
 
+def read_pieces(listed: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """`path, length, start, content`: the whole content of the files `listed(path, length)` in pieces, each read by the task
+    that its row goes to. So a file may be of any size; one of no bytes has one empty piece."""
+    step = F.lit(piece_bytes).cast("bigint")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), step)
+    cut = listed.select("path", "length", F.explode(starts).alias("start"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for i, row in enumerate(batch.to_pylist()):
+                system, path = fs.FileSystem.from_uri(quote(row["path"], safe="/:@"))
+                with system.open_input_file(path) as file:
+                    content = file.read_at(min(piece_bytes, row["length"] - row["start"]), row["start"])
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array([content], pa.binary())], [*one.schema.names, "content"])
+
+    dealt = cut.repartition(max(1, cut.count()), "path", "start")
+    return dealt.mapInArrow(read, "path string, length bigint, start bigint, content binary")
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Parquet chunks straight into a distributed DataFrame."""
     return spark.read.parquet(path)

@@ -228,3 +228,28 @@ def test_character_references_and_quotes(spark):
     page = spark.createDataFrame([(1, "<p>a</p><div class='ad'>buy</div><DIV  class = \"ad\">now</div><p>b</p>")], "id int, html string")
     got = [(r["region"], r["content"]) for r in parse.parse_elements(page, "id", "html").orderBy("pos").collect()]
     assert got == [("body", "a"), ("ad", "buy"), ("ad", "now"), ("body", "b")]
+
+
+def test_files_are_read_in_pieces(spark, tmp_path):
+    """A large file is dealt to tasks, and its pieces are all of it."""
+    folder = tmp_path / "a b%20ü"
+    folder.mkdir()
+    contents = {"big #1.bin": bytes(range(256)) * 40, "small.bin": b"xyz", "even.bin": b"0" * 2000}
+    for name, content in contents.items():
+        (folder / name).write_bytes(content)
+    pieces = files.read_pieces(files.list_files(spark, str(folder)), 1000).collect()
+    assert max(len(r["content"]) for r in pieces) == 1000
+    for name, content in contents.items():
+        own = sorted((r["start"], r["content"], r["length"]) for r in pieces if r["path"].endswith("/" + name))
+        assert b"".join(c for _, c, _ in own) == content and {n for *_, n in own} == {len(content)}
+        assert len(own) == -(-len(content) // 1000)
+
+
+def test_file_sizes_are_summed_over_pieces(spark, tmp_path, monkeypatch):
+    from docsift.registry import parsing
+
+    (tmp_path / "one.bin").write_bytes(b"a" * 2500)
+    cuts, real = [], files.read_pieces
+    monkeypatch.setattr(files, "read_pieces", lambda listed: cuts.append(1) or real(listed, 1000))
+    assert [(r["length"], r["n_bytes"]) for r in parsing.read_files_sql(spark, str(tmp_path)).collect()] == [(2500, 2500)]
+    assert cuts
