@@ -13,7 +13,7 @@ from docsift.operators.embed import HashedModel
 from docsift.plans import index as ix
 from docsift.registry.base import load, query, toks, with_parts
 from docsift.session import fresh_path, scratch_database
-from docsift.sources import tables
+from docsift.sources import files, tables
 from docsift.streaming import ingest, sync
 
 _built: dict[tuple[str, str, str], object] = {}
@@ -260,11 +260,11 @@ def ingest_parsed(spark, sf):
     """Pages as files of bytes, streamed into the parser some at a time."""
     inbox, target = fresh_path(spark, "inbox"), fresh_path(spark, "ingested")
     pages = load(spark, sf, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").text(inbox)  # one file a page
-    half = max(1, -(-pages.count() // 2))
-    ingest.ingest_parsed(spark, inbox, target, fresh_path(spark, "progress"), "*.txt", half)
+    n_files = files.write_texts(pages, "page_id", "html", inbox, "page_id=")
+    some = min(max(1, -(-n_files // 2)), 100_000)
+    ingest.ingest_parsed(spark, inbox, target, fresh_path(spark, "progress"), "*.txt", some)
     elements = spark.read.parquet(f"{target}/elements")
-    page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint")
+    page = F.regexp_extract("path", r"page_id=(-?\d+)", 1).try_cast("bigint")
     return elements.select(page.alias("path"), "page", "pos", "type", "region", "level", "content")
 
 

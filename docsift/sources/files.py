@@ -6,9 +6,11 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILES_PER_FOLDER = 1000
 PIECE_BYTES = 1 << 25
 
 
@@ -56,6 +58,48 @@ def read_pieces(listed: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     return dealt.mapInArrow(read, "path string, length bigint, start bigint, content binary")
 
 
+def write_texts(rows: DataFrame, key: str, text: str, folder: str, prefix: str) -> int:
+    """One file `<prefix><key>.txt` a key below `folder`, and how many there are: its texts, each ended by a newline; a null
+    text is an empty line, a null key an empty name.
+
+    A task fills folders of its own with some hundred files each, so that listing them is not a call a file.
+    Files get their names once they are whole: a task that runs again replaces them.
+    """
+    spark = rows.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    slim = rows.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(uri)
+        task = TaskContext.get()
+        own, open_key, out, n = f"{root}/part-{task.partitionId()}", None, None, 0
+        unfinished = f"{own}/attempt-{task.taskAttemptId()}.unfinished"
+
+        def close() -> None:
+            out.close()
+            system.move(unfinished, f"{own}/{prefix}{quote(open_key or '', safe='')}.txt")
+
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                if out is None or name != open_key:
+                    if out is None:
+                        system.create_dir(own, recursive=True)
+                    else:
+                        close()
+                    open_key, out, n = name, system.open_output_stream(unfinished), n + 1
+                out.write((content or b"") + b"\n")
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    parts = max(1, -(-slim.count() // FILES_PER_FOLDER))
+    placed = slim.repartition(parts, "key").sortWithinPartitions("key", "text")
+    return placed.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Parquet chunks straight into a distributed DataFrame."""
     return spark.read.parquet(path)

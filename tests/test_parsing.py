@@ -253,3 +253,34 @@ def test_file_sizes_are_summed_over_pieces(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "read_pieces", lambda listed: cuts.append(1) or real(listed, 1000))
     assert [(r["length"], r["n_bytes"]) for r in parsing.read_files_sql(spark, str(tmp_path)).collect()] == [(2500, 2500)]
     assert cuts
+
+
+def test_texts_as_files_share_folders(spark, tmp_path):
+    """One file a key, in few folders; texts of a key follow each other, a null one is an empty line."""
+    rows = [(i, f"<p>ü{i}\nx") for i in range(2500)] + [(7, "again"), (-3, "below"), (9000, None), (None, "none")]
+    table = spark.createDataFrame(rows, "id bigint, html string").repartition(4)
+    target = str(tmp_path / "out")
+    assert files.write_texts(table, "id", "html", target, "page_id=") == 2503
+    found = {r["path"]: bytes(r["content"]) for r in files.read_files(spark, target, "*.txt").collect()}
+    assert len(found) == 2503 and len({p.rsplit("/", 1)[0] for p in found}) <= 3
+    by_name = {p.rsplit("/", 1)[1]: c.decode() for p, c in found.items()}
+    assert by_name["page_id=8.txt"] == "<p>ü8\nx\n" and by_name["page_id=-3.txt"] == "below\n"
+    assert by_name["page_id=7.txt"] == "<p>ü7\nx\nagain\n"
+    assert by_name["page_id=9000.txt"] == "\n" and by_name["page_id=.txt"] == "none\n"
+    assert not list((tmp_path / "out").glob("*/*.unfinished"))
+
+
+def test_listing_tasks_are_bounded_while_a_stream_runs(spark, tmp_path, monkeypatch):
+    from docsift.streaming import ingest
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.html").write_text("<p>x")
+    before, seen, real = spark.conf.get(ingest.LISTING), [], parse.parse_elements
+
+    def looked(*args):
+        seen.append(spark.conf.get(ingest.LISTING))
+        return real(*args)
+
+    monkeypatch.setattr(ingest.parse, "parse_elements", looked)
+    ingest.ingest_parsed(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "progress"), "*.html")
+    assert seen == [str(ingest.LISTING_TASKS)] and spark.conf.get(ingest.LISTING) == before
