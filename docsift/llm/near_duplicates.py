@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from docsift.llm import setsketch, store
 from docsift.llm.components import components
 from docsift.llm.shingles import set_key, shingle_sets
+from docsift.session import small_side
 
 ROWS, BANDS, REGISTERS = 5, 34, 173  # REGISTERS: the next prime
 PER_BLOCK = 256  # members of a block
@@ -152,12 +153,12 @@ class _Search:
 
 
 def _caps(sets: DataFrame) -> DataFrame:
-    """`rep, key, cap`: how many of its shingles a candidate may share with another one."""
+    """`rep, key, size, cap`: how many of its shingles a candidate may share with another one."""
     each = sets.select("rep", "key", F.explode("shingles").alias("s"))
     alone = each.groupBy("s").agg(F.count("*").alias("n"), F.min(F.struct("rep", "key")).alias("of")).where("n = 1")
     own = alone.groupBy("of.rep", "of.key").agg(F.count("*").alias("alone"))
     return sets.select("rep", "key", "size").join(own, ["rep", "key"], "left").select(
-        "rep", "key", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("cap")
+        "rep", "key", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("cap")
     )
 
 
@@ -251,17 +252,15 @@ def links(spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int,
     sets = texts.select("doc_id", "text").mapInArrow(_signatures(words, True), f"{SIGNATURE}, shingles array<long>")
     sets = sets.where("size > 0").withColumnRenamed("doc_id", "rep").drop("key2")
     sets = store.keep(spark, sets.dropDuplicates(["rep", "key"]), "candidate-sets")
-    return _resolved(spark, _Search(spark, sets, percent), buckets)
+    return _resolved(spark, _Search(spark, sets, percent), buckets, n_chosen)
 
 
-def _resolved(spark: SparkSession, search: _Search, buckets: DataFrame) -> DataFrame:
+def _resolved(spark: SparkSession, search: _Search, buckets: DataFrame, n_chosen: int) -> DataFrame:
     caps = store.keep(spark, _caps(search.sets), "caps")
     p = search.percent
     # The partner that asks least is the smallest that a link allows.
-    able = caps.join(search.sets.select("rep", "key", "size"), ["rep", "key"]).where(
-        (100 + p) * F.col("cap") >= p * (F.col("size") + F.ceil(p * F.col("size") / 100))
-    )
-    live = store.keep(spark, buckets.drop("size").join(able, ["rep", "key"]), "live-buckets")
+    able = caps.where((100 + p) * F.col("cap") >= p * (F.col("size") + F.ceil(p * F.col("size") / 100)))
+    live = store.keep(spark, buckets.drop("size").join(small_side(able, n_chosen), ["rep", "key"]), "live-buckets")
     hubs = live.groupBy("bucket").agg(F.min(F.struct("rep", "key", "size", "cap")).alias("hub"))
     stars = live.join(hubs, "bucket").where("rep > hub.rep").where(
         search.can_link("cap", "hub.cap", "size", "hub.size")
@@ -274,15 +273,17 @@ def _resolved(spark: SparkSession, search: _Search, buckets: DataFrame) -> DataF
 
     component = store.keep(spark, components(spark, found), "components")
     cluster = components(spark, likely).withColumnRenamed("component", "cluster")
+    # Both name members of `able` only, so they are few if those are.
     nodes = live.select("rep", "key", "size", "cap").distinct()
-    nodes = nodes.join(component.withColumnRenamed("node", "rep"), "rep", "left").join(
-        cluster.withColumnRenamed("node", "rep"), "rep", "left"
+    nodes = nodes.join(small_side(component.withColumnRenamed("node", "rep"), n_chosen), "rep", "left").join(
+        small_side(cluster.withColumnRenamed("node", "rep"), n_chosen), "rep", "left"
     )
     nodes = store.keep(
         spark,
         nodes.withColumns({"component": F.coalesce("component", "rep"), "cluster": F.coalesce("cluster", "rep")}),
         "nodes",
     )
+    nodes = store.packed(nodes, n_chosen)
     inside = _inside(search, nodes.select("rep", "key", "cluster", "component"))
 
     places = live.select("bucket", "rep", "key").join(nodes, ["rep", "key"])

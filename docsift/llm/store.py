@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from docsift.session import fresh_path
 
+ROWS_A_TASK = 1 << 17  # rows of some whole numbers that one task groups and joins
+
 
 def _hadoop(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -28,6 +30,12 @@ def keep(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, n_rows: int) -> DataFrame:
+    """`df`, whose rows are a few numbers each and were counted, in as many partitions as they need. Where one
+    is enough, grouping and joining them takes no shuffles; more are shuffled as usual."""
+    return df.coalesce(max(1, -(-n_rows // ROWS_A_TASK)))
+
+
 def drop(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files that a DataFrame made by `keep` reads, once it is used up."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from docsift.llm import near_duplicates, setsketch
+from docsift.llm import near_duplicates, setsketch, store
 from docsift.llm.components import components
 from docsift.llm.shingles import shingle_sets
 
@@ -144,3 +144,22 @@ def test_components(spark):
     got = components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {n: label[n] for n in nodes}
     assert len(got) == len(nodes)
+
+
+def test_rounds_over_few_edges_take_no_shuffle(spark, monkeypatch):
+    """Edges from many partitions: each round of shrinking stars is one stage, of as many tasks as the edges need."""
+    plans, real = [], store.keep
+    monkeypatch.setattr(store, "keep", lambda s, df, label: (plans.append(df._jdf.queryExecution().toString()), real(s, df, label))[1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long").repartition(20)
+    got = components(spark, edges).collect()
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(301)]
+    assert len(plans) > 2 and not any("Exchange hashpartitioning" in p for p in plans[1:])
+
+
+@pytest.mark.parametrize("rows_a_task", [1, 16])
+def test_groups_over_many_tasks(spark, docs, rows_a_task, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "PER_BLOCK", 8)
+    monkeypatch.setattr(store, "ROWS_A_TASK", rows_a_task)
+    rows = family(5)
+    got = near_duplicates.groups(spark, docs(rows), words=4).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows, 4, 80))
