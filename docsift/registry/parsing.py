@@ -45,8 +45,7 @@ def sample_rows(spark, sf):
 
 @query("read_binary_files")
 def read_binary_files(spark, sf):
-    rows = files.read_files(spark, sf, "*.parquet")
-    return rows.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return files.sha256_of(spark, sf, "*.parquet")
 
 
 @query("read_files_sql")

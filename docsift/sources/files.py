@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 FILES_PER_FOLDER = 1000
 PIECE_BYTES = 1 << 25
+WHOLE_BYTES = 1 << 28  # of the largest file that one task hashes, and of the part of a larger one that it takes
 
 
 def _binary(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
@@ -58,6 +60,74 @@ def read_pieces(listed: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     return dealt.mapInArrow(read, "path string, length bigint, start bigint, content binary")
 
 
+def _hash_part(length: int, begin: int, state: bytes | None, file, n: int) -> tuple[bytes | None, str | None]:
+    """SHA-256 of a file carried on by `n` bytes from `begin`: its state there, or at the end of the file the digest.
+
+    The library behind hashlib keeps its state in 112 plain bytes (`SHA256_CTX`), which hashlib itself does not hand out.
+    """
+    import _hashlib
+
+    sha, context = ctypes.CDLL(_hashlib.__file__), ctypes.create_string_buffer(state or b"", 112)
+    if state is None:
+        sha.SHA256_Init(context)
+    file.seek(begin)
+    end = min(begin + n, length)
+    while begin < end:
+        content = file.read(min(PIECE_BYTES, end - begin))
+        if not content:
+            raise EOFError(f"a file of {length} bytes ended at {begin}")
+        sha.SHA256_Update(context, content, ctypes.c_size_t(len(content)))
+        begin += len(content)
+    if end < length:
+        return context.raw, None
+    digest = ctypes.create_string_buffer(32)
+    sha.SHA256_Final(digest, context)
+    return None, digest.raw.hex()
+
+
+def sha256_in_parts(listed: DataFrame, part_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """`path, length, sha256` of the whole files `listed(path, length)`, of any size. The hash runs over a file in order, so
+    its parts are read one after the other, each by a task of its own that hands the state on to the next."""
+    n_files, longest = listed.agg(F.count("*"), F.coalesce(F.max("length"), F.lit(0))).first()
+    none = F.lit(None)
+    rows = listed.select("path", "length", none.cast("binary").alias("state"), none.cast("string").alias("sha256"))
+
+    def part(begin: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            for batch in batches:
+                states, digests = [], []
+                for row in batch.to_pylist():
+                    found = row["state"], row["sha256"]
+                    if row["sha256"] is None:
+                        system, path = fs.FileSystem.from_uri(quote(row["path"], safe="/:@"))
+                        with system.open_input_file(path) as file:
+                            found = _hash_part(row["length"], begin, row["state"], file, part_bytes)
+                    states.append(found[0])
+                    digests.append(found[1])
+                done = [*batch.columns[:2], pa.array(states, pa.binary()), pa.array(digests, pa.string())]
+                yield pa.RecordBatch.from_arrays(done, names=batch.schema.names)
+
+        return run
+
+    for begin in range(0, max(1, longest), part_bytes):
+        # Four times as many tasks as files, so that few of them meet in one.
+        rows = rows.repartition(max(1, 4 * n_files), "path").mapInArrow(part(begin), rows.schema)
+    return rows.select("path", "length", "sha256")
+
+
+def sha256_of(spark: SparkSession, path: str, glob: str | None = None, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """`path, length, sha256` of whole files. Those of up to `whole_bytes` come through Spark's reader, one task a file;
+    of a larger one no task reads more than that."""
+    small = F.col("length") <= whole_bytes
+    whole = read_files(spark, path, glob).where(small).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = list_files(spark, path, glob).where(~small)
+    if large.isEmpty():
+        return whole
+    return whole.unionByName(sha256_in_parts(large.select("path", "length"), whole_bytes))
+
+
 def write_texts(rows: DataFrame, key: str, text: str, folder: str, prefix: str) -> int:
     """One file `<prefix><key>.txt` a key below `folder`, and how many there are: its texts, each ended by a newline; a null
     text is an empty line, a null key an empty name.

@@ -245,6 +245,23 @@ def test_files_are_read_in_pieces(spark, tmp_path):
         assert len(own) == -(-len(content) // 1000)
 
 
+@pytest.mark.parametrize("limit", [64, 1000, 1 << 20])
+def test_large_files_are_hashed_by_several_tasks(spark, tmp_path, limit):
+    """Digests are those of whole files, whatever one task may take; Spark's reader gives the small ones only."""
+    import hashlib
+
+    contents = {"big #1.bin": bytes(range(256)) * 3 + b"x",
+                "ü b%20.bin": b"0" * 2000, "small.bin": b"xyz", "even.bin": b"1" * 1000}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    found = files.sha256_of(spark, str(tmp_path), "*.bin", limit)
+    got = {r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"]) for r in found.collect()}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+    assert found.dtypes == [("path", "string"), ("length", "bigint"), ("sha256", "string")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == (-(-2000 // limit) if limit < 2000 else 0)
+
+
 def test_file_sizes_are_summed_over_pieces(spark, tmp_path, monkeypatch):
     from docsift.registry import parsing
 
