@@ -18,6 +18,20 @@ from docsift.session import counted, small_side
 _DOCS_PER_STEP = 512
 
 
+def _steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, _DOCS_PER_STEP):
+        yield batch.slice(start, _DOCS_PER_STEP)
+
+
+def _words(lines: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The tokens of token lines, and the row that each is from."""
+    lists = pc.split_pattern(lines, " ")
+    owner = np.repeat(np.arange(len(lines)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    words = pc.list_flatten(lists)
+    full = pc.not_equal(words, "")
+    return owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
+
+
 def _places(order: np.ndarray, owner: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Per pair the places of its term in the document: the first, then the steps from each to the next."""
     first_token = np.searchsorted(owner, np.arange(owner[-1] + 1))
@@ -43,13 +57,8 @@ def _count_terms(positions: bool):
         """Rows of (key, token line, carried columns) to rows of (key, term, tf, doc_len, carried, positions),
         by term within some documents: a writer that sorts by term merges a few runs."""
         for whole in batches:
-            for start in range(0, whole.num_rows, _DOCS_PER_STEP):
-                docs = whole.slice(start, _DOCS_PER_STEP)
-                lists = pc.split_pattern(docs.column(1), " ")
-                owner = np.repeat(np.arange(docs.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-                words = pc.list_flatten(lists)
-                full = pc.not_equal(words, "")
-                owner, words = owner[full.to_numpy(zero_copy_only=False)], words.filter(full)
+            for docs in _steps(whole):
+                owner, words = _words(docs.column(1))
                 if len(words) == 0:
                     continue
                 coded = words.dictionary_encode()
@@ -100,6 +109,32 @@ def postings(
     return spread.select("key", tk.token_line(F.col("_text")).alias("_line"), *carry).mapInArrow(_count_terms(positions), schema)
 
 
+def _signed_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (token line, sign) to rows of (term, sum of the signs of the rows that hold it), step by step."""
+    for whole in batches:
+        for docs in _steps(whole):
+            owner, words = _words(docs.column(0))
+            if len(words) == 0:
+                continue
+            coded = words.dictionary_encode()
+            held = np.sort(coded.indices.to_numpy().astype(np.int64) * docs.num_rows + owner)
+            held = held[np.r_[True, held[1:] != held[:-1]]]
+            sign = docs.column(1).to_numpy(zero_copy_only=False)[held % docs.num_rows]
+            df = np.bincount(held // docs.num_rows, weights=sign, minlength=len(coded.dictionary)).astype(np.int64)
+            moved = np.flatnonzero(df)
+            yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(moved)), pa.array(df[moved])], names=["term", "df"])
+
+
+def frequency_changes(docs: DataFrame, text_col: str, sign_col: str) -> DataFrame:
+    """`term, df`: by how much the rows of `docs`, which count by their sign, change document frequencies.
+
+    Rows are summed up where they are tokenised, so that what is grouped by term follows the vocabulary, not the postings.
+    """
+    lines = docs.select(tk.token_line(F.col(text_col)).alias("_line"), F.col(sign_col).cast("bigint").alias("_sign"))
+    parts = lines.mapInArrow(_signed_frequencies, "term string, df bigint")
+    return parts.groupBy("term").agg(F.sum("df").alias("df")).filter(F.col("df") != 0)
+
+
 def places(steps: Column) -> Column:
     """Absolute places from the stored steps, ascending."""
 

@@ -396,10 +396,8 @@ def apply_changes(
     _write_digests(index, dg.leaves(signed, _leaf(index, F.col(key)), "_mark", F.col("d")), seg)
     if info["text_col"]:
         _write_postings(index, new_rows, seg, n_new)
-        both = gone.select(key, *text, F.lit(-1).alias("d")).unionByName(new_rows.select(key, *text, F.lit(1).alias("d")))
-        held = lexical.postings(both, key, info["text_col"], ["d"])
-        moved = held.groupBy("term").agg(F.sum("d").alias("df")).filter(F.col("df") != 0)
-        _append(index, moved, "terms", seg)
+        both = gone.select(*text, F.lit(-1).alias("d")).unionByName(new_rows.select(*text, F.lit(1).alias("d")))
+        _append(index, lexical.frequency_changes(both, info["text_col"], "d"), "terms", seg)
     if info["dim"]:
         vectors = written(spark, _vector_rows(index, puts), "vectors")
         _require_vectors(vectors, info["dim"])

@@ -1,9 +1,11 @@
 """Build plus changes must equal a fresh build; replays must change nothing."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docsift.operators import changes as ch
+from docsift.operators import lexical
 from docsift.operators.embed import HashedModel
 from docsift.plans import index as ix
 from docsift.plans import search as se
@@ -252,3 +254,18 @@ def test_types_of_the_source_do_not_matter(spark, index_name):
     assert state(empty) == state(index)
     ix.sync(empty, narrow.limit(0))
     assert empty.info["n_docs"] == 0 and empty.live("rows").count() == 0
+
+
+def test_frequency_changes_are_summed_where_rows_are_tokenised(spark, monkeypatch):
+    """One row per term and step, not per posting; steps of any size give the same sums."""
+    texts = [("a b a", 1), ("b c", 1), (None, 1), ("", -1), ("B d", -1), ("e", -1), ("e f", 1)]
+    docs = spark.createDataFrame(texts, "text string, d int").coalesce(1)
+    monkeypatch.setattr(lexical, "_DOCS_PER_STEP", 1)
+    small = lexical.frequency_changes(docs, "text", "d")
+    monkeypatch.undo()
+    whole = lexical.frequency_changes(docs, "text", "d")
+    assert small.dtypes == whole.dtypes == [("term", "string"), ("df", "bigint")]
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(map(tuple, whole.collect())) == [("a", 1), ("b", 1), ("c", 1), ("d", -1), ("f", 1)]
+    lines = pa.RecordBatch.from_pydict({"line": ["a b a", "b c"] * 500, "sign": [1] * 1000})
+    assert sum(b.num_rows for b in lexical._signed_frequencies(iter([lines]))) == 6  # two steps of 512
