@@ -269,3 +269,53 @@ def test_frequency_changes_are_summed_where_rows_are_tokenised(spark, monkeypatc
     assert sorted(map(tuple, whole.collect())) == [("a", 1), ("b", 1), ("c", 1), ("d", -1), ("f", 1)]
     lines = pa.RecordBatch.from_pydict({"line": ["a b a", "b c"] * 500, "sign": [1] * 1000})
     assert sum(b.num_rows for b in lexical._signed_frequencies(iter([lines]))) == 6  # two steps of 512
+
+
+def test_tasks_write_postings_as_files_of_the_table(spark, index_name, monkeypatch):
+    """Files of one bucket each, by term, are moved into the table: rows do not go back to Spark to be sorted and written."""
+    import glob
+    import os
+
+    monkeypatch.setattr(ix, "DOCS_PER_BUCKET", 8)
+    monkeypatch.setattr(lexical, "TEXT_PER_FILE", 120)
+    plans, write = [], ix._append
+
+    def noted(idx, df, part, *args, **more):
+        if part == "postings":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(idx, df, part, *args, **more)
+
+    monkeypatch.setattr(ix, "_append", noted)
+    words = ["b a b", "Ä b", None, "", "c a", "zebra b c"]
+    rows = [(i, f"{words[i % 6]} x{i % 11}" if words[i % 6] else words[i % 6], None if i % 7 == 0 else "g") for i in range(90)]
+    index = ix.create_index(frame(spark, rows), index_name, "id", text_col="text", filter_columns=["tag"], positions=True)
+    assert index.info["n_buckets"] == 12
+    later = [(i, t + " new" if t and i % 2 else t, g) for i, t, g in rows if i % 5]
+    ix.sync(index, frame(spark, later))
+    monkeypatch.undo()
+    assert len(plans) == 3 and not any("MapInArrow" in p for p in plans[1:])  # the first makes the empty table
+    got = index.live("postings").drop("_seg")
+    want = lexical.postings(frame(spark, later), "id", "text", ["tag"], positions=True)
+    shown = lambda df: sorted(df.collect(), key=lambda r: (r["key"], r["term"]))
+    assert shown(got) == shown(want)
+    assert shown_terms(index.frequencies()) == shown_terms(lexical.document_frequency(want))
+    bucket = F.pmod(F.hash("key"), F.lit(12)).alias("b")
+    root = spark.sql(f"DESCRIBE TABLE EXTENDED {index.table('postings')}").filter("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    files = glob.glob(f"{root}/_seg=0/*.parquet")
+    assert len(files) > 12 and not [f for f in os.listdir(root) if f.startswith(".files-")]
+    for file in files:
+        held = spark.read.parquet(file).select(bucket, "term").collect()
+        assert {r["b"] for r in held} == {int(file.split("_")[-1].split(".")[0])}
+        assert [r["term"] for r in held] == sorted(r["term"] for r in held)
+
+
+def shown_terms(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_postings_with_a_column_that_spark_alone_writes(spark, index_name):
+    rows = frame(spark, START).withColumn("tags", F.array("tag"))
+    index = ix.create_index(rows, index_name, "id", text_col="text", filter_columns=["tags"])
+    want = lexical.postings(rows, "id", "text", ["tags"])
+    assert shown_terms(index.live("postings").drop("_seg")) == shown_terms(want)
+    assert shown_terms(index.frequencies()) == shown_terms(lexical.document_frequency(want))
