@@ -35,7 +35,7 @@ def size_quality(
     spark, n = docs.sparkSession, len(sizes)
     pieces = chunked_at(docs, key, text, sizes)
     vectors = pieces.select(
-        F.concat_ws("#", "option", key, "pos").alias("key"), model.column(F.col("chunk")).alias("vector"), F.array(F.col("option").cast("long")).alias("bands")
+        F.concat_ws("#", "option", key, "pos").alias("key"), model.column(F.col("chunk")).alias("vector"), F.col("option").alias("cell")
     )
     judged = relevant.select("query_id", F.col("key").alias("_doc")).distinct()
     judged, n_judged = counted(spark, judged, "relevant")
@@ -43,9 +43,10 @@ def size_quality(
     asked, n_queries = counted(spark, asked.select("query_id", model.column(F.col("query_text")).alias("vector")), "asked")
     option = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     each = asked.withColumn("option", option).select(
-        (F.col("query_id") * n + F.col("option")).alias("query_id"), "vector", F.array(F.col("option").cast("long")).alias("bands")
+        (F.col("query_id") * n + F.col("option")).alias("query_id"), "vector", F.array("option").alias("probes")
     )
-    hits = topk.nearest(vectors, each, k, within="bands")
+    # An option is a cell: its chunks are scored by one matrix product with the queries, not query by query.
+    hits = topk.nearest(vectors, each, k, within="cells")
     parts = F.split("key", "#")
     hits = hits.select(
         F.floor(F.col("query_id") / n).cast("long").alias("query_id"), parts[0].cast("int").alias("option"), parts[1].cast(docs.schema[key].dataType).alias("_doc")

@@ -531,3 +531,35 @@ def test_cells_are_fitted_to_a_bounded_sample(spark, index_name, monkeypatch):
         se.search(index, asking, se.SearchSpec((), 10, nprobe=n)).withColumnRenamed("id", "key") for n in (None, 6)
     )
     assert rank.recall(found, exact).agg(F.avg("recall")).first()[0] >= 0.9
+
+
+def test_vectors_of_a_model_are_computed_once(spark):
+    """A search over vectors that a model computes runs the model once a row; null vectors are no hits."""
+    docs = spark.createDataFrame([(i, None if i % 3 == 0 else f"a b w{i}") for i in range(40)], "key bigint, text string")
+    vectors = docs.select("key", F.when(F.col("text").isNotNull(), embed.HashedModel(16).column(F.col("text"))).alias("vector"))
+    asked = spark.createDataFrame([(1, "a b w4")], "query_id bigint, text string").select("query_id", embed.HashedModel(16).column(F.col("text")).alias("vector"))
+    found = topk.nearest(vectors, asked, 40)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    hits = found.collect()
+    assert {r["key"] for r in hits} == {i for i in range(40) if i % 3} and min(hits, key=lambda r: r["rank"])["key"] == 4
+
+
+def test_chunk_sizes_are_scored_as_cells(spark, monkeypatch):
+    """All queries of a size meet its chunks at once; vectors are computed once."""
+    from docsift.plans import study
+
+    docs = spark.createDataFrame([(i, f"common words {i} " * 30 + ("the passage" if i == 7 else "")) for i in range(12)], "k bigint, t string")
+    asked = spark.createDataFrame([(1, "the passage"), (2, "words 3"), (3, "nothing")], "query_id bigint, query_text string")
+    relevant = spark.createDataFrame([(1, 7), (2, 3)], "query_id bigint, key bigint")
+    seen, real = [], topk.nearest
+
+    def noted(*args, **more):
+        hits = real(*args, **more)
+        seen.append((more["within"], hits._jdf.queryExecution().executedPlan().toString()))
+        return hits
+
+    monkeypatch.setattr(topk, "nearest", noted)
+    rows = study.size_quality(docs, "k", "t", asked, relevant, embed.HashedModel(32), [(40, 10), (200, 40)], 2).orderBy("size").collect()
+    assert [w for w, _ in seen] == ["cells"] and seen[0][1].count("ArrowEvalPython") == 1
+    assert [(r["size"], r["n_queries"]) for r in rows] == [(40, 2), (200, 2)] and all(0 < r["hit_rate"] <= 1 for r in rows)
