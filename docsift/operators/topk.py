@@ -215,7 +215,7 @@ def nearest(
     lower = LOWER_IS_BETTER[metric]
     queries = queries.filter(F.col("vector").isNotNull())
     if within != "bands" and not count_only and queries.limit(batch_queries + 1).count() > batch_queries:
-        return spread(vectors.filter(F.col("vector").isNotNull()), queries, k, metric, within)
+        return spread(vectors, queries, k, metric, within)
     query_side = {None: [], "cells": ["probes"], "bands": ["bands"]}[within]
     vector_side = {None: [], "cells": ["cell"], "bands": ["bands"]}[within]
 
@@ -296,6 +296,7 @@ def _spread_scan(k: int, metric: str):
         """Rows `cell, slice, chunk, search, key, query_id, vector`, sorted: for every block its vectors, then its queries."""
         block, keys, parts, matrix = None, [], [], None
         for batch in batches:
+            batch = batch.filter(batch.column(6).is_valid())
             marks = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
             ends = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
             for a, b in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows], strict=True):
@@ -341,7 +342,10 @@ def spread(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "cosine
     probes = F.explode("probes") if within == "cells" else F.lit(0)
     points = vectors.select(cell.cast("int").alias("cell"), "key", "vector")
     asked = queries.select(probes.alias("cell"), "query_id", "vector").withColumn("cell", F.col("cell").cast("int"))
-    sizes = points.groupBy("cell").agg(F.greatest(F.ceil(F.sum(F.size("vector")) / SLICE_VALUES), F.lit(1)).alias("slices"))
+    # Rows are counted, not vectors: a model that computes them need not run for that.
+    first = queries.select(F.size("vector")).first()
+    values = F.count("*") * (first[0] if first else 1)
+    sizes = points.groupBy("cell").agg(F.greatest(F.ceil(values / SLICE_VALUES), F.lit(1)).alias("slices"))
     asks = asked.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK_QUERIES).alias("chunks"))
     # One row a cell.
     grid, n_cells = counted(spark, sizes.join(asks, "cell"), "spread")

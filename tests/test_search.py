@@ -543,6 +543,8 @@ def test_vectors_of_a_model_are_computed_once(spark):
     assert plan.count("ArrowEvalPython") == 1
     hits = found.collect()
     assert {r["key"] for r in hits} == {i for i in range(40) if i % 3} and min(hits, key=lambda r: r["rank"])["key"] == 4
+    dealt = topk.nearest(vectors, asked.unionByName(asked.withColumn("query_id", F.lit(2).cast("bigint"))), 40, batch_queries=1)
+    assert sorted(tuple(r) for r in dealt.filter("query_id = 1").select(*hits[0].__fields__).collect()) == sorted(map(tuple, hits))
 
 
 def test_chunk_sizes_are_scored_as_cells(spark, monkeypatch):
